@@ -163,3 +163,139 @@ select customer_id, round(neighbor_default_frac_2hop, 9) as neighbor_default_fra
                                    "customers", "edges"))
 def nbr_frac_2hop(spark, d):
     return rnd(GH.nbr_frac_2hop(FX.customers(spark, d), FX.edges(spark, d)), ["neighbor_default_frac_2hop"], 9)
+
+
+# ------------------------------------------------------------- iterative jobs
+
+from lendnet.operators.graph import bfs as GB  # noqa: E402
+from lendnet.operators.graph import pagerank as GP  # noqa: E402
+from lendnet.operators.graph import triangles as GT  # noqa: E402
+from lendnet.operators.graph.features import graph_features as _graph_features  # noqa: E402
+
+PR_ITERS = 20
+
+
+def pagerank_ctes(iters: int = PR_ITERS, weighted: bool = False) -> str:
+    """Unrolled power iterations as CTEs r0..r{iters} (closed form for the oracle)."""
+    if weighted:
+        e = "e as (select src_customer_id as src, dst_customer_id as dst, count(*) * 1e0 as w from edges group by 1, 2)"
+    else:
+        e = "e as (select distinct src_customer_id as src, dst_customer_id as dst, 1e0 as w from edges)"
+    parts = [
+        e,
+        "od as (select src, sum(w) as wout from e group by src)",
+        "es as (select e.src, e.dst, e.w / od.wout as share from e join od on od.src = e.src)",
+        "nodes as (select customer_id as node from customers union select src from e union select dst from e)",
+        "nn as (select count(*) * 1e0 as n from nodes)",
+        "nd as (select nodes.node, od.wout is null as dangling from nodes left join od on od.src = nodes.node)",
+        "r0 as materialized (select node, dangling, 1e0 / (select n from nn) as rank from nd)",
+    ]
+    for i in range(1, iters + 1):
+        p = f"r{i-1}"
+        parts.append(
+            f"r{i} as materialized (select r.node, r.dangling, 0.85e0 * (coalesce(c.c, 0e0) + "
+            f"(select coalesce(sum(rank), 0e0) from {p} where dangling) / (select n from nn)) "
+            f"+ 0.15e0 / (select n from nn) as rank from {p} r left join "
+            f"(select es.dst, sum(q.rank * es.share) as c from es join {p} q on q.node = es.src group by es.dst) c "
+            f"on c.dst = r.node)")
+    return ",\n".join(parts)
+
+
+@query("pagerank", with_views(f"""with {pagerank_ctes()}
+select c.customer_id, round(coalesce(r.rank, 0e0), 10) as pagerank
+from customers c left join r{PR_ITERS} r on r.node = c.customer_id""", "customers", "edges"))
+def pagerank(spark, d):
+    r = GP.pagerank(FX.customers(spark, d), FX.edges(spark, d), iters=PR_ITERS)
+    return rnd(r, ["pagerank"], 10)
+
+
+@query("pagerank_weighted", with_views(f"""with {pagerank_ctes(weighted=True)}
+select c.customer_id, round(coalesce(r.rank, 0e0), 10) as pagerank
+from customers c left join r{PR_ITERS} r on r.node = c.customer_id""", "customers", "edges"))
+def pagerank_weighted(spark, d):
+    r = GP.pagerank(FX.customers(spark, d), FX.edges(spark, d), iters=PR_ITERS, weighted=True)
+    return rnd(r, ["pagerank"], 10)
+
+
+@query("degree_share", with_views(f"""with {DEG_CTE}
+select customer_id, round(coalesce(degree * 1e0 / nullif((select sum(degree) from deg), 0), 0e0), 12) as pagerank
+from deg""", "customers", "edges"))
+def degree_share(spark, d):
+    deg = GE.degrees(FX.customers(spark, d), FX.edges(spark, d))
+    return rnd(GP.degree_share(deg), ["pagerank"], 12)
+
+
+BFS_CTE = UND_CTE + """,
+bfs(node, dist) using key (node) as (
+ select customer_id, 0 from customers where cb_person_default_on_file = 'Y'
+ union
+ select u.dst, min(b.dist + 1) from bfs b join und u on u.src = b.node
+ where u.dst not in (select node from recurring.bfs)
+ group by u.dst),
+dist as (select c.customer_id, cast(coalesce(b.dist, -1) as int) as distance_to_prior_default
+ from customers c left join bfs b on b.node = c.customer_id)"""
+
+
+@query("bfs_distance", with_views(f"with recursive {BFS_CTE}\nselect * from dist", "customers", "edges"))
+def bfs_distance(spark, d):
+    return GB.distance_to_prior_default(FX.customers(spark, d), FX.edges(spark, d))
+
+
+CLUS_CTE = """
+us as (select src, dst from und where src <> dst),
+dg as (select src as node, count(*) as d from us group by src),
+tri as (select a.src as node, count(*) as t from us a join us b on b.src = a.src and a.dst < b.dst
+        join us c on c.src = a.dst and c.dst = b.dst group by a.src),
+clus as (select c.customer_id,
+  case when coalesce(dg.d, 0) < 2 then 0e0 else 2e0 * coalesce(tri.t, 0) / (dg.d * (dg.d - 1e0)) end
+    as clustering_coefficient
+ from customers c left join dg on dg.node = c.customer_id left join tri on tri.node = c.customer_id)"""
+
+
+@query("clustering", with_views(f"""with {UND_CTE}, {CLUS_CTE}
+select customer_id, round(clustering_coefficient, 9) as clustering_coefficient from clus""",
+                                "customers", "edges"))
+def clustering(spark, d):
+    return rnd(GT.clustering(FX.customers(spark, d), FX.edges(spark, d)), ["clustering_coefficient"], 9)
+
+
+@query("triangles", with_views(f"""with {UND_CTE}, {CLUS_CTE}
+select node, t as triangles from tri""", "edges"))
+def triangles(spark, d):
+    und = GE.undirected_edges(FX.edges(spark, d), keep_self_loops=False)
+    return GT.triangle_counts(und).select("node", "triangles")
+
+
+GF_CTE = (f"{NORM_CTE}, {pagerank_ctes()}, {BFS_CTE}, {CLUS_CTE}, {FLAG_CTE},\n"
+          + HOP1_CTE.split(FLAG_CTE + ",", 1)[1] + "," + HOP2_CTE + f""",
+gf as (
+ select n.customer_id, n.degree, n.in_degree, n.out_degree, n.norm_in_degree, n.norm_out_degree,
+  coalesce(r.rank, 0e0) as pagerank, dist.distance_to_prior_default, clus.clustering_coefficient,
+  hop1.neighbor_default_frac, hop2.neighbor_default_frac_2hop
+ from ndeg n left join r{PR_ITERS} r on r.node = n.customer_id
+ left join dist on dist.customer_id = n.customer_id
+ left join clus on clus.customer_id = n.customer_id
+ left join hop1 on hop1.customer_id = n.customer_id
+ left join hop2 on hop2.customer_id = n.customer_id)""")
+
+GF_ROUND = """select customer_id, degree, in_degree, out_degree, round(norm_in_degree, 9) as norm_in_degree,
+ round(norm_out_degree, 9) as norm_out_degree, round(pagerank, 10) as pagerank, distance_to_prior_default,
+ round(clustering_coefficient, 9) as clustering_coefficient,
+ round(neighbor_default_frac, 9) as neighbor_default_frac,
+ round(neighbor_default_frac_2hop, 9) as neighbor_default_frac_2hop"""
+
+GF_DOUBLES9 = ["norm_in_degree", "norm_out_degree", "clustering_coefficient", "neighbor_default_frac",
+               "neighbor_default_frac_2hop"]
+
+
+def graph_features_view(spark, d):
+    return _graph_features(FX.customers(spark, d), FX.edges(spark, d))
+
+
+def round_gf(df):
+    return rnd(rnd(df, GF_DOUBLES9, 9), ["pagerank"], 10)
+
+
+@query("graph_features", with_views(f"with recursive {GF_CTE}\n{GF_ROUND} from gf", "customers", "edges"))
+def graph_features(spark, d):
+    return round_gf(graph_features_view(spark, d))

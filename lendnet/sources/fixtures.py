@@ -219,6 +219,8 @@ def with_views(body: str, *names: str) -> str:
             ordered.append(n)
     ctes = ",\n".join(f"{n} as ({VIEW_SQL[n]}\n)" for n in ordered)
     body = body.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
