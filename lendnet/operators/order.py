@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendnet.functions.columns import hash_key
+from lendnet.session import cut_lineage
 
 
 def _nparts(df: DataFrame, n: int | None) -> int:
@@ -26,7 +27,9 @@ def prefix_sum(df: DataFrame, order_cols: list, sum_cols: list[str], suffix: str
     """Running sums of ``sum_cols`` along ``order_cols`` (inclusive by default)."""
     n = _nparts(df, num_partitions)
     ocols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    r = df.repartitionByRange(n, *ocols).withColumn("_pid", F.spark_partition_id())
+    # Range bounds come from sampling seeded per RDD, so two evaluations of the same
+    # range exchange can split differently: materialise it once and read it twice.
+    r = cut_lineage(df.repartitionByRange(n, *ocols).withColumn("_pid", F.spark_partition_id()))
     frame = (Window.unboundedPreceding, Window.currentRow) if inclusive else (Window.unboundedPreceding, -1)
     w = Window.partitionBy("_pid").orderBy(*ocols).rowsBetween(*frame)
     local = r.withColumns({f"{c}_loc": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})
@@ -55,20 +58,26 @@ def value_histogram(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantile(df: DataFrame, col: str, p: float) -> Column:
-    """Exact linear-interpolated quantile of ``col`` as a scalar subquery Column.
+def exact_quantiles(df: DataFrame, col: str, ps: list[float]) -> list[Column]:
+    """Exact linear-interpolated quantiles of ``col`` as scalar subquery Columns.
 
-    Distributed: histogram by value, prefix sums of counts, then the two order
+    Distributed: one histogram by value, prefix sums of counts, then the two order
     statistics around ``p * (n - 1)`` are found with filtered min aggregates.
     """
     h = prefix_sum(value_histogram(df, col), ["v"], ["n"])  # n_cum = count of values <= v
     total = h.agg(F.sum("n")).scalar()
-    pos = F.lit(float(p)) * (total - F.lit(1))
-    lo_k, hi_k = F.floor(pos), F.ceil(pos)
-    v_lo = h.filter(F.col("n_cum") > lo_k).agg(F.min("v")).scalar()
-    v_hi = h.filter(F.col("n_cum") > hi_k).agg(F.min("v")).scalar()
-    frac = pos - lo_k
-    return v_lo + (v_hi - v_lo) * frac
+    out = []
+    for p in ps:
+        pos = F.lit(float(p)) * (total - F.lit(1))
+        lo_k, hi_k = F.floor(pos), F.ceil(pos)
+        v_lo = h.filter(F.col("n_cum") > lo_k).agg(F.min("v")).scalar()
+        v_hi = h.filter(F.col("n_cum") > hi_k).agg(F.min("v")).scalar()
+        out.append(v_lo + (v_hi - v_lo) * (pos - lo_k))
+    return out
+
+
+def exact_quantile(df: DataFrame, col: str, p: float) -> Column:
+    return exact_quantiles(df, col, [p])[0]
 
 
 def rank_pctile(df: DataFrame, col: str, key: str, name: str = "pctile") -> DataFrame:
