@@ -134,11 +134,13 @@ REQUEST_RULES = [
     ("person_income", lambda: F.col("person_income").isNull() | (F.col("person_income") <= 0),
      "person_income must be > 0"),
     ("person_home_ownership", lambda: F.col("person_home_ownership").isNull(), "person_home_ownership missing"),
-    ("person_emp_length", lambda: F.col("person_emp_length") < 0, "person_emp_length must be >= 0"),
+    ("person_emp_length", lambda: F.col("person_emp_length").isNull() | (F.col("person_emp_length") < 0),
+     "person_emp_length must be >= 0"),
     ("loan_intent", lambda: F.col("loan_intent").isNull(), "loan_intent missing"),
     ("loan_grade", lambda: F.col("loan_grade").isNull(), "loan_grade missing"),
     ("loan_amnt", lambda: F.col("loan_amnt").isNull() | (F.col("loan_amnt") <= 0), "loan_amnt must be > 0"),
-    ("loan_int_rate", lambda: F.col("loan_int_rate") < 0, "loan_int_rate must be >= 0"),
+    ("loan_int_rate", lambda: F.col("loan_int_rate").isNull() | (F.col("loan_int_rate") < 0),
+     "loan_int_rate must be >= 0"),
     ("cb_person_default_on_file", lambda: F.col("cb_person_default_on_file").isNull()
      | ~F.col("cb_person_default_on_file").isin(0, 1), "cb_person_default_on_file must be 0 or 1"),
 ]

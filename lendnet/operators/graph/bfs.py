@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import undirected_edges
-from lendnet.session import cut_lineage
+from lendnet.session import cut_lineage, materialize
 
 
 def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, checkpoint_every: int = 4) -> DataFrame:
     """(node, dist) for every node reachable from ``sources`` (column ``node``)."""
     n = num_partitions or int(und.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     adj = cut_lineage(und.select("src", "dst").repartition(n, "src"))
@@ -28,10 +28,15 @@ def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None =
         nxt = (frontier.join(adj, frontier["node"] == adj["src"]).select(F.col("dst").alias("node"))
                .distinct().join(visited.select("node"), "node", "left_anti")
                .withColumn("dist", F.lit(depth)))
-        nxt = cut_lineage(nxt)
+        nxt = materialize(nxt)
         if nxt.isEmpty():
+            nxt.unpersist()
             break
-        visited = cut_lineage(visited.unionByName(nxt))
+        visited = visited.unionByName(nxt)
+        if depth % checkpoint_every == 0:
+            visited = cut_lineage(visited)
+        else:
+            visited = materialize(visited)
         frontier = nxt
     return visited
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lendnet.functions.columns import edge_stress, vulnerability
 from lendnet.operators.graph.edges import collapse_edges, collapsed_both_directions
-from lendnet.session import cut_lineage
+from lendnet.session import cut_lineage, materialize
 
 
 def node_table(customers: DataFrame, edges: DataFrame) -> DataFrame:
@@ -78,10 +78,11 @@ def cascade(customers: DataFrame, edges: DataFrame, triggers: DataFrame, initial
         nxt = nxt.select("trigger_id", "node", F.lit(hop).alias("hop"), stress.alias("stress"),
                          F.col("w.pos").alias("pos"), F.col("w.parent").alias("parent"),
                          F.col("w.edge_type").alias("edge_type"))
-        nxt = cut_lineage(nxt)
+        nxt = materialize(nxt)
         if nxt.isEmpty():
             break
-        state = cut_lineage(state.unionByName(nxt))
+        state = state.unionByName(nxt)
+        state = cut_lineage(state) if hop % 3 == 0 else materialize(state)
         frontier = nxt
     return state.select(
         "trigger_id", F.col("node").alias("customer_id"), "hop", F.round("stress", 4).alias("stress"),

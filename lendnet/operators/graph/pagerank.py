@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import DST, SRC
-from lendnet.session import cut_lineage
+from lendnet.session import cut_lineage, materialize
 
 
 def _nparts(df: DataFrame, n: int | None) -> int:
@@ -50,6 +50,7 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     inv_n = 1.0 / total
     r = cut_lineage(nodes.select("node", (F.col("wout").isNull()).alias("dangling"),
                                  F.lit(inv_n).alias("rank")).repartition(n, "node"))
+    prev = None
     for i in range(iters):
         dangling = r.filter("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
         contrib = (es.join(r.select(F.col("node").alias("src"), "rank"), "src")
@@ -59,15 +60,15 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
                        (F.lit(alpha) * (F.coalesce(F.col("c"), F.lit(0.0)) + dangling * F.lit(inv_n))
                         + F.lit((1.0 - alpha) * inv_n)).alias("rank"), r["rank"].alias("old")))
         last = i == iters - 1
-        if tol is not None or last or (i + 1) % checkpoint_every == 0:
-            new = cut_lineage(new)
+        new = cut_lineage(new) if (last or (i + 1) % checkpoint_every == 0) else materialize(new)
+        if prev is not None:
+            prev.unpersist()
+        prev = new
+        r = new.drop("old")
         if tol is not None:
             err = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-            r = new.drop("old")
             if err is not None and err < total * tol:
                 break
-        else:
-            r = new.drop("old")
     return (customers.select(F.col("customer_id")).join(r, r["node"] == F.col("customer_id"), "left")
             .select("customer_id", F.coalesce(F.col("rank"), F.lit(0.0)).alias("pagerank")))
 

@@ -27,6 +27,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("LENDNET_DRIVER_MEM", "12g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -52,6 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cache ``df`` and compute it once (for loop state reused by the next step).
+
+    Caching is only a speed-up: lineage is still cut by ``cut_lineage`` every few steps,
+    so a lost cached block is recomputed from the last reliable checkpoint.
+    """
+    df = df.persist()
+    df.count()
+    return df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and truncate its plan.
 
