@@ -80,10 +80,14 @@ def linear_contrib(df: DataFrame, coefs: dict[str, float] = SCORECARD, baseline:
                    out: str = "factors") -> DataFrame:
     """Exact attributions of a linear model, coef * (x - E[x]) (baseline means as scalar
     subqueries), as an array<struct<feature, shap_value>> column."""
-    base = baseline if baseline is not None else df
-    means = base.agg(*[F.avg(f).alias(f) for f in coefs])
-    items = [F.struct(F.lit(f).alias("feature"),
-                      (F.lit(c) * (F.col(f) - means.select(f).scalar())).alias("shap_value"))
+    if baseline is not None:
+        # fitted baseline (e.g. the training table): its k means are model parameters
+        row = baseline.agg(*[F.avg(f).alias(f) for f in coefs]).first()
+        mean = {f: F.lit(row[f]) for f in coefs}
+    else:
+        means = df.agg(*[F.avg(f).alias(f) for f in coefs])
+        mean = {f: means.select(f).scalar() for f in coefs}
+    items = [F.struct(F.lit(f).alias("feature"), (F.lit(c) * (F.col(f) - mean[f])).alias("shap_value"))
              for f, c in coefs.items()]
     return df.withColumn(out, F.array(*items))
 
@@ -112,7 +116,8 @@ def global_importance(contrib: DataFrame, col: str = "factors") -> DataFrame:
 
 def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
                        threshold: float, id_col: str = "application_id", ts_col: str = "applied_at",
-                       coefs: dict[str, float] = SCORECARD) -> tuple[DataFrame, DataFrame]:
+                       coefs: dict[str, float] = SCORECARD,
+                       baseline: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(events, rejects). Events carry risk, band, JSON top factors, amount and time.
 
     Rejects are rows failing validation or carrying a category unknown to ``classes``.
@@ -128,7 +133,7 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
     ok = enc.filter(F.col("accepted"))
     feat = derived_features(graph_lookup(with_graph_defaults(ok), stored_graph))
     scored = scorecard_score(feat, coefs)
-    attributed = top_factors(linear_contrib(scored, coefs))
+    attributed = top_factors(linear_contrib(scored, coefs, baseline))
     events = attributed.select(
         F.col(id_col).cast("string").alias("scoring_event_id"), "customer_id", "risk_score",
         decision_band("risk_score", threshold).alias("decision_band"),
