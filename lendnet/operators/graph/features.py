@@ -37,8 +37,9 @@ def graph_features(customers: DataFrame, edges: DataFrame, pagerank: str = "simp
     out = deg
     for part in (pr, dist, clus, h1, h2):
         out = out.join(part, "customer_id", "left")
-    return out.select("customer_id", *[
+    # one materialised feature table: the mart, training and scoring all read it
+    return cut_lineage(out.select("customer_id", *[
         F.coalesce(F.col(c), F.lit(-1 if c == "distance_to_prior_default" else 0)).alias(c)
         if c in ("degree", "in_degree", "out_degree", "distance_to_prior_default")
         else F.coalesce(F.col(c), F.lit(0.0)).alias(c)
-        for c in GRAPH_FEATURES])
+        for c in GRAPH_FEATURES]))

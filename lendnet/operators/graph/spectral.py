@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.functions.columns import hash_unit
-from lendnet.session import cut_lineage, materialize
+from lendnet.session import cut_lineage
 
 
 def customer_adjacency(customers: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +65,7 @@ def _apply(v: DataFrame, m: np.ndarray, col: str) -> DataFrame:
 
 
 def spectral_embedding(customers: DataFrame, edges: DataFrame, dim: int = 8, iters: int = 60,
-                       seed: int = 42, checkpoint_every: int = 10) -> tuple[DataFrame, np.ndarray]:
+                       seed: int = 42) -> tuple[DataFrame, np.ndarray]:
     """(customer_id, embedding array<double>), eigenvalues of L kept (ascending)."""
     a, deg = customer_adjacency(customers, edges)
     k = dim + 1
@@ -83,16 +83,12 @@ def spectral_embedding(customers: DataFrame, edges: DataFrame, dim: int = 8, ite
         return j.select("i", F.array(*[F.col("v")[c] + F.coalesce(F.col(f"s{c}"), F.lit(0.0))
                                        for c in range(k)]).alias("v"))
 
-    prev = None
     for it in range(iters):
         w = matvec(v)
         g = _gram(w, "v", k)
         r = np.linalg.cholesky(g + 1e-12 * np.eye(k)).T      # w = Q r  ->  Q = w r^-1
-        v = _apply(w, np.linalg.inv(r), "v")
-        v = cut_lineage(v) if (it + 1) % checkpoint_every == 0 else materialize(v)
-        if prev is not None:
-            prev.unpersist()
-        prev = v
+        # the k x k re-mixing makes wide expressions: cut lineage every step
+        v = cut_lineage(_apply(w, np.linalg.inv(r), "v"))
     mv = matvec(v)
     h = v.join(mv.withColumnRenamed("v", "mv"), "i")
     aggs = [F.sum(F.col("v")[a] * F.col("mv")[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(k)]

@@ -15,6 +15,7 @@ from lendnet.functions.columns import decision_band, sigmoid
 from lendnet.operators.clean import label_classes, label_encode, validate_requests
 from lendnet.operators.features import derived_features, graph_lookup, with_graph_defaults
 from lendnet.schemas import CAT_COLS, FACTOR_TYPE, FEATURES, GRAPH_FEATURES, TARGET
+from lendnet.session import cut_lineage
 
 # ---------------------------------------------------------------- fixed values
 # Linear scorecard used for the checkable scoring job (intercept, then feature -> weight).
@@ -132,7 +133,8 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
     rejects = enc.filter(~F.col("accepted")).select(id_col, "customer_id", "reasons")
     ok = enc.filter(F.col("accepted"))
     feat = derived_features(graph_lookup(with_graph_defaults(ok), stored_graph))
-    scored = scorecard_score(feat, coefs)
+    # the scored table feeds the attribution means and the events: materialise it once
+    scored = cut_lineage(scorecard_score(feat, coefs))
     attributed = top_factors(linear_contrib(scored, coefs, baseline))
     events = attributed.select(
         F.col(id_col).cast("string").alias("scoring_event_id"), "customer_id", "risk_score",
