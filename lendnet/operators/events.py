@@ -104,3 +104,13 @@ def gauge_status(metrics: DataFrame) -> DataFrame:
 def latest_version(registry: DataFrame) -> DataFrame:
     """The row with the largest numeric version per model name."""
     return registry.groupBy("name").agg(F.max_by("version", F.col("version").cast("int")).alias("version"))
+
+
+def stamp_events(df: DataFrame, key: str = "scoring_event_id", ts: str = "scored_at") -> DataFrame:
+    """Give events an id (uuid) and an event time when missing, plus an ingest time."""
+    out = df
+    if key not in out.columns:
+        out = out.withColumn(key, F.expr("uuid()"))
+    if ts not in out.columns:
+        out = out.withColumn(ts, F.current_timestamp())
+    return out.withColumn("_ingested_at", F.current_timestamp())

@@ -118,7 +118,8 @@ def global_importance(contrib: DataFrame, col: str = "factors") -> DataFrame:
 def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
                        threshold: float, id_col: str = "application_id", ts_col: str = "applied_at",
                        coefs: dict[str, float] = SCORECARD,
-                       baseline: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                       baseline: DataFrame | None = None,
+                       materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """(events, rejects). Events carry risk, band, JSON top factors, amount and time.
 
     Rejects are rows failing validation or carrying a category unknown to ``classes``.
@@ -134,7 +135,9 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
     ok = enc.filter(F.col("accepted"))
     feat = derived_features(graph_lookup(with_graph_defaults(ok), stored_graph))
     # the scored table feeds the attribution means and the events: materialise it once
-    scored = cut_lineage(scorecard_score(feat, coefs))
+    scored = scorecard_score(feat, coefs)
+    if materialize:          # batch only: a streaming plan cannot be checkpointed mid-query
+        scored = cut_lineage(scored)
     attributed = top_factors(linear_contrib(scored, coefs, baseline))
     events = attributed.select(
         F.col(id_col).cast("string").alias("scoring_event_id"), "customer_id", "risk_score",
@@ -142,3 +145,43 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
         F.col("loan_amnt").alias("requested_amount"), factors_to_json().alias("top_factors"),
         F.col(ts_col).alias("scored_at"), F.col("top_factors").alias("_factors"))
     return events, rejects
+
+
+def append_run_metrics(run_id: str, params: dict, metrics: DataFrame, path: str) -> None:
+    """Append one run's parameters and metrics (long format) to a parquet table."""
+    spark = metrics.sparkSession
+    long = metrics.unpivot([], [c for c in metrics.columns], "metric", "value").select(
+        F.lit(run_id).alias("run_id"), "metric", F.col("value").cast("double").alias("value"))
+    prm = spark.createDataFrame([(run_id, k, str(v)) for k, v in sorted(params.items())],
+                                "run_id string, param string, value string")
+    long.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/metrics")
+    prm.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/params")
+
+
+def compare_hybrid(data: DataFrame, embeddings: DataFrame, split_col: str = "split", label: str = "label",
+                   max_iter: int = 10, max_depth: int = 4, seed: int = 42) -> DataFrame:
+    """AUC of boosted trees on the 29 features vs. the same plus embedding columns,
+    on the same split. ``embeddings``: (customer_id, embedding array<double>)."""
+    from lendnet.operators.metrics import roc_auc
+    dim = len(embeddings.select("embedding").first()[0] or [])
+    ecols = [f"emb_{i}" for i in range(dim)]
+    hyb = data.join(embeddings, "customer_id", "left").withColumns(
+        {c: F.coalesce(F.col("embedding")[i], F.lit(0.0)) for i, c in enumerate(ecols)})
+    out = []
+    for name, df, cols in (("vanilla", data, FEATURES), ("hybrid", hyb, FEATURES + ecols)):
+        tr = df.filter(F.col(split_col) == "train")
+        te = df.filter(F.col(split_col) == "test")
+        from pyspark.ml.classification import GBTClassifier
+        model = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
+                              seed=seed).fit(vectorize(tr, cols))
+        pred = predict_proba_cols(model, te, cols)
+        auc = roc_auc(pred.select(F.col(label).alias("y"), F.col("risk_score").alias("p"))).first()[0]
+        out.append((name, float(auc)))
+    spark = data.sparkSession
+    res = spark.createDataFrame(out, "model string, roc_auc double")
+    return res.withColumn("auc_delta", F.lit(out[1][1] - out[0][1]))
+
+
+def predict_proba_cols(model, df: DataFrame, cols: list[str], out: str = "risk_score") -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+    return model.transform(vectorize(df, cols)).withColumn(out, vector_to_array("probability")[1])

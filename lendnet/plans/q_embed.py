@@ -194,3 +194,24 @@ def run_summary(spark, d):
     return rnd(auc.select(FX.customers(spark, d).agg(F.count(F.lit(1))).scalar().alias("n_customers"),
                           FX.edges(spark, d).agg(F.count(F.lit(1))).scalar().alias("n_edges"), "roc_auc"),
                ["roc_auc"], 9)
+
+
+# ------------------------------------------- jobs without an SQL twin (rows-only checks)
+
+@query("random_walks")
+def random_walks(spark, d):
+    return WK.random_walks(FX.edges(spark, d), walks_per_node=1, length=5, p=1.0, q=1.0, seed=42)
+
+
+@query("walk_embeddings")
+def walk_embeddings(spark, d):
+    walks = WK.random_walks(FX.edges(spark, d), walks_per_node=1, length=5, seed=42)
+    from pyspark.ml.functions import vector_to_array
+    v = WK.walk_embeddings(walks, dim=8)
+    return v.select(F.col("word").alias("customer_id"), vector_to_array("vector").alias("embedding"))
+
+
+@query("spectral_embedding")
+def spectral_embedding(spark, d):
+    emb, _ = SP.spectral_embedding(FX.customers(spark, d), FX.edges(spark, d), dim=8, iters=20)
+    return emb

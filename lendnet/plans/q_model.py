@@ -269,3 +269,15 @@ def graph_lookup(spark, d):
     g = graph_features_view(spark, d)
     r = FE.graph_lookup(FX.applications(spark, d), g)
     return rnd(r.select("application_id", "degree", "pagerank", "distance_to_prior_default"), ["pagerank"], 10)
+
+
+@query("gbt_evaluate")
+def gbt_evaluate(spark, d):
+    """I2 + I4: boosted trees on the assembled features, evaluated on the held-out split."""
+    from lendnet.operators.metrics import evaluate
+    from lendnet.operators.order import stratified_split
+    a, _ = _assembled(spark, d)
+    split = stratified_split(a, "label", "customer_id", 42)
+    model = MD.train_gbt(split.filter(F.col("split") == "train"), max_iter=10, max_depth=4)
+    pred = MD.predict_proba(model, split.filter(F.col("split") == "test"))
+    return evaluate(pred.select(F.col("label").alias("y"), F.col("risk_score").alias("p")))

@@ -32,7 +32,7 @@ def scoring_stream(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
                    threshold: float) -> DataFrame:
     """Stateless scoring of an application stream (stream-static joins only)."""
     from lendnet.operators.model import score_applications
-    events, _ = score_applications(apps, classes, stored_graph, threshold, baseline=baseline)
+    events, _ = score_applications(apps, classes, stored_graph, threshold, baseline=baseline, materialize=False)
     return events.drop("_factors")
 
 
