@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import undirected_edges
-from lendnet.session import cut_lineage, materialize
+from lendnet.session import cut_lineage, persist_partitioned
 
 
 def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None = None,
-                     num_partitions: int | None = None, checkpoint_every: int = 4) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """(node, dist) for every node reachable from ``sources`` (column ``node``)."""
     n = num_partitions or int(und.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    adj = cut_lineage(und.select("src", "dst").repartition(n, "src"))
+    adj = persist_partitioned(und.select("src", "dst"), "src", n)
     frontier = cut_lineage(sources.select("node").distinct().withColumn("dist", F.lit(0)))
     visited = frontier
     depth = 0
@@ -28,15 +28,12 @@ def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None =
         nxt = (frontier.join(adj, frontier["node"] == adj["src"]).select(F.col("dst").alias("node"))
                .distinct().join(visited.select("node"), "node", "left_anti")
                .withColumn("dist", F.lit(depth)))
-        nxt = materialize(nxt)
+        # frontier and visited both feed the next step: cut both every level so the
+        # plan never nests earlier levels twice
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
-            nxt.unpersist()
             break
-        visited = visited.unionByName(nxt)
-        if depth % checkpoint_every == 0:
-            visited = cut_lineage(visited)
-        else:
-            visited = materialize(visited)
+        visited = cut_lineage(visited.unionByName(nxt))
         frontier = nxt
     return visited
 

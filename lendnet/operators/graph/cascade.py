@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lendnet.functions.columns import edge_stress, vulnerability
 from lendnet.operators.graph.edges import collapse_edges, collapsed_both_directions
-from lendnet.session import cut_lineage, materialize
+from lendnet.session import cut_lineage, persist_partitioned
 
 
 def node_table(customers: DataFrame, edges: DataFrame) -> DataFrame:
@@ -50,9 +50,9 @@ def cascade(customers: DataFrame, edges: DataFrame, triggers: DataFrame, initial
     validate_cascade_params(initial_shock, decay, threshold, max_hops)
     nodes = node_table(customers, edges)
     adj = collapsed_both_directions(collapse_edges(edges, order_col))
-    adj = cut_lineage(adj.join(nodes.withColumnRenamed("node", "dst"), "dst")
-                      .select("src", "dst", "edge_type", F.col("first_ord").alias("adj_ord"),
-                              edge_stress("edge_type").alias("w"), "vuln"))
+    adj = persist_partitioned(adj.join(nodes.withColumnRenamed("node", "dst"), "dst")
+                              .select("src", "dst", "edge_type", F.col("first_ord").alias("adj_ord"),
+                                      edge_stress("edge_type").alias("w"), "vuln"), "src")
     start = (triggers.select("trigger_id", F.col("customer_id").alias("node"))
              .join(nodes.select("node"), "node", "left_semi")
              .select("trigger_id", "node", F.lit(0).alias("hop"), F.lit(float(initial_shock)).alias("stress"),
@@ -78,11 +78,11 @@ def cascade(customers: DataFrame, edges: DataFrame, triggers: DataFrame, initial
         nxt = nxt.select("trigger_id", "node", F.lit(hop).alias("hop"), stress.alias("stress"),
                          F.col("w.pos").alias("pos"), F.col("w.parent").alias("parent"),
                          F.col("w.edge_type").alias("edge_type"))
-        nxt = materialize(nxt)
+        # frontier and state both feed the next hop: cut both so plans stay linear
+        nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        state = state.unionByName(nxt)
-        state = cut_lineage(state) if hop % 3 == 0 else materialize(state)
+        state = cut_lineage(state.unionByName(nxt))
         frontier = nxt
     return state.select(
         "trigger_id", F.col("node").alias("customer_id"), "hop", F.round("stress", 4).alias("stress"),

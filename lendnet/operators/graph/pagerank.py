@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import DST, SRC
-from lendnet.session import cut_lineage, materialize
+from lendnet.session import cut_lineage, persist_partitioned
 
 
 def _nparts(df: DataFrame, n: int | None) -> int:
@@ -23,7 +23,7 @@ def _nparts(df: DataFrame, n: int | None) -> int:
 
 
 def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: float = 0.85,
-             tol: float | None = None, weighted: bool = False, checkpoint_every: int = 5,
+             tol: float | None = None, weighted: bool = False, checkpoint_every: int = 1,
              num_partitions: int | None = None) -> DataFrame:
     """(customer_id, pagerank) for every customer.
 
@@ -36,39 +36,52 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
         e = e.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
     else:
         e = e.distinct().withColumn("w", F.lit(1.0))
+    e = persist_partitioned(e, "src", n)          # collapsed edges, computed once
     wout = e.groupBy("src").agg(F.sum("w").alias("wout"))
-    es = (e.join(wout, "src").select("src", "dst", (F.col("w") / F.col("wout")).alias("share"))
-          .repartition(n, "src"))
-    es = cut_lineage(es)
+    es = persist_partitioned(e.join(wout, "src").select("src", "dst", (F.col("w") / F.col("wout")).alias("share")),
+                             "src", n)
     nodes = (customers.select(F.col("customer_id").alias("node"))
              .union(e.select(F.col("src").alias("node"))).union(e.select(F.col("dst").alias("node")))
              .distinct())
-    nodes = nodes.join(wout.withColumnRenamed("src", "node"), "node", "left")
-    total = nodes.count()
+    node_tab = persist_partitioned(nodes.join(wout.withColumnRenamed("src", "node"), "node", "left")
+                                   .select("node", F.col("wout").isNull().alias("dangling")), "node", n)
+    e.unpersist()
+    total = node_tab.count()
     if total == 0:
         return customers.select("customer_id", F.lit(0.0).alias("pagerank"))
     inv_n = 1.0 / total
-    r = cut_lineage(nodes.select("node", (F.col("wout").isNull()).alias("dangling"),
-                                 F.lit(inv_n).alias("rank")).repartition(n, "node"))
+
+    def dangling_mass(df: DataFrame) -> float:
+        # the action that materialises a cached step also returns the one number the next
+        # step needs (a value, not a subquery that would re-embed the loop state)
+        return float(df.filter("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0])
+
+    r = node_tab.withColumn("rank", F.lit(inv_n)).persist()
+    dangling = dangling_mass(r)
     prev = None
     for i in range(iters):
-        dangling = r.filter("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
-        contrib = (es.join(r.select(F.col("node").alias("src"), "rank"), "src")
-                   .groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("c")))
-        new = (r.join(contrib, r["node"] == contrib["dst"], "left")
+        contrib = (es.join(r.select(F.col("node").alias("src"), F.col("rank").alias("prev_rank")), "src")
+                   .groupBy("dst").agg(F.sum(F.col("prev_rank") * F.col("share")).alias("c")))
+        # the previous ranks enter the new plan once (through ``contrib``), so plans grow
+        # linearly between checkpoints instead of doubling
+        new = (node_tab.join(contrib, node_tab["node"] == contrib["dst"], "left")
                .select("node", "dangling",
-                       (F.lit(alpha) * (F.coalesce(F.col("c"), F.lit(0.0)) + dangling * F.lit(inv_n))
-                        + F.lit((1.0 - alpha) * inv_n)).alias("rank"), r["rank"].alias("old")))
-        last = i == iters - 1
-        new = cut_lineage(new) if (last or (i + 1) % checkpoint_every == 0) else materialize(new)
+                       (F.lit(alpha) * (F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(dangling * inv_n))
+                        + F.lit((1.0 - alpha) * inv_n)).alias("rank")))
+        # a reliable cut every step keeps each job's plan one iteration deep (nested cached
+        # plans make every later action slower); the rank table is node-sized, the edge
+        # table stays cached and partitioned on ``src``
+        new = cut_lineage(new) if (i + 1) % checkpoint_every == 0 or checkpoint_every == 1 else new.persist()
+        dangling = dangling_mass(new)
+        if tol is not None:
+            err = (new.join(r.select("node", F.col("rank").alias("old")), "node")
+                   .agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0])
         if prev is not None:
             prev.unpersist()
-        prev = new
-        r = new.drop("old")
-        if tol is not None:
-            err = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-            if err is not None and err < total * tol:
-                break
+        prev = r
+        r = new
+        if tol is not None and err is not None and err < total * tol:
+            break
     return (customers.select(F.col("customer_id")).join(r, r["node"] == F.col("customer_id"), "left")
             .select("customer_id", F.coalesce(F.col("rank"), F.lit(0.0)).alias("pagerank")))
 

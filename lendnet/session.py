@@ -65,6 +65,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
+def persist_partitioned(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a static loop input on ``key`` and keep it (memory, spilling to disk).
+
+    Unlike a checkpoint, a cached relation keeps its output partitioning, so joins on
+    ``key`` inside a loop do not re-shuffle it each step. Its lineage is short (no loop),
+    so a lost block is recomputed from the source.
+    """
+    from pyspark import StorageLevel
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and truncate its plan.
 
