@@ -19,7 +19,9 @@ def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None =
                      num_partitions: int | None = None) -> DataFrame:
     """(node, dist) for every node reachable from ``sources`` (column ``node``)."""
     n = num_partitions or int(und.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    adj = persist_partitioned(und.select("src", "dst"), "src", n)
+    # not pre-partitioned: a small frontier is broadcast; a large one goes through a shuffle
+    # join where AQE can split a hub's partition
+    adj = cut_lineage(und.select("src", "dst"))
     frontier = cut_lineage(sources.select("node").distinct().withColumn("dist", F.lit(0)))
     visited = frontier
     depth = 0

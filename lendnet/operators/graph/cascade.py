@@ -50,9 +50,10 @@ def cascade(customers: DataFrame, edges: DataFrame, triggers: DataFrame, initial
     validate_cascade_params(initial_shock, decay, threshold, max_hops)
     nodes = node_table(customers, edges)
     adj = collapsed_both_directions(collapse_edges(edges, order_col))
-    adj = persist_partitioned(adj.join(nodes.withColumnRenamed("node", "dst"), "dst")
-                              .select("src", "dst", "edge_type", F.col("first_ord").alias("adj_ord"),
-                                      edge_stress("edge_type").alias("w"), "vuln"), "src")
+    # not pre-partitioned on src: AQE may broadcast a small frontier or split a hub's partition
+    adj = cut_lineage(adj.join(nodes.withColumnRenamed("node", "dst"), "dst")
+                      .select("src", "dst", "edge_type", F.col("first_ord").alias("adj_ord"),
+                              edge_stress("edge_type").alias("w"), "vuln"))
     start = (triggers.select("trigger_id", F.col("customer_id").alias("node"))
              .join(nodes.select("node"), "node", "left_semi")
              .select("trigger_id", "node", F.lit(0).alias("hop"), F.lit(float(initial_shock)).alias("stress"),

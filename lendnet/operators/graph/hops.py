@@ -40,7 +40,8 @@ def nbr_frac_1hop(customers: DataFrame, edges: DataFrame,
             .select("customer_id", F.coalesce("share", F.lit(0.0)).alias("neighbor_default_frac")))
 
 
-def two_hop_pairs(customers: DataFrame, edges: DataFrame, salt_buckets: int = 32) -> DataFrame:
+def two_hop_pairs(customers: DataFrame, edges: DataFrame, salt_buckets: int = 32,
+                  hub_min_degree: int = 1000) -> DataFrame:
     """Distinct (customer_id, x): x reachable in two steps through a customer, x not self, not 1-hop."""
     u = undirected_edges(edges)
     ids = customers.select(F.col("customer_id").alias("src"))
@@ -49,7 +50,7 @@ def two_hop_pairs(customers: DataFrame, edges: DataFrame, salt_buckets: int = 32
     cnt = endpoint_counts(edges)
     deg = cnt.select("node", (F.col("in_degree") + F.col("out_degree")).alias("deg"))
     total = edges.agg(F.count(F.lit(1)).cast("double")).scalar()
-    hubs = heavy_keys(deg.withColumnRenamed("node", "mid"), "mid", "deg", total)
+    hubs = heavy_keys(deg.withColumnRenamed("node", "mid"), "mid", "deg", total, min_threshold=hub_min_degree)
     wedges = salted_join(first, second, "mid", hubs, buckets=salt_buckets)
     pairs = wedges.filter(F.col("c") != F.col("x")).select("c", "x").distinct()
     hop1 = u.select(F.col("src").alias("c"), F.col("dst").alias("x"))
@@ -57,8 +58,8 @@ def two_hop_pairs(customers: DataFrame, edges: DataFrame, salt_buckets: int = 32
 
 
 def nbr_frac_2hop(customers: DataFrame, edges: DataFrame,
-                  flag_col: str = "cb_person_default_on_file") -> DataFrame:
-    pairs = two_hop_pairs(customers, edges)
+                  flag_col: str = "cb_person_default_on_file", hub_min_degree: int = 1000) -> DataFrame:
+    pairs = two_hop_pairs(customers, edges, hub_min_degree=hub_min_degree)
     flags = default_flags(customers, flag_col).withColumnRenamed("node", "x")
     share = (pairs.join(flags, "x", "left").groupBy("customer_id")
              .agg(F.avg(F.coalesce(F.col("d"), F.lit(0))).alias("share")))

@@ -3,10 +3,12 @@
 Nodes are customers plus every edge endpoint; parallel edges collapse (or become
 weights with ``weighted=True``). Dangling mass is spread uniformly, so ranks sum to 1.
 
-Layout: the edge table (src, dst, share) is hash-partitioned on ``src`` and cached
-once; the rank table is kept partitioned on ``node`` with the same partition count,
-so each iteration shuffles only the per-destination partial sums (map-side combined),
-never the edges. Lineage is cut with a reliable checkpoint every few iterations.
+Layout: the edge table (src, salt, dst, share) is hash-partitioned on (src, salt) and
+cached once, so iterations never re-shuffle edges; only the node-sized rank table and
+the per-destination partial sums (map-side combined) move. A hub source is salted:
+its edges are spread over many buckets and its rank row is replicated per bucket, so
+no task holds a hub's whole out-list. Each iteration ends in a reliable checkpoint of
+the (node-sized) rank table, which keeps every job's plan one iteration deep.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import DST, SRC
+from lendnet.operators.graph.skew import heavy_keys
 from lendnet.session import cut_lineage, persist_partitioned
 
 
@@ -24,7 +27,8 @@ def _nparts(df: DataFrame, n: int | None) -> int:
 
 def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: float = 0.85,
              tol: float | None = None, weighted: bool = False, checkpoint_every: int = 1,
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, salt_buckets: int = 32,
+             hub_min_degree: int = 1000) -> DataFrame:
     """(customer_id, pagerank) for every customer.
 
     ``iters`` fixes the number of power iterations; with ``tol`` the loop also stops
@@ -37,9 +41,17 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     else:
         e = e.distinct().withColumn("w", F.lit(1.0))
     e = persist_partitioned(e, "src", n)          # collapsed edges, computed once
-    wout = e.groupBy("src").agg(F.sum("w").alias("wout"))
-    es = persist_partitioned(e.join(wout, "src").select("src", "dst", (F.col("w") / F.col("wout")).alias("share")),
-                             "src", n)
+    wout = e.groupBy("src").agg(F.sum("w").alias("wout"), F.count(F.lit(1)).alias("k"))
+    # hubs (sources with a large share of the edges) are spread over ``salt_buckets`` sub-keys:
+    # their edges by a hash of dst, their rank row replicated once per bucket
+    total_edges = e.agg(F.count(F.lit(1)).cast("double")).scalar()
+    hubs = cut_lineage(heavy_keys(wout, "src", "k", total_edges, min_threshold=hub_min_degree))  # <= max_hubs rows
+    hk = F.broadcast(hubs.withColumn("_hub", F.lit(True)))
+    es = (e.join(wout, "src").join(hk, F.col("src") == F.col("_hk"), "left")
+          .select("src", "dst", (F.col("w") / F.col("wout")).alias("share"),
+                  F.when(F.col("_hub").isNotNull(), F.pmod(F.xxhash64("dst"), F.lit(salt_buckets)))
+                  .otherwise(F.lit(0)).cast("int").alias("_salt")))
+    es = persist_partitioned(es, ["src", "_salt"], n)
     nodes = (customers.select(F.col("customer_id").alias("node"))
              .union(e.select(F.col("src").alias("node"))).union(e.select(F.col("dst").alias("node")))
              .distinct())
@@ -60,7 +72,13 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     dangling = dangling_mass(r)
     prev = None
     for i in range(iters):
-        contrib = (es.join(r.select(F.col("node").alias("src"), F.col("rank").alias("prev_rank")), "src")
+        rs = (r.select(F.col("node").alias("src"), F.col("rank").alias("prev_rank"))
+              .join(hk, F.col("src") == F.col("_hk"), "left")
+              .withColumn("_salt", F.explode(F.when(F.col("_hub").isNotNull(),
+                                                    F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                             .otherwise(F.array(F.lit(0)))))
+              .select("src", "_salt", "prev_rank"))
+        contrib = (es.join(rs, ["src", "_salt"])
                    .groupBy("dst").agg(F.sum(F.col("prev_rank") * F.col("share")).alias("c")))
         # the previous ranks enter the new plan once (through ``contrib``), so plans grow
         # linearly between checkpoints instead of doubling

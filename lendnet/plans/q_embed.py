@@ -110,7 +110,8 @@ with t as (select conv_id, turn, list_filter(string_split(lower(text), ' '), lam
            from conversations),
 ex as (select conv_id, turn, toks, unnest(range(0, len(toks))) as center_pos from t),
 pr as (select conv_id, turn, toks, center_pos, unnest([-2, -1, 1, 2]) as o from ex)
-select conv_id, turn, center_pos, toks[center_pos + 1] as center, toks[center_pos + o + 1] as context
+select conv_id, turn, center_pos::int as center_pos, toks[center_pos + 1] as center,
+ toks[center_pos + o + 1] as context
 from pr where center_pos + o >= 0 and center_pos + o < len(toks)""")
 def skipgram_pairs(spark, d):
     conv = FX.read_table(spark, d, "conversations").select("conv_id", "turn", WK.tokens("text").alias("toks"))
@@ -145,7 +146,7 @@ def norm_laplacian(spark, d):
 
 
 @query("bind_embeddings", with_views("""
-select c.customer_id, u.k::int as k, round(u.value, 6) as value from customers c
+select c.customer_id, u.k::int as k, round(u.value::double, 6) as value from customers c
 join (select vec_id, unnest(range(0, len(embedding))) as k, unnest(embedding) as value from embeddings) u
   on u.vec_id = c.row_ord""", "customers"))
 def bind_embeddings(spark, d):

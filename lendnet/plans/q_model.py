@@ -76,8 +76,7 @@ def _assembled(spark, d):
 
 @query("label_encode", gf_sql(CLASSES_SQL + "\nselect col as \"column\", v as class, code from cls"))
 def label_encode(spark, d):
-    j = clean_view(spark, d).join(graph_features_view(spark, d), "customer_id", "left")
-    return CL.label_classes(j, CAT_COLS)
+    return _classes(spark, d)
 
 
 @query("assemble_features", gf_sql(ENC_SQL + "\nselect customer_id, " + ", ".join(
@@ -169,10 +168,14 @@ top as (select application_id, string_agg(feature, ',' order by rk) as top_featu
         group by application_id)"""
 
 
+def _classes(spark, d):
+    """Fitted category classes: they come from the cleaned customers alone (the left join
+    to graph features adds no categorical values)."""
+    return CL.label_classes(clean_view(spark, d), CAT_COLS)
+
+
 def _score(spark, d):
-    j = clean_view(spark, d).join(graph_features_view(spark, d), "customer_id", "left")
-    classes = CL.label_classes(j, CAT_COLS)
-    return MD.score_applications(FX.applications(spark, d), classes, graph_features_view(spark, d), 0.441)
+    return MD.score_applications(FX.applications(spark, d), _classes(spark, d), graph_features_view(spark, d), 0.441)
 
 
 @query("score_events", gf_sql(SCORE_SQL + """
@@ -210,8 +213,7 @@ def top_factors(spark, d):
 select cast(application_id as varchar) as scoring_event_id, feature, round(shap_value, 9) as shap_value
 from contrib""", "applications"))
 def linear_contrib(spark, d):
-    j = clean_view(spark, d).join(graph_features_view(spark, d), "customer_id", "left")
-    c = _contrib_frame(spark, d, CL.label_classes(j, CAT_COLS))
+    c = _contrib_frame(spark, d, _classes(spark, d))
     long = c.select(F.col("application_id").cast("string").alias("scoring_event_id"), F.explode("factors").alias("f"))
     return rnd(long.select("scoring_event_id", "f.feature", "f.shap_value"), ["shap_value"], 9)
 
@@ -219,9 +221,7 @@ def linear_contrib(spark, d):
 @query("global_importance", gf_sql(SCORE_SQL + """
 select feature, round(avg(abs(shap_value)), 9) as mean_abs from contrib group by feature""", "applications"))
 def global_importance(spark, d):
-    j = clean_view(spark, d).join(graph_features_view(spark, d), "customer_id", "left")
-    classes = CL.label_classes(j, CAT_COLS)
-    return rnd(_contrib_frame(spark, d, classes).transform(MD.global_importance), ["mean_abs"], 9)
+    return rnd(_contrib_frame(spark, d, _classes(spark, d)).transform(MD.global_importance), ["mean_abs"], 9)
 
 
 def _contrib_frame(spark, d, classes):
@@ -239,9 +239,7 @@ def _contrib_frame(spark, d, classes):
 select a.application_id, 'loan_grade' as "column", a.loan_grade as value from applications a
 where cast(a.loan_grade as varchar) not in (select v from cls where col = 'loan_grade')""", "applications"))
 def encode_reject(spark, d):
-    j = clean_view(spark, d).join(graph_features_view(spark, d), "customer_id", "left")
-    classes = CL.label_classes(j, CAT_COLS)
-    return CL.encode_reject(FX.applications(spark, d), classes, ["loan_grade"], "application_id")
+    return CL.encode_reject(FX.applications(spark, d), _classes(spark, d), ["loan_grade"], "application_id")
 
 
 @query("validate_requests", with_views("""

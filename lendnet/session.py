@@ -65,7 +65,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
-def persist_partitioned(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
+def persist_partitioned(df: DataFrame, key, num_partitions: int | None = None) -> DataFrame:
     """Hash-partition a static loop input on ``key`` and keep it (memory, spilling to disk).
 
     Unlike a checkpoint, a cached relation keeps its output partitioning, so joins on
@@ -74,7 +74,8 @@ def persist_partitioned(df: DataFrame, key: str, num_partitions: int | None = No
     """
     from pyspark import StorageLevel
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = [key] if isinstance(key, str) else list(key)
+    out = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
 

@@ -28,7 +28,7 @@ def test_degrees_count_parallel_edges_and_self_loops(g):
     c, e = g
     deg = {r.customer_id: (r.in_degree, r.out_degree, r.degree) for r in GE.degrees(c, e).collect()}
     assert deg["A"] == (1, 2, 3)
-    assert deg["C"] == (2, 2, 4)      # self-loop counts in and out
+    assert deg["C"] == (2, 3, 5)      # B->C, C->C in; C->A, C->C, C->D out
     assert deg["ISO"] == (0, 0, 0)
 
 
@@ -124,3 +124,17 @@ def test_results_do_not_depend_on_partitioning(spark, g, parts):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     base = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in graph_features(c, e).collect())
     assert gf == base
+
+
+def test_hub_salting_gives_the_same_results(spark):
+    """A star whose hub holds most edges: salted (hub threshold 2) = unsalted results."""
+    pairs = [("H", f"L{i}") for i in range(30)] + [(f"L{i}", "H") for i in range(0, 30, 3)] + \
+            [("L1", "L2"), ("L2", "L3"), ("L5", "H")]
+    cust = [("H", 1.0, 1.0, "Y")] + [(f"L{i}", 1.0, 1.0, "Y" if i % 4 == 0 else "N") for i in range(30)]
+    c, e = customers_df(spark, cust), edges_df(spark, pairs)
+    plain = by_id(PR.pagerank(c, e, iters=15), "pagerank")
+    salted = by_id(PR.pagerank(c, e, iters=15, hub_min_degree=2, salt_buckets=4), "pagerank")
+    assert all(abs(plain[k] - salted[k]) < 1e-12 for k in plain)
+    h_plain = by_id(hops.nbr_frac_2hop(c, e), "neighbor_default_frac_2hop")
+    h_salted = by_id(hops.nbr_frac_2hop(c, e, hub_min_degree=2), "neighbor_default_frac_2hop")
+    assert h_plain == h_salted
