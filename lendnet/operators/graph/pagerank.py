@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import DST, SRC
 from lendnet.operators.graph.skew import heavy_keys
-from lendnet.session import cut_lineage, persist_partitioned
+from lendnet.session import cut_lineage, partitions_for, persist_partitioned
 
 
 def _nparts(df: DataFrame, n: int | None) -> int:
@@ -34,13 +34,13 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     ``iters`` fixes the number of power iterations; with ``tol`` the loop also stops
     once the L1 change falls below ``N * tol`` (the usual convergence test).
     """
-    n = _nparts(edges, num_partitions)
     e = edges.select(F.col(SRC).alias("src"), F.col(DST).alias("dst"))
     if weighted:
         e = e.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
     else:
         e = e.distinct().withColumn("w", F.lit(1.0))
-    e = persist_partitioned(e, "src", n)          # collapsed edges, computed once
+    e = cut_lineage(e)                            # collapsed edges, computed once
+    n = num_partitions or partitions_for(e.count())
     wout = e.groupBy("src").agg(F.sum("w").alias("wout"), F.count(F.lit(1)).alias("k"))
     # hubs (sources with a large share of the edges) are spread over ``salt_buckets`` sub-keys:
     # their edges by a hash of dst, their rank row replicated once per bucket
@@ -55,10 +55,10 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     nodes = (customers.select(F.col("customer_id").alias("node"))
              .union(e.select(F.col("src").alias("node"))).union(e.select(F.col("dst").alias("node")))
              .distinct())
-    node_tab = persist_partitioned(nodes.join(wout.withColumnRenamed("src", "node"), "node", "left")
-                                   .select("node", F.col("wout").isNull().alias("dangling")), "node", n)
-    e.unpersist()
+    node_tab = cut_lineage(nodes.join(wout.withColumnRenamed("src", "node"), "node", "left")
+                           .select("node", F.col("wout").isNull().alias("dangling")))
     total = node_tab.count()
+    node_tab = persist_partitioned(node_tab, "node", partitions_for(total))
     if total == 0:
         return customers.select("customer_id", F.lit(0.0).alias("pagerank"))
     inv_n = 1.0 / total

@@ -25,11 +25,13 @@ def _nparts(df: DataFrame, n: int | None) -> int:
 def prefix_sum(df: DataFrame, order_cols: list, sum_cols: list[str], suffix: str = "_cum",
                inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Running sums of ``sum_cols`` along ``order_cols`` (inclusive by default)."""
-    n = _nparts(df, num_partitions)
     ocols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    # Range bounds come from sampling seeded per RDD, so two evaluations of the same
-    # range exchange can split differently: materialise it once and read it twice.
-    r = cut_lineage(df.repartitionByRange(n, *ocols).withColumn("_pid", F.spark_partition_id()))
+    # Without a fixed count AQE sizes the range partitions from the data (contiguous
+    # ranges are coalesced in order, so partition ids stay ordered). Range bounds come
+    # from sampling seeded per RDD, so two evaluations of the same range exchange can split
+    # differently: materialise it once and read it twice.
+    rp = df.repartitionByRange(num_partitions, *ocols) if num_partitions else df.repartitionByRange(*ocols)
+    r = cut_lineage(rp.withColumn("_pid", F.spark_partition_id()))
     frame = (Window.unboundedPreceding, Window.currentRow) if inclusive else (Window.unboundedPreceding, -1)
     w = Window.partitionBy("_pid").orderBy(*ocols).rowsBetween(*frame)
     local = r.withColumns({f"{c}_loc": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})

@@ -65,6 +65,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
+def partitions_for(rows: int, per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partition count from the data size (about ``per_partition`` rows each), not from a
+    fixed setting: one task for tiny tables, many for large ones."""
+    return max(1, -(-int(rows) // per_partition))
+
+
 def persist_partitioned(df: DataFrame, key, num_partitions: int | None = None) -> DataFrame:
     """Hash-partition a static loop input on ``key`` and keep it (memory, spilling to disk).
 
