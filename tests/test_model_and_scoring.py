@@ -104,3 +104,35 @@ def test_event_stamping(spark):
     df = stamp_events(spark.range(3).select(F.col("id").alias("customer_id")))
     rows = df.collect()
     assert len({r.scoring_event_id for r in rows}) == 3 and all(r.scored_at is not None for r in rows)
+
+
+def test_hybrid_comparison_reports_both_models(spark):
+    from lendnet.operators.graph.features import graph_features
+    from lendnet.operators.graph.spectral import spectral_embedding
+    from lendnet.plans.q_clean import clean_view
+    from lendnet.sources import fixtures as FX
+    cust, edges = FX.customers(spark, SF001), FX.edges(spark, SF001)
+    data, _ = MD.assemble_features(clean_view(spark, SF001), graph_features(cust, edges))
+    med = data.agg(F.median("person_income")).first()[0]
+    data = stratified_split(data.withColumn("label", (F.col("person_income") > med).cast("int")), "label",
+                            "customer_id", 42)
+    emb, _ = spectral_embedding(cust, edges, dim=2, iters=10)
+    res = {r.model: r for r in MD.compare_hybrid(data, emb, max_iter=5, max_depth=3).collect()}
+    assert set(res) == {"vanilla", "hybrid"}
+    assert abs(res["hybrid"].auc_delta - (res["hybrid"].roc_auc - res["vanilla"].roc_auc)) < 1e-12
+
+
+def test_features_from_flat_source(spark):
+    import os
+    import tempfile
+    from lendnet.operators.graph.features import features_from_source
+    d = tempfile.mkdtemp(prefix="lendnet-h9-")
+    rows = ["person_age,person_income,person_home_ownership,person_emp_length,loan_intent,loan_grade,loan_amnt,"
+            "loan_int_rate,loan_status,loan_percent_income,cb_person_default_on_file,cb_person_cred_hist_length"]
+    for i in range(40):
+        rows.append(f"{20 + i},{20000 + 1000 * i},{['RENT', 'OWN'][i % 2]},{i % 7},{['EDU', 'MED', 'VEN'][i % 3]},"
+                    f"{'ABC'[i % 3]},{1000 + 10 * i},{10 + i % 5},{i % 2},0.1,{'YN'[i % 2]},{i % 9 + 1}")
+    with open(os.path.join(d, "credit_risk_dataset.csv"), "w") as f:
+        f.write("\n".join(rows) + "\n")
+    gf = features_from_source(spark, d)
+    assert gf.count() == 40 and len(gf.columns) == 11
