@@ -21,10 +21,6 @@ from lendnet.operators.graph.skew import heavy_keys
 from lendnet.session import cut_lineage, partitions_for, persist_partitioned
 
 
-def _nparts(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: float = 0.85,
              tol: float | None = None, weighted: bool = False, checkpoint_every: int = 1,
              num_partitions: int | None = None, salt_buckets: int = 32,

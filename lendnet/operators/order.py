@@ -16,12 +16,6 @@ from lendnet.functions.columns import hash_key
 from lendnet.session import cut_lineage
 
 
-def _nparts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def prefix_sum(df: DataFrame, order_cols: list, sum_cols: list[str], suffix: str = "_cum",
                inclusive: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Running sums of ``sum_cols`` along ``order_cols`` (inclusive by default)."""
@@ -108,13 +102,12 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 42,
     class is spread over many tasks rather than one window partition.
     """
     h = df.withColumn("_h", hash_key(F.lit(seed), F.col(key)))
-    counts = h.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    first = (h.groupBy(label).agg(F.count(F.lit(1)).alias("_cnt")))
+    counts = h.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))      # one row per class
     # class start offsets: rank inside the class = global rank - rows of smaller labels
     r = with_row_ids(h, [label, "_h", key], name="_grk")
     w = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    starts = first.select(label, F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_start"))
-    r = r.join(F.broadcast(starts), label).join(F.broadcast(counts), label)
+    starts = counts.select(label, "_nc", F.coalesce(F.sum("_nc").over(w), F.lit(0)).alias("_start"))
+    r = r.join(F.broadcast(starts), label)
     rank = F.col("_grk") - F.col("_start")
     cuts = []
     acc = 0.0

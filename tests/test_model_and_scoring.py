@@ -51,8 +51,7 @@ def test_top_factors_sorted_by_abs(spark):
 
 def test_factor_json_round_trip(spark):
     df = spark.createDataFrame([([("a", 0.0001), ("b", -2.5)],)], "top_factors array<struct<feature:string,shap_value:double>>")
-    back = df.select(MD.factors_from_json(F.col("j")).alias("x")) if False else \
-        df.select(MD.factors_to_json().alias("j")).select(F.from_json("j", "array<struct<feature:string,shap_value:double>>").alias("x"))
+    back = df.select(MD.factors_to_json().alias("top_factors")).select(MD.factors_from_json().alias("x"))
     assert [(r.feature, r.shap_value) for r in back.collect()[0].x] == [("a", 0.0001), ("b", -2.5)]
 
 
