@@ -138,3 +138,14 @@ def test_hub_salting_gives_the_same_results(spark):
     h_plain = by_id(hops.nbr_frac_2hop(c, e), "neighbor_default_frac_2hop")
     h_salted = by_id(hops.nbr_frac_2hop(c, e, hub_min_degree=2), "neighbor_default_frac_2hop")
     assert h_plain == h_salted
+
+
+def test_hub_list_is_bounded(spark):
+    """heavy_keys never returns more than max_hubs keys, whatever the degree distribution."""
+    from pyspark.sql import functions as F
+    from lendnet.operators.graph.skew import heavy_keys
+    deg = spark.range(5000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 50 + 1).alias("d"))
+    total = deg.agg(F.sum("d").cast("double")).scalar()
+    for max_hubs in (1, 10, 100):
+        n = heavy_keys(deg, "k", "d", total, min_threshold=0, max_hubs=max_hubs).count()
+        assert n <= max_hubs
