@@ -19,6 +19,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.driver.memory", "6g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lendnet-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

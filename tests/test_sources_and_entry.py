@@ -38,10 +38,12 @@ def test_flat_source_and_csv_round_trip(spark):
 
 
 def test_replace_table_and_views(spark):
+    import uuid
+    name = f"lendnet_tmp_{uuid.uuid4().hex[:8]}"
     df = spark.range(5).withColumn("x", F.col("id") * 2)
-    SF.replace_table(df, "lendnet_tmp_tbl")
-    SF.replace_table(df.limit(3), "lendnet_tmp_tbl")
-    assert spark.table("lendnet_tmp_tbl").count() == 3
+    SF.replace_table(df, name)
+    SF.replace_table(df.limit(3), name)
+    assert spark.table(name).count() == 3
     SF.register_sources({"lendnet_v": df})
     assert spark.sql("select count(*) as n from lendnet_v").first().n == 5
 
