@@ -23,8 +23,8 @@ _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 
 OP10_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-s AS (SELECT doc_id, t, list_filter(string_split_regex(t, '[ \t-\r]+'), x -> x <> '') AS w,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^ \t-\r]')) AS l FROM d),
+s AS (SELECT doc_id, t, [x FOR x IN string_split_regex(t, '[ \t-\r]+') IF x <> ''] AS w,
+             [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^ \t-\r]')] AS l FROM d),
 tri AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS g
         FROM s, unnest(range(1, len(w) - 1)) AS r(p)),
 rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
@@ -34,7 +34,7 @@ m AS (SELECT s.doc_id, len(w)::BIGINT AS n_words,
              len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
              coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
-             len(list_filter(w, x -> x IN ({_STOPS}))) AS n_stop
+             len([x FOR x IN w IF x IN ({_STOPS})]) AS n_stop
       FROM s LEFT JOIN cov ON cov.doc_id = s.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
