@@ -7,7 +7,9 @@ derives the contract's digest columns. ``pipeline`` lives in ``corpus_pipeline.p
 from __future__ import annotations
 
 from lendnet.llm.common import table
+from lendnet.llm.langid import language_id
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
+from lendnet.llm.toxicity import toxicity
 
 REGISTRY: dict = {}
 
@@ -51,3 +53,13 @@ FROM m
 @query("op10_quality_rules", OP10_SQL)
 def op10_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents")).drop("failed_rules", "n_lines", "n_stop_words")
+
+
+@query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
