@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from lendnet.llm.common import table
 from lendnet.llm.langid import language_id
+from lendnet.llm.packing import pack
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
+from lendnet.llm.tokenfile import token_files
 from lendnet.llm.toxicity import toxicity
 
 REGISTRY: dict = {}
@@ -63,3 +65,18 @@ def op1_language_id(spark, sf_dir):
 @query("op9_toxicity")
 def op9_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@query("op2_packing")
+def op2_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op6_token_files")
+def op6_token_files(spark, sf_dir):
+    return token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
