@@ -10,6 +10,7 @@ from lendnet.llm.common import table
 from lendnet.llm.langid import language_id
 from lendnet.llm.packing import pack
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
+from lendnet.llm.secrets import scan
 from lendnet.llm.tokenfile import token_files
 from lendnet.llm.toxicity import toxicity
 
@@ -80,3 +81,8 @@ def op2_packing(spark, sf_dir):
 @query("op6_token_files")
 def op6_token_files(spark, sf_dir):
     return token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))
