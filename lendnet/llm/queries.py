@@ -7,6 +7,7 @@ derives the contract's digest columns. ``pipeline`` lives in ``corpus_pipeline.p
 from __future__ import annotations
 
 from lendnet.llm.common import table
+from lendnet.llm.html_text import extract_text
 from lendnet.llm.langid import language_id
 from lendnet.llm.packing import pack
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
@@ -86,3 +87,8 @@ def op6_token_files(spark, sf_dir):
 @query("op3_secret_scan")
 def op3_secret_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op7_html_text")
+def op7_html_text(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
