@@ -9,6 +9,7 @@ from __future__ import annotations
 from lendnet.llm.common import table
 from lendnet.llm.html_text import extract_text
 from lendnet.llm.langid import language_id
+from lendnet.llm.neardup import near_duplicates
 from lendnet.llm.packing import pack
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
 from lendnet.llm.secrets import scan
@@ -92,3 +93,8 @@ def op3_secret_scan(spark, sf_dir):
 @query("op7_html_text")
 def op7_html_text(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op8_near_duplicates")
+def op8_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2)
