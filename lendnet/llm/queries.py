@@ -7,6 +7,7 @@ derives the contract's digest columns. ``pipeline`` lives in ``corpus_pipeline.p
 from __future__ import annotations
 
 from lendnet.llm.common import table
+from lendnet.llm.decontam import contamination
 from lendnet.llm.html_text import extract_text
 from lendnet.llm.langid import language_id
 from lendnet.llm.neardup import near_duplicates
@@ -98,3 +99,8 @@ def op7_html_text(spark, sf_dir):
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
