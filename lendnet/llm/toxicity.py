@@ -157,23 +157,42 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dic
 
 def _score_batches(ref):
     def run(batches):
-        m = ref.value
         for b in batches:
-            score = np.zeros(b.num_rows)
-            if m is not None:
-                for lo, hi, r, t in _term_sets(b.column("text"), m["keys"]):
-                    vx = np.zeros((hi - lo, FACTORS))
-                    v2x = np.zeros((hi - lo, FACTORS))
-                    np.add.at(vx, r - lo, m["v"][t])
-                    np.add.at(v2x, r - lo, m["v"][t] ** 2)
-                    z = m["w0"] + np.bincount(r - lo, weights=m["w"][t], minlength=hi - lo) + _interaction(vx, v2x)
-                    score[lo:hi] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            score = _scores(ref.value, b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(score),
                  pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
     return run
 
 
+def _scores(m, col: pa.Array) -> np.ndarray:
+    score = np.zeros(len(col))
+    if m is not None:
+        for lo, hi, r, t in _term_sets(col, m["keys"]):
+            vx = np.zeros((hi - lo, FACTORS))
+            v2x = np.zeros((hi - lo, FACTORS))
+            np.add.at(vx, r - lo, m["v"][t])
+            np.add.at(v2x, r - lo, m["v"][t] ** 2)
+            z = m["w0"] + np.bincount(r - lo, weights=m["w"][t], minlength=hi - lo) + _interaction(vx, v2x)
+            score[lo:hi] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return score
+
+
+def _keep_batches(ref):
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(_scores(ref.value, b.column("text")) < 0.5))
+    return run
+
+
+def reject(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
+    """``docs`` (all columns) without the documents predicted toxic."""
+    spark = docs.sparkSession
+    src = docs.withColumn("text", F.col("text").cast("string"))
+    model = train(src.select("doc_id", "text"), labels.filter(fold_remainder("doc_id") != 0), max_train)
+    return src.mapInArrow(_keep_batches(spark.sparkContext.broadcast(model)), src.schema)
+
+
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
