@@ -14,6 +14,7 @@ from lendnet.llm.neardup import near_duplicates
 from lendnet.llm.packing import pack
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
 from lendnet.llm.secrets import scan
+from lendnet.llm.substring import substring_dedup
 from lendnet.llm.tokenfile import token_files
 from lendnet.llm.toxicity import toxicity
 
@@ -104,3 +105,8 @@ def op8_near_duplicates(spark, sf_dir):
 @query("op4_decontamination")
 def op4_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents"))

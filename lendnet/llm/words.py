@@ -100,9 +100,14 @@ class Words(NamedTuple):
         return np.repeat(np.arange(self.hi - self.lo), np.diff(self.first))
 
 
-def words(col: pa.Array, lower: bool = False, separators: np.ndarray = SPACE,
-          limit: int | None = None) -> Iterator[Words]:
-    raw, offsets = text_buffer(col)
+def words(col: pa.Array, lower: bool = False, separators: np.ndarray = SPACE) -> Iterator[Words]:
+    """Words of a string column, chunk by chunk."""
+    return raw_words(*text_buffer(col), lower, separators)
+
+
+def raw_words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = SPACE,
+              limit: int | None = None) -> Iterator[Words]:
+    """Words of texts given as UTF-8 bytes and row offsets."""
     for lo, hi in chunks(offsets, limit):
         buf = raw[offsets[lo]:offsets[hi]]
         bounds = offsets[lo:hi + 1] - offsets[lo]
