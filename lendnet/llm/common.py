@@ -59,3 +59,11 @@ def text_rows(docs: DataFrame, *cols: str) -> DataFrame:
 def fold_remainder(col, n: int = 5):
     """crc32 of the id as text, modulo ``n``: the documented held-out fold is remainder 0."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n if isinstance(col, str) else F.crc32(col) % n
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

@@ -2,9 +2,9 @@
 
 The benchmark is taken in parts of at most ``PART_WORDS`` words, so what a part broadcasts (its items'
 word hashes and their 3-word grams) is bounded whatever the benchmark's size; more parts mean more passes.
-For each part, one pass counts in how many documents each gram occurs; the rarer half of an item's
-grams (ties included) are its seeds, so every item has seeds even where its text is everywhere. A second
-pass finds the seeds in all documents, opens a window around each diagonal they lie on and aligns item
+For each part, one pass counts in how many documents each gram occurs; an item's seeds are its grams
+that occur in at most four times as many documents as its median gram, plus 32. So an item keeps most of
+its grams even where copies of it are everywhere, and loses the phrases common in any text. A second pass finds the seeds in all documents, opens a window around each diagonal they lie on and aligns item
 and window (match 1, mismatch and gap -0.5). The score is the best local alignment over the item's
 length: 1 for a copy, about 0.7 where a fifth of the words were edited.
 
@@ -123,7 +123,7 @@ def _rare_seeds(docs: DataFrame, items) -> dict:
     seed, item, pos = [], [], []
     for n, g in enumerate(grams):
         freq = df[np.searchsorted(keys, g)]
-        rare = np.flatnonzero(freq <= np.sort(freq)[(len(g) - 1) // 2])
+        rare = np.flatnonzero(freq <= 4 * np.sort(freq)[(len(g) - 1) // 2] + 32)
         seed.append(g[rare])
         item.append(np.full(len(rare), n))
         pos.append(rare)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import ship
+from lendnet.llm.common import free_name, ship
 
 DOCS_PER_BLOCK = 1 << 14
 MASK = "[REDACTED]"
@@ -216,34 +216,35 @@ def _scan_batches(rules, always):
     return run
 
 
-def _with_kinds(docs: DataFrame, rules) -> tuple[DataFrame, frozenset]:
-    """``docs`` plus ``kinds`` (candidate rules of the row), and the rules that scan every row."""
+def _with_kinds(docs: DataFrame, rules, name: str) -> tuple[DataFrame, frozenset]:
+    """``docs`` plus a column ``name`` (candidate rules of the row), and the rules that scan every row."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     always = frozenset(k for k, q in queries.items() if q is True)
     asked = {k: q for k, q in queries.items() if q is not True}
     vocabulary = sorted(set().union(*(trigrams_of(q) for q in asked.values())))
-    found = candidates(build_index(docs, vocabulary), asked)
-    return docs.withColumn("_key", _key()).join(
-        found.withColumnRenamed("key", "_key"), "_key", "left").drop("_key"), always
+    key = free_name(docs, "secret_key")
+    found = candidates(build_index(docs.select("doc_id", "text"), vocabulary), asked)
+    return docs.withColumn(key, _key()).join(found.select(F.col("key").alias(key), F.col("kinds").alias(name)),
+                                             key, "left").drop(key), always
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans ('kind:start:end', comma-joined)."""
     ship(docs.sparkSession)
     src = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows, always = _with_kinds(src, rules)
+    rows, always = _with_kinds(src, rules, "kinds")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.select("doc_id", "text", "kinds").mapInArrow(
         _scan_batches(rules, always),
         f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
-def _redact_batches(rules, always, mask):
+def _redact_batches(rules, always, mask, name):
     def run(batches):
         spans_of = _matcher(rules)
         for b in batches:
             out = []
-            for text, kinds in zip(b.column("text").to_pylist(), b.column("_kinds").to_pylist()):
+            for text, kinds in zip(b.column("text").to_pylist(), b.column(name).to_pylist()):
                 found = spans_of(text, always.union(kinds or ())) if text else []
                 at, parts = 0, []
                 for s, _, e in found:
@@ -253,13 +254,13 @@ def _redact_batches(rules, always, mask):
                 out.append("".join(parts) + text[at:] if found else text)
             i = b.schema.get_field_index("text")
             done = b.set_column(i, "text", pa.array(out, pa.string()))
-            yield done.drop_columns(["_kinds"])
+            yield done.drop_columns([name])
     return run
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = MASK) -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mask`` (overlapping spans by one)."""
     ship(docs.sparkSession)
-    rows, always = _with_kinds(docs.withColumn("text", F.col("text").cast("string")), rules)
-    rows = rows.withColumnRenamed("kinds", "_kinds")
-    return rows.mapInArrow(_redact_batches(rules, always, mask), docs.withColumn("text", F.col("text").cast("string")).schema)
+    src, name = docs.withColumn("text", F.col("text").cast("string")), free_name(docs, "secret_kinds")
+    rows, always = _with_kinds(src, rules, name)
+    return rows.mapInArrow(_redact_batches(rules, always, mask, name), src.schema)

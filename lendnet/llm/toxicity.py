@@ -148,6 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dic
     sample = F.broadcast(lab.filter(draw < rate))
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
             .select("label", "text").mapInArrow(_training_rows, "label int, terms binary").toArrow())
+    if rows.num_rows == 0:
+        return None
     sets = [np.frombuffer(x, np.uint64) for x in rows.column("terms").to_pylist()]
     y = rows.column("label").to_numpy().astype(float)
     # a fixed order of training rows, whatever order the tasks finished in
