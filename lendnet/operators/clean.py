@@ -84,6 +84,11 @@ def stg_relationships(edges: DataFrame) -> DataFrame:
                     F.when(t.isin(*VALID_EDGE_TYPES), t).otherwise("unknown").alias("validated_edge_type")))
 
 
+def category(c: str):
+    """The class of a value: its text; a missing value is the class 'None'."""
+    return F.coalesce(F.col(c).cast("string"), F.lit("None"))
+
+
 def label_classes(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fitted encoders as a table: (column, class, code) with classes sorted as strings.
 
@@ -91,7 +96,7 @@ def label_classes(df: DataFrame, cols: list[str]) -> DataFrame:
     by the categories, not by the rows, which is what makes it safe to broadcast.
     """
     from pyspark.sql import Window
-    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("class")).distinct()
+    parts = [df.select(F.lit(c).alias("column"), category(c).alias("class")).distinct()
              for c in cols]
     classes = parts[0]
     for p in parts[1:]:
@@ -106,7 +111,7 @@ def label_encode(df: DataFrame, classes: DataFrame, cols: list[str], keep_unknow
     for c in cols:
         m = classes.filter(F.col("column") == c).select(F.col("class").alias(f"_k_{c}"),
                                                         F.col("code").alias(f"_v_{c}"))
-        out = (out.join(F.broadcast(m), F.col(c).cast("string") == F.col(f"_k_{c}"), "left")
+        out = (out.join(m, category(c) == F.col(f"_k_{c}"), "left")
                .withColumn(c, F.col(f"_v_{c}")).drop(f"_k_{c}", f"_v_{c}"))
     if not keep_unknown:
         cond = None
@@ -121,7 +126,7 @@ def encode_reject(df: DataFrame, classes: DataFrame, cols: list[str], key: str)
     out = None
     for c in cols:
         m = classes.filter(F.col("column") == c).select(F.col("class").alias("_k"))
-        bad = (df.join(F.broadcast(m), F.col(c).cast("string") == F.col("_k"), "left_anti")
+        bad = (df.join(m, category(c) == F.col("_k"), "left_anti")
                .select(key, F.lit(c).alias("column"), F.col(c).cast("string").alias("value")))
         out = bad if out is None else out.unionByName(bad)
     return out
@@ -141,15 +146,22 @@ REQUEST_RULES = [
     ("loan_amnt", lambda: F.col("loan_amnt").isNull() | (F.col("loan_amnt") <= 0), "loan_amnt must be > 0"),
     ("loan_int_rate", lambda: F.col("loan_int_rate").isNull() | (F.col("loan_int_rate") < 0),
      "loan_int_rate must be >= 0"),
+    ("loan_percent_income", lambda: F.col("loan_percent_income").isNull() | (F.col("loan_percent_income") < 0),
+     "loan_percent_income must be >= 0"),
+    ("cb_person_cred_hist_length", lambda: F.col("cb_person_cred_hist_length").isNull()
+     | (F.col("cb_person_cred_hist_length") < 0), "cb_person_cred_hist_length must be >= 0"),
     ("cb_person_default_on_file", lambda: F.col("cb_person_default_on_file").isNull()
      | ~F.col("cb_person_default_on_file").isin(0, 1), "cb_person_default_on_file must be 0 or 1"),
 ]
 
 
 def validate_requests(df: DataFrame) -> DataFrame:
-    """Add ``reasons`` (array of failed rules) and ``accepted`` (no failures)."""
-    present = [r for r in REQUEST_RULES if r[0] in df.columns]
-    reasons = F.array_compact(F.array(*[F.when(cond(), F.lit(msg)) for _, cond, msg in present]))
+    """Add ``reasons`` (array of failed rules) and ``accepted`` (no failures).
+
+    Every field is required: a rule whose column the input lacks fails on every row.
+    """
+    reasons = F.array_compact(F.array(*[
+        F.when(cond() if name in df.columns else F.lit(True), F.lit(msg)) for name, cond, msg in REQUEST_RULES]))
     return df.withColumn("reasons", reasons).withColumn("accepted", F.size("reasons") == 0)
 
 

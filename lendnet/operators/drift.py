@@ -23,9 +23,9 @@ def grouped_prefix_sum(df: DataFrame, group: str, order: str, cols: list[str]) -
     p = prefix_sum(df, [group, order], cols)
     tot = df.groupBy(group).agg(*[F.sum(c).alias(f"{c}_g") for c in cols])
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    start = tot.select(group, *[F.coalesce(F.sum(f"{c}_g").over(w), F.lit(0)).alias(f"{c}_s") for c in cols],
+    start = tot.select(F.col(group).alias("_group"), *[F.coalesce(F.sum(f"{c}_g").over(w), F.lit(0)).alias(f"{c}_s") for c in cols],
                        *[F.col(f"{c}_g") for c in cols])
-    j = p.join(F.broadcast(start), group)
+    j = p.join(start, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
     return j.withColumns({f"{c}_cum": F.col(f"{c}_cum") - F.col(f"{c}_s") for c in cols}).drop(
         *[f"{c}_s" for c in cols])
 

@@ -14,7 +14,12 @@ def band_distribution(events: DataFrame) -> DataFrame:
 
 def hourly_rollup(events: DataFrame, ts: str = "scored_at") -> DataFrame:
     """(hour, decision_band, event_count, risk_sum) - the insert-maintained rollup, in batch."""
-    return (events.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"), "decision_band")
+    return rollup_by(events, F.date_trunc("hour", F.col(ts)))
+
+
+def rollup_by(events: DataFrame, hour) -> DataFrame:
+    """The rollup over a given hour expression (a stream passes its window's start)."""
+    return (events.groupBy(hour.alias("hour"), "decision_band")
             .agg(F.count(F.lit(1)).alias("event_count"), F.sum("risk_score").alias("risk_sum")))
 
 

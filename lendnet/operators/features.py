@@ -94,6 +94,16 @@ def graph_lookup(requests: DataFrame, stored: DataFrame) -> DataFrame:
     return j.drop("_g_hit", *[f"_g_{c}" for c in GRAPH_FEATURES])
 
 
+def bind_embeddings(features: DataFrame, embeddings: DataFrame, key: str, emb_key: str,
+                    col: str = "embedding") -> DataFrame:
+    """C11: every row of ``features`` with its embedding as array<double>, matched on a key; rows without
+    one get zeros of the table's width."""
+    width = embeddings.agg(F.coalesce(F.max(F.size(col)), F.lit(0))).scalar()
+    e = embeddings.select(F.col(emb_key).alias("_emb_key"), F.col(col).cast("array<double>").alias("_emb"))
+    j = features.join(e, F.col(key) == F.col("_emb_key"), "left")
+    return j.withColumn(col, F.coalesce("_emb", F.array_repeat(F.lit(0.0), width.cast("int")))).drop("_emb_key", "_emb")
+
+
 def induced_subgraph(customers: DataFrame, edges: DataFrame, n: int, order_col: str = "row_ord"):
     """The first ``n`` customers by ``order_col`` and the edges between them.
 

@@ -1,8 +1,8 @@
 """Multi-source breadth-first distance on the undirected collapsed network.
 
 One frontier loop for all sources at once (never one search per node): each step
-joins the frontier with the adjacency (partitioned on ``src`` and cached), removes
-visited nodes with an anti-join, and checkpoints the new frontier. The loop runs
+joins the frontier with the checkpointed adjacency, removes visited nodes with an
+anti-join, and checkpoints the new frontier. The loop runs
 for as many steps as the graph's eccentricity from the source set.
 """
 
@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import undirected_edges
-from lendnet.session import cut_lineage, persist_partitioned
+from lendnet.session import cut_lineage
 
 
 def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
-    """(node, dist) for every node reachable from ``sources`` (column ``node``)."""
-    n = num_partitions or int(und.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                     cut: bool = True) -> DataFrame:
+    """(node, dist) for every node reachable from ``sources`` (column ``node``); ``cut=False`` where
+    ``und`` is stored already."""
     # not pre-partitioned: a small frontier is broadcast; a large one goes through a shuffle
     # join where AQE can split a hub's partition
-    adj = cut_lineage(und.select("src", "dst"))
+    adj = cut_lineage(und.select("src", "dst")) if cut else und.select("src", "dst")
     frontier = cut_lineage(sources.select("node").distinct().withColumn("dist", F.lit(0)))
     visited = frontier
     depth = 0
@@ -41,12 +41,11 @@ def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None =
 
 
 def distance_to_prior_default(customers: DataFrame, edges: DataFrame,
-                              flag_col: str = "cb_person_default_on_file") -> DataFrame:
+                              flag_col: str = "cb_person_default_on_file", und: DataFrame | None = None) -> DataFrame:
     """0 at prior-default customers, hops to the nearest one elsewhere, -1 when unreachable."""
     from lendnet.operators.graph.hops import default_flags
-    und = undirected_edges(edges)
     src = default_flags(customers, flag_col).filter(F.col("d") == 1).select("node")
-    dist = multi_source_bfs(und, src)
+    dist = multi_source_bfs(undirected_edges(edges), src) if und is None else multi_source_bfs(und, src, cut=False)
     return (customers.select("customer_id").join(dist, dist["node"] == F.col("customer_id"), "left")
             .select("customer_id", F.coalesce(F.col("dist"), F.lit(-1)).cast("int")
                     .alias("distance_to_prior_default")))

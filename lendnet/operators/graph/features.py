@@ -30,10 +30,12 @@ def graph_features(customers: DataFrame, edges: DataFrame, pagerank: str = "simp
         pr = PR.degree_share(deg)
     else:
         pr = PR.pagerank(cust, e, iters=pagerank_iters, weighted=(pagerank == "weighted"))
-    dist = bfs.distance_to_prior_default(cust, e, flag_col)
-    clus = triangles.clustering(cust, e)
-    h1 = hops.nbr_frac_1hop(cust, e, flag_col)
-    h2 = hops.nbr_frac_2hop(cust, e, flag_col)
+    # the undirected edge set once, for the four operators that read it
+    und = cut_lineage(GE.undirected_edges(e))
+    dist = bfs.distance_to_prior_default(cust, e, flag_col, und=und)
+    clus = triangles.clustering(cust, e, und=und)
+    h1 = hops.nbr_frac_1hop(cust, e, flag_col, und=und)
+    h2 = hops.nbr_frac_2hop(cust, e, flag_col, und=und)
     out = deg
     for part in (pr, dist, clus, h1, h2):
         out = out.join(part, "customer_id", "left")

@@ -30,8 +30,8 @@ def default_flags(customers: DataFrame, flag_col: str = "cb_person_default_on_fi
 
 
 def nbr_frac_1hop(customers: DataFrame, edges: DataFrame,
-                  flag_col: str = "cb_person_default_on_file") -> DataFrame:
-    u = undirected_edges(edges)
+                  flag_col: str = "cb_person_default_on_file", und: DataFrame | None = None) -> DataFrame:
+    u = undirected_edges(edges) if und is None else und
     flags = default_flags(customers, flag_col).withColumnRenamed("node", "dst")
     share = (u.join(flags, "dst", "left")
              .groupBy(F.col("src").alias("customer_id"))
@@ -41,9 +41,9 @@ def nbr_frac_1hop(customers: DataFrame, edges: DataFrame,
 
 
 def two_hop_pairs(customers: DataFrame, edges: DataFrame, salt_buckets: int = 32,
-                  hub_min_degree: int = 1000) -> DataFrame:
+                  hub_min_degree: int = 1000, und: DataFrame | None = None) -> DataFrame:
     """Distinct (customer_id, x): x reachable in two steps through a customer, x not self, not 1-hop."""
-    u = undirected_edges(edges)
+    u = undirected_edges(edges) if und is None else und
     ids = customers.select(F.col("customer_id").alias("src"))
     first = u.join(ids, "src", "left_semi").select(F.col("src").alias("c"), F.col("dst").alias("mid"))
     second = u.join(ids, "src", "left_semi").select(F.col("src").alias("mid"), F.col("dst").alias("x"))
@@ -58,8 +58,9 @@ def two_hop_pairs(customers: DataFrame, edges: DataFrame, salt_buckets: int = 32
 
 
 def nbr_frac_2hop(customers: DataFrame, edges: DataFrame,
-                  flag_col: str = "cb_person_default_on_file", hub_min_degree: int = 1000) -> DataFrame:
-    pairs = two_hop_pairs(customers, edges, hub_min_degree=hub_min_degree)
+                  flag_col: str = "cb_person_default_on_file", hub_min_degree: int = 1000,
+                  und: DataFrame | None = None) -> DataFrame:
+    pairs = two_hop_pairs(customers, edges, hub_min_degree=hub_min_degree, und=und)
     flags = default_flags(customers, flag_col).withColumnRenamed("node", "x")
     share = (pairs.join(flags, "x", "left").groupBy("customer_id")
              .agg(F.avg(F.coalesce(F.col("d"), F.lit(0))).alias("share")))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import undirected_edges
+from lendnet.session import cut_lineage
 
 
 def oriented_edges(und: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -30,19 +31,21 @@ def oriented_edges(und: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def triangle_counts(und: DataFrame) -> DataFrame:
     """(node, triangles) for nodes in at least one triangle; ``und`` has no self-loops."""
-    o, _ = oriented_edges(und)
+    o = cut_lineage(oriented_edges(und)[0])      # read twice by the wedge join
     w1 = o.select("a", F.col("b").alias("x"))
     w2 = o.select("a", F.col("b").alias("y"))
     wedges = w1.join(w2, "a").filter(F.col("x") < F.col("y"))
     close = und.select(F.col("src").alias("x"), F.col("dst").alias("y"))
     tri = wedges.join(close, ["x", "y"], "left_semi")
-    corners = (tri.select(F.col("a").alias("node")).unionAll(tri.select(F.col("x").alias("node")))
-               .unionAll(tri.select(F.col("y").alias("node"))))
+    # one pass over the triangles credits all three corners
+    corners = tri.select(F.explode(F.array("a", "x", "y")).alias("node"))
     return corners.groupBy("node").agg(F.count(F.lit(1)).alias("triangles"))
 
 
-def clustering(customers: DataFrame, edges: DataFrame) -> DataFrame:
-    und = undirected_edges(edges, keep_self_loops=False)
+def clustering(customers: DataFrame, edges: DataFrame, und: DataFrame | None = None) -> DataFrame:
+    """``und``: the undirected edge set, where the caller has it already (self-loops are dropped)."""
+    und = cut_lineage(undirected_edges(edges)) if und is None else und
+    und = und.filter("src <> dst")
     deg = und.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("d"))
     tri = triangle_counts(und)
     j = (customers.select("customer_id")

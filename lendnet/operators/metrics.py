@@ -22,8 +22,8 @@ def score_histogram(df: DataFrame, label: str = "y", score: str = "p") -> DataFr
 def roc_auc(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     """Exact ROC-AUC with ties: sum(pos * (neg below + neg / 2)) / (P * N)."""
     h = prefix_sum(score_histogram(df, label, score), ["score"], ["neg"], inclusive=False)
-    return h.agg((F.sum(F.col("pos") * (F.col("neg_cum") + F.col("neg") / F.lit(2.0)))
-                  / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+    return h.agg((F.sum(F.col("pos").cast("double") * (F.col("neg_cum") + F.col("neg") / F.lit(2.0)))
+                  / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("roc_auc"))
 
 
 def pr_curve(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:

@@ -8,12 +8,13 @@ instead of a point read per request.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendnet.functions.columns import decision_band, sigmoid
 from lendnet.operators.clean import label_classes, label_encode, validate_requests
 from lendnet.operators.features import derived_features, graph_lookup, with_graph_defaults
+from lendnet.operators.trees import gbt_nodes, tree_contrib
 from lendnet.schemas import CAT_COLS, FACTOR_TYPE, FEATURES, GRAPH_FEATURES, TARGET
 from lendnet.session import cut_lineage
 
@@ -47,7 +48,8 @@ def vectorize(df: DataFrame, cols: list[str] = FEATURES, out: str = "features")
 
 
 def train_gbt(train: DataFrame, label: str = "label", seed: int = 42, max_iter: int = 20, max_depth: int = 5,
-              step_size: float = 0.1, subsample: float = 0.8, validation_col: str | None = None):
+              step_size: float = 0.1, subsample: float = 0.8, validation_col: str | None = None,
+              cols: list[str] = FEATURES):
     """Boosted trees with the positive class weighted by neg/pos; optional early stop
     on a validation indicator column."""
     from pyspark.ml.classification import GBTClassifier
@@ -55,7 +57,7 @@ def train_gbt(train: DataFrame, label: str = "label", seed: int = 42, max_iter:
                        F.sum((F.col(label) == 1).cast("long")).alias("pos"))
     w = F.when(counts.select("pos").scalar() > 0,
                counts.select("neg").scalar() / counts.select("pos").scalar()).otherwise(F.lit(1.0))
-    data = vectorize(train).withColumn("weight", F.when(F.col(label) == 1, w).otherwise(F.lit(1.0)))
+    data = vectorize(train, cols).withColumn("weight", F.when(F.col(label) == 1, w).otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsample, seed=seed,
                         featureSubsetStrategy="all", minInstancesPerNode=3, minInfoGain=0.0)
@@ -112,16 +114,21 @@ def factors_from_json(col: str = "top_factors"):
 def global_importance(contrib: DataFrame, col: str = "factors") -> DataFrame:
     """Mean |contribution| per feature, ranked (1 = most important)."""
     long = contrib.select(F.explode(col).alias("f")).select("f.feature", F.abs("f.shap_value").alias("a"))
-    return long.groupBy("feature").agg(F.avg("a").alias("mean_abs"))
+    # one row per feature: the window sees a handful of rows
+    w = Window.orderBy(F.col("mean_abs").desc(), "feature")
+    return long.groupBy("feature").agg(F.avg("a").alias("mean_abs")).withColumn("rank", F.row_number().over(w))
 
 
 def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
                        threshold: float, id_col: str = "application_id", ts_col: str = "applied_at",
                        coefs: dict[str, float] = SCORECARD,
                        baseline: DataFrame | None = None,
-                       materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+                       materialize: bool = True, model=None) -> tuple[DataFrame, DataFrame]:
     """(events, rejects). Events carry risk, band, JSON top factors, amount and time.
 
+    With ``model`` (a fitted boosted-trees classifier over ``FEATURES``) the risk is its probability and
+    the factors are tree path contributions; without it the linear scorecard is used.
+
     Rejects are rows failing validation or carrying a category unknown to ``classes``.
     """
     v = validate_requests(apps)
@@ -134,11 +141,15 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
     rejects = enc.filter(~F.col("accepted")).select(id_col, "customer_id", "reasons")
     ok = enc.filter(F.col("accepted"))
     feat = derived_features(graph_lookup(with_graph_defaults(ok), stored_graph))
-    # the scored table feeds the attribution means and the events: materialise it once
-    scored = scorecard_score(feat, coefs)
-    if materialize:          # batch only: a streaming plan cannot be checkpointed mid-query
-        scored = cut_lineage(scored)
-    attributed = top_factors(linear_contrib(scored, coefs, baseline))
+    if model is not None:
+        scored = tree_contrib(feat, gbt_nodes(model), FEATURES)
+        attributed = top_factors(scored.withColumn("risk_score", sigmoid(F.lit(2.0) * F.col("margin"))))
+    else:
+        # the scored table feeds the attribution means and the events: materialise it once
+        scored = scorecard_score(feat, coefs)
+        if materialize:          # batch only: a streaming plan cannot be checkpointed mid-query
+            scored = cut_lineage(scored)
+        attributed = top_factors(linear_contrib(scored, coefs, baseline))
     events = attributed.select(
         F.col(id_col).cast("string").alias("scoring_event_id"), "customer_id", "risk_score",
         decision_band("risk_score", threshold).alias("decision_band"),
@@ -148,14 +159,15 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
 
 
 def append_run_metrics(run_id: str, params: dict, metrics: DataFrame, path: str) -> None:
-    """Append one run's parameters and metrics (long format) to a parquet table."""
+    """One run's parameters and metrics (long format), kept under the run's id: a retried run
+    replaces its own rows instead of logging twice."""
     spark = metrics.sparkSession
     long = metrics.unpivot([], [c for c in metrics.columns], "metric", "value").select(
         F.lit(run_id).alias("run_id"), "metric", F.col("value").cast("double").alias("value"))
     prm = spark.createDataFrame([(run_id, k, str(v)) for k, v in sorted(params.items())],
                                 "run_id string, param string, value string")
-    long.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/metrics")
-    prm.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(f"{path}/params")
+    long.withColumn("logged_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/metrics/run={run_id}")
+    prm.withColumn("logged_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/params/run={run_id}")
 
 
 def compare_hybrid(data: DataFrame, embeddings: DataFrame, split_col: str = "split", label: str = "label",
@@ -163,7 +175,7 @@ def compare_hybrid(data: DataFrame, embeddings: DataFrame, split_col: str = "spl
     """AUC of boosted trees on the 29 features vs. the same plus embedding columns,
     on the same split. ``embeddings``: (customer_id, embedding array<double>)."""
     from lendnet.operators.metrics import roc_auc
-    dim = len(embeddings.select("embedding").first()[0] or [])
+    dim = embeddings.agg(F.max(F.size("embedding"))).first()[0] or 0
     ecols = [f"emb_{i}" for i in range(dim)]
     hyb = data.join(embeddings, "customer_id", "left").withColumns(
         {c: F.coalesce(F.col("embedding")[i], F.lit(0.0)) for i, c in enumerate(ecols)})
@@ -171,9 +183,7 @@ def compare_hybrid(data: DataFrame, embeddings: DataFrame, split_col: str = "spl
     for name, df, cols in (("vanilla", data, FEATURES), ("hybrid", hyb, FEATURES + ecols)):
         tr = df.filter(F.col(split_col) == "train")
         te = df.filter(F.col(split_col) == "test")
-        from pyspark.ml.classification import GBTClassifier
-        model = GBTClassifier(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                              seed=seed).fit(vectorize(tr, cols))
+        model = train_gbt(tr, label=label, cols=cols, max_iter=max_iter, max_depth=max_depth, seed=seed)
         pred = predict_proba_cols(model, te, cols)
         auc = roc_auc(pred.select(F.col(label).alias("y"), F.col("risk_score").alias("p"))).first()[0]
         out.append((name, float(auc)))

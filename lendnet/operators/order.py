@@ -106,8 +106,10 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 42,
     # class start offsets: rank inside the class = global rank - rows of smaller labels
     r = with_row_ids(h, [label, "_h", key], name="_grk")
     w = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(label, "_nc", F.coalesce(F.sum("_nc").over(w), F.lit(0)).alias("_start"))
-    r = r.join(F.broadcast(starts), label)
+    starts = counts.select(F.col(label).alias("_class"), "_nc",
+                           F.coalesce(F.sum("_nc").over(w), F.lit(0)).alias("_start"))
+    # null-safe: rows without a label are a class of their own, split like any other
+    r = r.join(starts, F.col(label).eqNullSafe(F.col("_class"))).drop("_class")
     rank = F.col("_grk") - F.col("_start")
     cuts = []
     acc = 0.0

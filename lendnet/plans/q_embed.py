@@ -146,12 +146,12 @@ def norm_laplacian(spark, d):
 
 
 @query("bind_embeddings", with_views("""
-select c.customer_id, u.k::int as k, round(u.value::double, 6) as value from customers c
-join (select vec_id, unnest(range(0, len(embedding))) as k, unnest(embedding) as value from embeddings) u
-  on u.vec_id = c.row_ord""", "customers"))
+select c.customer_id, d.k::int as k, coalesce(round(e.embedding[d.k + 1]::double, 6), 0e0) as value
+from customers c cross join (select unnest(range(0, (select max(len(embedding)) from embeddings))) as k) d
+left join embeddings e on e.vec_id = c.row_ord""", "customers"))
 def bind_embeddings(spark, d):
     emb = FX.read_table(spark, d, "embeddings")
-    j = FX.customers(spark, d).join(emb, F.col("row_ord") == F.col("vec_id"))
+    j = FE.bind_embeddings(FX.customers(spark, d), emb, "row_ord", "vec_id")
     ex = j.select("customer_id", F.posexplode("embedding").alias("k", "value"))
     return rnd(ex.withColumn("value", F.col("value").cast("double")), ["value"], 6).withColumn("k", F.col("k").cast("int"))
 
@@ -201,7 +201,8 @@ def run_summary(spark, d):
 
 @query("random_walks")
 def random_walks(spark, d):
-    return WK.random_walks(FX.edges(spark, d), walks_per_node=1, length=5, p=1.0, q=1.0, seed=42)
+    nodes = FX.customers(spark, d).select(F.col("customer_id").alias("node"))
+    return WK.random_walks(FX.edges(spark, d), nodes, walks_per_node=2, length=10, p=1.0, q=0.5, seed=42)
 
 
 @query("walk_embeddings")

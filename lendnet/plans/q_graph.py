@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph import edges as GE
 from lendnet.operators.graph import hops as GH
 from lendnet.plans.catalog import query, rnd
 from lendnet.sources import fixtures as FX
+from lendnet.session import ensure_checkpoint_dir
+from lendnet.sources.files import path_exists
 from lendnet.sources.fixtures import with_views
 
 # Crisis window for the fixture's order dates (1997-01-01 .. 2000-01-01, unix seconds).
@@ -288,8 +292,19 @@ GF_DOUBLES9 = ["norm_in_degree", "norm_out_degree", "clustering_coefficient", "n
                "neighbor_default_frac_2hop"]
 
 
+_FEATURE_STORE: dict[tuple[str, str], str] = {}
+
+
 def graph_features_view(spark, d):
-    return _graph_features(FX.customers(spark, d), FX.edges(spark, d))
+    """The feature table of ``d`` from the feature store: computed and written to the shared folder at the
+    first use in an application, read back by every later query of it."""
+    key = (spark.sparkContext.applicationId, d)
+    path = _FEATURE_STORE.get(key)
+    if path is None or not path_exists(spark, path):
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
+        _graph_features(FX.customers(spark, d), FX.edges(spark, d)).write.parquet(path)
+        _FEATURE_STORE[key] = path
+    return spark.read.parquet(path)
 
 
 def round_gf(df):
@@ -298,4 +313,4 @@ def round_gf(df):
 
 @query("graph_features", with_views(f"with recursive {GF_CTE}\n{GF_ROUND} from gf", "customers", "edges"))
 def graph_features(spark, d):
-    return round_gf(graph_features_view(spark, d))
+    return round_gf(_graph_features(FX.customers(spark, d), FX.edges(spark, d)))   # always computed anew

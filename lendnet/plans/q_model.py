@@ -9,6 +9,7 @@ from lendnet.operators import features as FE
 from lendnet.operators import model as MD
 from lendnet.plans.catalog import query, rnd
 from lendnet.plans.q_clean import CLEAN_SQL, STG_SQL, clean_view
+from lendnet.operators.trees import TreeNode, tree_contrib
 from lendnet.plans.q_graph import GF_CTE, GF_ROUND, graph_features_view, round_gf
 from lendnet.schemas import CAT_COLS, FEATURES, GRAPH_FEATURES
 from lendnet.sources import fixtures as FX
@@ -135,6 +136,32 @@ def prior_default_prob(spark, d):
     return rnd(FE.prior_default_prob(g).select("customer_id", "prior_default_prob"), ["prior_default_prob"], 9)
 
 
+# A small fixed forest: (tree, node, feature, threshold, left, right, value, weight); feature -1 = leaf.
+SMALL_FEATURES = ["person_age", "person_income", "loan_amnt", "loan_int_rate"]
+SMALL_FOREST = [TreeNode(*x) for x in (
+    (0, 0, 1, 60000.0, 1, 2, 0.1, 1.0), (0, 1, 2, 15000.0, 3, 4, 0.4, 1.0), (0, 2, -1, 0.0, -1, -1, -0.3, 1.0),
+    (0, 3, -1, 0.0, -1, -1, 0.2, 1.0), (0, 4, -1, 0.0, -1, -1, 0.9, 1.0),
+    (1, 0, 3, 14.0, 1, 2, 0.05, 0.1), (1, 1, -1, 0.0, -1, -1, -0.2, 0.1), (1, 2, 0, 30.0, 3, 4, 0.5, 0.1),
+    (1, 3, -1, 0.0, -1, -1, 0.8, 0.1), (1, 4, -1, 0.0, -1, -1, 0.3, 0.1))]
+
+
+@query("tree_contrib", with_views("""
+select customer_id, round(m0 + m1, 9) as margin, round(c_age, 9) as person_age, round(c_income, 9) as person_income,
+ round(c_amnt, 9) as loan_amnt, round(c_rate, 9) as loan_int_rate
+from (select customer_id,
+ case when person_income <= 60000 then case when loan_amnt <= 15000 then 0.2e0 else 0.9e0 end else -0.3e0 end as m0,
+ 0.1e0 * case when r <= 14 then -0.2e0 when person_age <= 30 then 0.8e0 else 0.3e0 end as m1,
+ case when person_income <= 60000 then 0.3e0 else -0.4e0 end as c_income,
+ case when person_income <= 60000 then case when loan_amnt <= 15000 then -0.2e0 else 0.5e0 end else 0e0 end as c_amnt,
+ 0.1e0 * case when r <= 14 then -0.25e0 else 0.45e0 end as c_rate,
+ 0.1e0 * case when r <= 14 then 0e0 when person_age <= 30 then 0.3e0 else -0.2e0 end as c_age
+ from (select *, coalesce(loan_int_rate, 1e9) as r from customers))""", "customers"))
+def tree_contrib_small(spark, d):
+    t = tree_contrib(FX.customers(spark, d).select("customer_id", *SMALL_FEATURES), SMALL_FOREST, SMALL_FEATURES)
+    cols = [F.col("factors")[i]["shap_value"].alias(c) for i, c in enumerate(SMALL_FEATURES)]
+    return rnd(t.select("customer_id", "margin", *cols), ["margin", *SMALL_FEATURES], 9)
+
+
 # ---------------------------------------------------------------- scoring
 
 SC_TERMS = " + ".join(f"{c}e0 * {f}" if c >= 0 else f"{c}e0 * {f}" for f, c in MD.SCORECARD.items())
@@ -149,6 +176,7 @@ val as (select a.*, h.code as home_c, i.code as intent_c, gr.code as grade_c fro
 acc as (select * from val where customer_id is not null and person_age between 18 and 100 and person_income > 0
   and person_home_ownership is not null and person_emp_length >= 0 and loan_intent is not null
   and loan_grade is not null and loan_amnt > 0 and loan_int_rate >= 0 and cb_person_default_on_file in (0, 1)
+  and loan_percent_income >= 0 and cb_person_cred_hist_length >= 0
   and home_c is not null and intent_c is not null and grade_c is not null),
 lk as (select acc.application_id, acc.customer_id, acc.person_age, acc.person_income, acc.loan_amnt,
   acc.loan_int_rate, acc.cb_person_default_on_file, acc.applied_at,
@@ -219,7 +247,8 @@ def linear_contrib(spark, d):
 
 
 @query("global_importance", gf_sql(SCORE_SQL + """
-select feature, round(avg(abs(shap_value)), 9) as mean_abs from contrib group by feature""", "applications"))
+select feature, mean_abs, cast(row_number() over (order by mean_abs desc, feature) as int) as rank
+from (select feature, round(avg(abs(shap_value)), 9) as mean_abs from contrib group by feature)""", "applications"))
 def global_importance(spark, d):
     return rnd(_contrib_frame(spark, d, _classes(spark, d)).transform(MD.global_importance), ["mean_abs"], 9)
 
@@ -237,9 +266,13 @@ def _contrib_frame(spark, d, classes):
 
 @query("encode_reject", gf_sql(CLASSES_SQL + """
 select a.application_id, 'loan_grade' as "column", a.loan_grade as value from applications a
-where cast(a.loan_grade as varchar) not in (select v from cls where col = 'loan_grade')""", "applications"))
+where cast(a.loan_grade as varchar) not in (select v from cls where col = 'loan_grade')
+union all select a.application_id, 'loan_intent', a.loan_intent from applications a
+where a.loan_intent not in (select v from cls where col = 'loan_intent')
+union all select a.application_id, 'person_home_ownership', a.person_home_ownership from applications a
+where a.person_home_ownership not in (select v from cls where col = 'person_home_ownership')""", "applications"))
 def encode_reject(spark, d):
-    return CL.encode_reject(FX.applications(spark, d), _classes(spark, d), ["loan_grade"], "application_id")
+    return CL.encode_reject(FX.applications(spark, d), _classes(spark, d), CAT_COLS, "application_id")
 
 
 @query("validate_requests", with_views("""
@@ -247,11 +280,14 @@ select application_id,
  (customer_id is not null and person_age between 18 and 100 and person_income > 0
   and person_home_ownership is not null and coalesce(person_emp_length >= 0, false) and loan_intent is not null
   and loan_grade is not null and loan_amnt > 0 and coalesce(loan_int_rate >= 0, false)
+  and loan_percent_income >= 0 and coalesce(cb_person_cred_hist_length >= 0, false)
   and cb_person_default_on_file in (0, 1)) as accepted,
  (case when person_age < 18 or person_age > 100 or person_age is null then 1 else 0 end
   + case when person_income is null or person_income <= 0 then 1 else 0 end
   + case when person_emp_length is null or person_emp_length < 0 then 1 else 0 end
   + case when loan_amnt is null or loan_amnt <= 0 then 1 else 0 end
+  + case when loan_percent_income is null or loan_percent_income < 0 then 1 else 0 end
+  + case when cb_person_cred_hist_length is null or cb_person_cred_hist_length < 0 then 1 else 0 end
   + case when loan_int_rate is null or loan_int_rate < 0 then 1 else 0 end) as n_reasons
 from applications""", "applications"))
 def validate_requests(spark, d):

@@ -8,15 +8,16 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "lendnet") -> SparkSession:
     """A session with AQE (coalescing + skew join) on and the UI off.
 
-    On a cluster, ``master`` is left to spark-submit; locally pass ``local[N]``.
+    On a cluster, ``master`` is left to spark-submit; locally pass ``local[N]``. The number of shuffle
+    partitions is set only on request, or to 8 for a local master: elsewhere the cluster's own
+    setting stands, since AQE can merge small partitions but not add any.
     """
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -24,7 +25,13 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # checkpoints of finished loop steps go when nothing refers to them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
@@ -54,17 +61,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cache ``df`` and compute it once (for loop state reused by the next step).
-
-    Caching is only a speed-up: lineage is still cut by ``cut_lineage`` every few steps,
-    so a lost cached block is recomputed from the last reliable checkpoint.
-    """
-    df = df.persist()
-    df.count()
-    return df
-
-
 ROWS_PER_PARTITION = 1_000_000
 
 

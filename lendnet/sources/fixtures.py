@@ -133,6 +133,10 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 89 == 0, F.lit(-1.0))
          .otherwise(F.col("o_totalprice") / F.lit(10.0)).alias("loan_amnt"),
         "loan_int_rate",
+        F.when(F.col("o_orderkey") % 83 == 0, F.lit(-0.1))
+         .otherwise(F.col("o_totalprice") / F.lit(10.0) / F.col("person_income")).alias("loan_percent_income"),
+        F.when(F.col("o_orderkey") % 79 == 0, F.lit(None).cast("int"))
+         .otherwise(F.col("cb_person_cred_hist_length")).alias("cb_person_cred_hist_length"),
         F.when(F.col("cb_person_default_on_file") == "Y", 1).otherwise(0).cast("int")
          .alias("cb_person_default_on_file"),
         F.col("o_orderdate").alias("applied_at"),
@@ -194,6 +198,8 @@ select o.o_orderkey as application_id, c.customer_id, c.person_age, c.person_inc
  case when o.o_orderkey % 97 = 0 then 'Z' else c.loan_grade end as loan_grade,
  case when o.o_orderkey % 89 = 0 then -1e0 else o.o_totalprice / 10e0 end as loan_amnt,
  c.loan_int_rate,
+ case when o.o_orderkey % 83 = 0 then -0.1e0 else o.o_totalprice / 10e0 / c.person_income end as loan_percent_income,
+ case when o.o_orderkey % 79 = 0 then null else c.cb_person_cred_hist_length end as cb_person_cred_hist_length,
  cast(case when c.cb_person_default_on_file = 'Y' then 1 else 0 end as int) as cb_person_default_on_file,
  o.o_orderdate as applied_at
 from orders o join customers c on c.row_ord = o.o_custkey""",

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lendnet.operators.events import hourly_rollup
+from lendnet.operators.events import rollup_by
+from lendnet.sources.files import path_exists
 from lendnet.sources.sinks import dual_sink
 
 
@@ -36,6 +37,20 @@ def scoring_stream(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
     return events.drop("_factors")
 
 
+def reject_stream(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame, threshold: float) -> DataFrame:
+    """The applications that scoring refuses, with their reasons: (id, customer_id, reasons)."""
+    from lendnet.operators.model import score_applications
+    return score_applications(apps, classes, stored_graph, threshold, materialize=False)[1]
+
+
+def start_reject_sink(rejects: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """Append refused applications to their own table; each batch overwrites its own folder on replay."""
+    w = (rejects.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={i}")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def start_dual_sink(events: DataFrame, primary: str, secondary: str, checkpoint: str, available_now: bool = True):
     """Every micro-batch goes to two stores, keyed by batch id."""
     w = (events.writeStream.option("checkpointLocation", checkpoint)
@@ -45,8 +60,11 @@ def start_dual_sink(events: DataFrame, primary: str, secondary: str, checkpoint:
 
 
 def hourly_rollup_stream(events: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Hourly (band) count and score sum, maintained as events arrive (use update mode)."""
-    return hourly_rollup(events.withWatermark("scored_at", watermark))
+    """Hourly (band) count and score sum, maintained as events arrive (use update mode).
+
+    The event-time window keeps the watermark, so the state of hours past it is dropped.
+    """
+    return rollup_by(events.withWatermark("scored_at", watermark), F.window("scored_at", "1 hour")["start"])
 
 
 def band_counter_stream(events: DataFrame) -> DataFrame:
@@ -71,21 +89,19 @@ def dedup_stream(events: DataFrame, key: str = "scoring_event_id", watermark: st
 def upsert_latest(batch: DataFrame, batch_id: int, path: str, keys: list[str]) -> None:
     """Keep the newest row per key of an update-mode aggregate in a parquet table.
 
-    Each batch writes a new version directory ``v=<batch_id>`` merged from the previous
-    version; readers take the highest version (never overwrite what is being read).
+    Each batch writes a new version directory ``v=<batch_id>`` merged from the newest version before
+    it; readers take the highest version. A replayed batch reads only versions below its own, so it
+    never reads what it overwrites; any read error other than "no table yet" is raised.
     """
     spark = batch.sparkSession
-    prev = None
-    try:
-        prev = spark.read.parquet(path)
-    except Exception:  # first batch: no table yet
-        prev = None
     cur = batch.withColumn("v", F.lit(batch_id))
-    if prev is not None and not prev.isEmpty():
+    if path_exists(spark, path):
+        prev = spark.read.parquet(path).filter(F.col("v") < batch_id)
         last = prev.agg(F.max("v")).first()[0]
-        old = prev.filter(F.col("v") == last).drop("v").join(batch.select(*keys), keys, "left_anti")
-        cur = old.withColumn("v", F.lit(batch_id)).unionByName(cur)
-    cur.write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={batch_id}")
+        if last is not None:
+            old = prev.filter(F.col("v") == last).drop("v").join(batch.select(*keys), keys, "left_anti")
+            cur = old.withColumn("v", F.lit(batch_id)).unionByName(cur)
+    cur.drop("v").write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={batch_id}")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:

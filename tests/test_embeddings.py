@@ -50,3 +50,15 @@ def test_spectral_embedding_is_eigen(spark, ring):
     assert lam[0] < 1.0
     rows = {r.customer_id: np.array(r.embedding) for r in emb.collect()}
     assert len(rows) == 12 and all(len(v) == 3 for v in rows.values())
+
+
+def test_no_walker_is_lost_on_a_star_and_isolates_stay(spark):
+    star = edges_df(spark, [("H", f"L{i}") for i in range(4)])
+    nodes = spark.createDataFrame([(x,) for x in ["H", "L0", "L1", "L2", "L3", "alone"]], "node string")
+    # a return costs 1/1000 of a step, but a leaf has nowhere else to go
+    w = WK.random_walks(star, nodes, walks_per_node=20, length=4, p=1000.0, q=1.0, seed=1, cheap_rounds=2).collect()
+    assert len(w) == 120
+    assert all(r.path == ["alone"] for r in w if r.start == "alone")
+    assert all(len(r.path) == 4 for r in w if r.start != "alone")
+    exact = WK.random_walks(star, nodes, walks_per_node=5, length=3, p=50.0, q=50.0, cheap_rounds=0).collect()
+    assert len(exact) == 30

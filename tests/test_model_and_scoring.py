@@ -35,6 +35,11 @@ def test_rejects(spark):
                                "person_home_ownership string, person_emp_length double, loan_intent string, "
                                "loan_grade string, loan_amnt double, loan_int_rate double, "
                                "cb_person_default_on_file int").withColumn("application_id", F.monotonically_increasing_id())
+    # every field of the request is required: without two of them nothing is accepted
+    assert not any(r.accepted for r in CL.validate_requests(df).collect())
+    df = df.withColumns({"loan_percent_income": F.lit(0.1), "cb_person_cred_hist_length": F.lit(3)})
+    low = df.withColumn("loan_percent_income", F.lit(-1.0))
+    assert not any(r.accepted for r in CL.validate_requests(low).collect())
     v = {r.customer_id: r.accepted for r in CL.validate_requests(df).collect()}
     assert v["C1"] and not v[None] and not v["C3"]
     classes = CL.label_classes(df.filter(F.col("loan_grade") == "A"), ["loan_grade"])
@@ -135,3 +140,83 @@ def test_features_from_flat_source(spark):
         f.write("\n".join(rows) + "\n")
     gf = features_from_source(spark, d)
     assert gf.count() == 40 and len(gf.columns) == 11
+
+
+def test_tree_contributions_add_up_to_the_margin(spark):
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    from lendnet.operators.trees import base_margin, gbt_nodes, tree_contrib
+    rng = np.random.default_rng(1)
+    cols = ["a", "b", "c"]
+    rows = [(float(x), float(y), float(z), float(x * y > 0.2 or z > 0.8)) for x, y, z in rng.random((400, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label double")
+    model = MD.train_gbt(df, cols=cols, max_iter=5, max_depth=3)
+    nodes = gbt_nodes(model)
+    got = tree_contrib(df, nodes, cols)
+    p = model.transform(MD.vectorize(got, cols)).select(
+        "margin", "factors", vector_to_array("probability")[1].alias("p")).collect()
+    for r in p:
+        assert abs(1 / (1 + np.exp(-2 * r.margin)) - r.p) < 1e-9
+        assert abs(base_margin(nodes) + sum(f.shap_value for f in r.factors) - r.margin) < 1e-9
+
+
+def test_score_applications_with_trained_model(spark):
+    from lendnet.operators.graph.features import graph_features
+    from lendnet.plans.q_clean import clean_view
+    from lendnet.schemas import CAT_COLS
+    from lendnet.sources import fixtures as FX
+    gf = graph_features(FX.customers(spark, SF001), FX.edges(spark, SF001))
+    data, classes = MD.assemble_features(clean_view(spark, SF001), gf)
+    model = MD.train_gbt(data, max_iter=3, max_depth=3)
+    apps = FX.applications(spark, SF001)
+    events, rejects = MD.score_applications(apps, classes, gf, 0.441, model=model)
+    rows = events.collect()
+    assert len(rows) + rejects.count() == apps.count() and rows
+    assert all(0 <= r.risk_score <= 1 and len(r._factors) == 5 for r in rows)
+
+
+def test_null_category_is_a_class(spark):
+    df = spark.createDataFrame([("X",), ("Y",), (None,)], "g string")
+    classes = CL.label_classes(df, ["g"])
+    assert {r["class"]: r["code"] for r in classes.collect()} == {"None": 0, "X": 1, "Y": 2}
+    assert sorted(r.g for r in CL.label_encode(df, classes, ["g"]).collect()) == [0, 1, 2]
+
+
+def test_auc_of_very_large_counts(spark):
+    from lendnet.operators import metrics
+    from unittest import mock
+    h = spark.createDataFrame([(0.2, 1, 4_000_000_000), (0.8, 4_000_000_000, 1)], "score double, pos long, neg long")
+    with mock.patch.object(metrics, "score_histogram", lambda *a, **k: h):
+        assert metrics.roc_auc(h).first()[0] > 0.999
+
+
+def test_split_keeps_rows_without_a_label(spark):
+    from lendnet.operators.order import stratified_split
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(30)], "id long, y long")
+    out = stratified_split(df, "y", "id").collect()
+    assert len(out) == 30 and sum(r.split == "train" for r in out if r.y is None) == 8
+
+
+def test_run_metrics_of_a_retried_run(spark, tmp_path):
+    m = spark.createDataFrame([(0.8,)], "roc_auc double")
+    for _ in range(2):
+        MD.append_run_metrics("r1", {"depth": 4}, m, str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/metrics").count() == 1
+
+
+def test_session_leaves_the_clusters_partition_count():
+    from unittest import mock
+    from lendnet import session
+    seen = {}
+
+    class Builder:
+        def __getattr__(self, name):
+            def step(*a):
+                seen.setdefault(name, []).append(a)
+                return mock.MagicMock() if name == "getOrCreate" else self
+            return step
+    with mock.patch.object(session.SparkSession, "builder", Builder()), mock.patch.object(session, "ensure_checkpoint_dir"):
+        session.get_session()
+        assert not any(a[0] == "spark.sql.shuffle.partitions" for a in seen["config"])
+        session.get_session("local[4]")
+        assert ("spark.sql.shuffle.partitions", "8") in seen["config"]
