@@ -264,6 +264,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> Data
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents of each group but the one with the smallest id (all columns kept)."""
     verdict = near_duplicates(docs, k, percent).filter("NOT kept").select("doc_id").distinct()
-    rest = docs.join(verdict, "doc_id", "left_anti")
+    rest = docs.join(verdict, "doc_id", "left_anti").select(docs.columns)
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("n > 1").isEmpty():       # no id repeats: the rows are one per document already
+        return rest
     named = rest.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(rest.filter("doc_id IS NULL")).select(docs.columns)
+    return named.unionByName(rest.filter("doc_id IS NULL"))
