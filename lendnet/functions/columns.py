@@ -78,13 +78,14 @@ def grade_from_score(score) -> Column:
 def hash_unit(*parts) -> Column:
     """Deterministic draw in [0, 1) from md5 of the '|'-joined parts.
 
-    Same value in DuckDB: ('0x' || substr(md5(x), 1, 8))::BIGINT / 4294967296.
+    Same value in DuckDB: ('0x' || substr(md5(x), 1, 13))::BIGINT / 4503599627370496 (52 bits, so that
+    floor(u * n) can reach every row of any table).
     """
     s = F.concat_ws("|", *[_c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(s), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
 def hash_key(*parts) -> Column:
-    """Deterministic 32-bit bigint from md5 of the '|'-joined parts."""
+    """Deterministic 52-bit bigint from md5 of the '|'-joined parts."""
     s = F.concat_ws("|", *[_c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(s), 1, 13), 16, 10).cast("bigint")

@@ -6,13 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.functions.columns import clip, encode_flag
-from lendnet.operators.order import exact_quantile
+from lendnet.operators.drift import grouped_prefix_sum
+from lendnet.session import cut_lineage
 from lendnet.schemas import AGE_MAX, AGE_MIN, VALID_EDGE_TYPES
 
 
 def fill_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Replace nulls by the exact median of the column (nulls ignored)."""
-    return df.withColumns({c: F.coalesce(F.col(c), exact_quantile(df, c, 0.5)) for c in cols})
+    """Replace nulls by the exact median of the column (nulls ignored).
+
+    One histogram and one prefix sum over (column, value) serve all columns.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "v")
+    h = long.filter("v IS NOT NULL").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    c = grouped_prefix_sum(h, "column", "v", ["n"])              # n_cum = count of values <= v, n_g = all
+    pos = (F.col("n_g") - 1) / F.lit(2.0)
+    mid = c.groupBy("column").agg(F.min(F.when(F.col("n_cum") > F.floor(pos), F.col("v"))).alias("lo"),
+                                  F.min(F.when(F.col("n_cum") > F.ceil(pos), F.col("v"))).alias("hi"))
+    median = cut_lineage(mid.select("column", ((F.col("lo") + F.col("hi")) / F.lit(2.0)).alias("m")))   # a row per column
+    return df.withColumns({k: F.coalesce(F.col(k), median.filter(F.col("column") == k).select("m").scalar())
+                           for k in cols})
 
 
 def clip_outliers(df: DataFrame, caps: dict[str, tuple]) -> DataFrame:

@@ -42,6 +42,7 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     # their edges by a hash of dst, their rank row replicated once per bucket
     total_edges = e.agg(F.count(F.lit(1)).cast("double")).scalar()
     hubs = cut_lineage(heavy_keys(wout, "src", "k", total_edges, min_threshold=hub_min_degree))  # <= max_hubs rows
+    any_hub = not hubs.isEmpty()
     hk = F.broadcast(hubs.withColumn("_hub", F.lit(True)))
     es = (e.join(wout, "src").join(hk, F.col("src") == F.col("_hk"), "left")
           .select("src", "dst", (F.col("w") / F.col("wout")).alias("share"),
@@ -68,12 +69,13 @@ def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: flo
     dangling = dangling_mass(r)
     prev = None
     for i in range(iters):
-        rs = (r.select(F.col("node").alias("src"), F.col("rank").alias("prev_rank"))
-              .join(hk, F.col("src") == F.col("_hk"), "left")
-              .withColumn("_salt", F.explode(F.when(F.col("_hub").isNotNull(),
-                                                    F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                             .otherwise(F.array(F.lit(0)))))
-              .select("src", "_salt", "prev_rank"))
+        rs = r.select(F.col("node").alias("src"), F.col("rank").alias("prev_rank"))
+        rs = rs.withColumn("_salt", F.lit(0)) if not any_hub else (
+            rs.join(hk, F.col("src") == F.col("_hk"), "left")
+            .withColumn("_salt", F.explode(F.when(F.col("_hub").isNotNull(),
+                                                  F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                           .otherwise(F.array(F.lit(0)))))
+            .select("src", "_salt", "prev_rank"))
         contrib = (es.join(rs, ["src", "_salt"])
                    .groupBy("dst").agg(F.sum(F.col("prev_rank") * F.col("share")).alias("c")))
         # the previous ranks enter the new plan once (through ``contrib``), so plans grow

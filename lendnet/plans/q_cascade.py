@@ -25,7 +25,7 @@ def _cascade(spark, d, mode="first_visit"):
 
 
 def cascade_sql(mode: str = "first_visit") -> str:
-    """Unrolled hops 0..3 as CTEs; first-dequeued parent = smallest (p1, p2, p3) path."""
+    """Unrolled hops 0..HOPS as CTEs; first-dequeued parent = smallest path (p1, p2, ...)."""
     parts = ["""
 col as (select least(src_customer_id, dst_customer_id) as a, greatest(src_customer_id, dst_customer_id) as b,
         arg_max(edge_type, edge_ord) as edge_type, min(edge_ord) as first_ord from edges group by 1, 2)""", """

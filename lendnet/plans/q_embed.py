@@ -15,8 +15,8 @@ from lendnet.sources.fixtures import with_views
 
 
 def hsql(expr: str) -> str:
-    """DuckDB twin of ``hash_key``/``hash_unit``: first 8 hex digits of md5 as bigint."""
-    return f"('0x' || substr(md5({expr}), 1, 8))::bigint"
+    """DuckDB twin of ``hash_key``/``hash_unit``: first 13 hex digits of md5 as bigint."""
+    return f"('0x' || substr(md5({expr}), 1, 13))::bigint"
 
 
 US = """
@@ -73,7 +73,7 @@ qb as (select customer_id, case when person_income is null then 0 else
   greatest(cast(len(list_filter((select edges from e4), lambda x: x < person_income)) as int) - 1, 0) end as bucket
   from customers)"""
 
-U = "::double / 4294967296e0"
+U = "::double / 4503599627370496e0"
 
 BUCKET_SQL = QB + f""",
 c as (select cu.customer_id, cu.row_ord, cu.person_home_ownership, cu.loan_intent,

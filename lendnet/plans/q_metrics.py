@@ -126,7 +126,7 @@ def bucket_sizes(spark, d):
 
 
 SPLIT_SQL = """
-with h as (select id, y, ('0x' || substr(md5('42|' || cast(id as varchar)), 1, 8))::bigint as hk from predictions),
+with h as (select id, y, ('0x' || substr(md5('42|' || cast(id as varchar)), 1, 13))::bigint as hk from predictions),
 r as (select id, y, row_number() over (partition by y order by hk, id) - 1 as rk, count(*) over (partition by y) as nc
       from h)"""
 
