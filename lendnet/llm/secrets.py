@@ -21,11 +21,13 @@ import hashlib
 import re
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.llm.common import free_name, ship
+from lendnet.llm.words import chunks, text_buffer
 
 DOCS_PER_BLOCK = 1 << 14
 MASK = "[REDACTED]"
@@ -149,14 +151,43 @@ def _key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("string"))
 
 
+def _posting_rows(vocabulary: list[str]):
+    """(key, trigram) of every wanted trigram in each text; trigrams are ASCII, so bytes decide."""
+    def run(batches):
+        code = lambda b: (b[:-2].astype(np.uint32) << 16) | (b[1:-1].astype(np.uint32) << 8) | b[2:]
+        wanted = {int(code(np.frombuffer(t.encode(), np.uint8))[0]): t for t in vocabulary}
+        slot = np.zeros(1 << 16, bool)              # a first test on a fold of the three bytes
+        fold = lambda c: (c ^ (c >> 11)) & 0xFFFF
+        codes = np.array(sorted(wanted), np.uint32)
+        slot[fold(codes)] = True
+        names = np.array([wanted[int(c)] for c in codes], dtype=object)
+        lower = np.arange(256, dtype=np.uint8)
+        lower[65:91] += 32
+        for b in batches:
+            raw, offsets = text_buffer(b.column("text"))
+            keys = b.column("key").to_numpy()
+            for lo, hi in chunks(offsets):
+                text = lower[raw[offsets[lo]:offsets[hi]]]
+                if len(text) < 3:
+                    continue
+                c = code(text)
+                at = np.flatnonzero(slot[fold(c)])
+                i = np.minimum(np.searchsorted(codes, c[at]), len(codes) - 1)
+                row = np.searchsorted(offsets[lo:hi + 1] - offsets[lo], at, "right") - 1
+                ok = (codes[i] == c[at]) & (at + 3 <= offsets[lo + 1:hi + 1][row] - offsets[lo])
+                pair = np.unique(row[ok] * len(codes) + i[ok])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[lo + pair // len(codes)]), pa.array(names[pair % len(codes)].tolist(), pa.string())],
+                    names=["key", "trigram"])
+    return run
+
+
 def build_index(docs: DataFrame, vocabulary: list[str], docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """(block, trigram, postings): sorted keys of the block's documents that contain the trigram."""
     blocks = max(1, -(-docs.count() // docs_per_block))
-    low = docs.select(_key().alias("key"), F.lower("text").alias("low"))
-    found = F.filter(F.array(*map(F.lit, sorted(vocabulary))), lambda t: F.contains(F.col("low"), t))
-    return (low.select("key", found.alias("found")).filter(F.size("found") > 0)
-            .select(F.pmod("key", F.lit(blocks)).alias("block"), F.explode("found").alias("trigram"), "key")
-            .groupBy("block", "trigram").agg(F.sort_array(F.collect_set("key")).alias("postings")))
+    return (docs.select(_key().alias("key"), "text").mapInArrow(_posting_rows(vocabulary), "key long, trigram string")
+            .groupBy(F.pmod("key", F.lit(blocks)).alias("block"), "trigram")
+            .agg(F.sort_array(F.collect_set("key")).alias("postings")))
 
 
 def _evaluate(query, postings: Column) -> Column:
@@ -221,6 +252,8 @@ def _with_kinds(docs: DataFrame, rules, name: str) -> tuple[DataFrame, frozenset
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     always = frozenset(k for k, q in queries.items() if q is True)
     asked = {k: q for k, q in queries.items() if q is not True}
+    if not asked:
+        return docs.withColumn(name, F.lit(None).cast("array<string>")), always
     vocabulary = sorted(set().union(*(trigrams_of(q) for q in asked.values())))
     key = free_name(docs, "secret_key")
     found = candidates(build_index(docs.select("doc_id", "text"), vocabulary), asked)
