@@ -119,6 +119,22 @@ def global_importance(contrib: DataFrame, col: str = "factors") -> DataFrame:
     return long.groupBy("feature").agg(F.avg("a").alias("mean_abs")).withColumn("rank", F.row_number().over(w))
 
 
+def encode_requests(apps: DataFrame, classes: DataFrame) -> DataFrame:
+    """Validated and encoded applications with ``reasons`` and ``accepted``: a broken rule or a category
+    unknown to ``classes`` refuses a row."""
+    v = validate_requests(apps)
+    unknown = F.array_compact(F.array(*[F.when(F.col(c).isNull() & F.col(f"_raw_{c}").isNotNull(),
+                                               F.lit(f"unknown category for {c}")) for c in CAT_COLS]))
+    return (v.withColumns({f"_raw_{c}": F.col(c) for c in CAT_COLS})
+            .transform(lambda d: label_encode(d, classes, CAT_COLS))
+            .withColumn("reasons", F.concat("reasons", unknown))
+            .withColumn("accepted", F.size("reasons") == 0))
+
+
+def rejected(enc: DataFrame, id_col: str = "application_id") -> DataFrame:
+    return enc.filter(~F.col("accepted")).select(id_col, "customer_id", "reasons")
+
+
 def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
                        threshold: float, id_col: str = "application_id", ts_col: str = "applied_at",
                        coefs: dict[str, float] = SCORECARD,
@@ -131,14 +147,8 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
 
     Rejects are rows failing validation or carrying a category unknown to ``classes``.
     """
-    v = validate_requests(apps)
-    unknown = F.array_compact(F.array(*[F.when(F.col(c).isNull() & F.col(f"_raw_{c}").isNotNull(),
-                                               F.lit(f"unknown category for {c}")) for c in CAT_COLS]))
-    enc = (v.withColumns({f"_raw_{c}": F.col(c) for c in CAT_COLS})
-           .transform(lambda d: label_encode(d, classes, CAT_COLS))
-           .withColumn("reasons", F.concat("reasons", unknown))
-           .withColumn("accepted", F.size("reasons") == 0))
-    rejects = enc.filter(~F.col("accepted")).select(id_col, "customer_id", "reasons")
+    enc = encode_requests(apps, classes)
+    rejects = rejected(enc, id_col)
     ok = enc.filter(F.col("accepted"))
     feat = derived_features(graph_lookup(with_graph_defaults(ok), stored_graph))
     if model is not None:

@@ -71,6 +71,29 @@ def replace_table(df: DataFrame, name: str, jdbc_url: str | None = None,
         df.write.mode("overwrite").saveAsTable(name)
 
 
+def materialize_model(df: DataFrame, name: str, how: str, path: str | None = None, key: str | None = None,
+                      version: int | None = None) -> DataFrame:
+    """Keep a model as a 'view' (computed at each read), a 'table' (replaced whole) or 'incremental'
+    (rows of ``df`` upserted by ``key`` into versioned folders below ``path``); returns what readers see.
+    """
+    spark = df.sparkSession
+    if how == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
+    if how == "table":
+        replace_table(df, name)
+        return spark.table(name)
+    if how != "incremental" or path is None or key is None or version is None:
+        raise ValueError("how is 'view', 'table' or 'incremental' (with path, key and version)")
+    from lendnet.streaming.jobs import read_latest, upsert_latest
+    if path_exists(spark, path):
+        old = read_latest(spark, path)
+        if sorted(old.dtypes) != sorted(df.dtypes):
+            raise ValueError(f"schema of {name} changed: {old.dtypes} to {df.dtypes}")
+    upsert_latest(df, version, path, [key])
+    return read_latest(spark, path)
+
+
 def register_sources(views: dict[str, DataFrame]) -> None:
     """Name tables for SQL users (the ``source``/``ref`` layer)."""
     for name, df in views.items():

@@ -18,6 +18,9 @@ from lendnet.sources.files import path_exists
 from lendnet.sources.sinks import dual_sink
 
 
+VERSION = "batch_version"
+
+
 def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None,
                 ts_cols: tuple[str, ...] = ()) -> DataFrame:
     r = spark.readStream.schema(schema)
@@ -37,10 +40,10 @@ def scoring_stream(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame,
     return events.drop("_factors")
 
 
-def reject_stream(apps: DataFrame, classes: DataFrame, stored_graph: DataFrame, threshold: float) -> DataFrame:
+def reject_stream(apps: DataFrame, classes: DataFrame) -> DataFrame:
     """The applications that scoring refuses, with their reasons: (id, customer_id, reasons)."""
-    from lendnet.operators.model import score_applications
-    return score_applications(apps, classes, stored_graph, threshold, materialize=False)[1]
+    from lendnet.operators.model import encode_requests, rejected
+    return rejected(encode_requests(apps, classes))
 
 
 def start_reject_sink(rejects: DataFrame, path: str, checkpoint: str, available_now: bool = True):
@@ -62,9 +65,11 @@ def start_dual_sink(events: DataFrame, primary: str, secondary: str, checkpoint:
 def hourly_rollup_stream(events: DataFrame, watermark: str = "2 hours") -> DataFrame:
     """Hourly (band) count and score sum, maintained as events arrive (use update mode).
 
-    The event-time window keeps the watermark, so the state of hours past it is dropped.
+    The grouping key is the event-time window itself, which keeps the watermark (its start alone would
+    not), so the state of hours past it is dropped.
     """
-    return rollup_by(events.withWatermark("scored_at", watermark), F.window("scored_at", "1 hour")["start"])
+    late = events.withWatermark("scored_at", watermark)
+    return rollup_by(late, F.window("scored_at", "1 hour")).withColumn("hour", F.col("hour.start"))
 
 
 def band_counter_stream(events: DataFrame) -> DataFrame:
@@ -89,31 +94,36 @@ def dedup_stream(events: DataFrame, key: str = "scoring_event_id", watermark: st
 def upsert_latest(batch: DataFrame, batch_id: int, path: str, keys: list[str]) -> None:
     """Keep the newest row per key of an update-mode aggregate in a parquet table.
 
-    Each batch writes a new version directory ``v=<batch_id>`` merged from the newest version before
+    Each batch writes a new version directory ``batch_version=<batch_id>`` merged from the newest version before
     it; readers take the highest version. A replayed batch reads only versions below its own, so it
     never reads what it overwrites; any read error other than "no table yet" is raised.
     """
     spark = batch.sparkSession
-    cur = batch.withColumn("v", F.lit(batch_id))
+    cur = batch
     if path_exists(spark, path):
-        prev = spark.read.parquet(path).filter(F.col("v") < batch_id)
-        last = prev.agg(F.max("v")).first()[0]
+        prev = spark.read.parquet(path).filter(F.col(VERSION) < batch_id)
+        last = prev.agg(F.max(VERSION)).first()[0]
         if last is not None:
-            old = prev.filter(F.col("v") == last).drop("v").join(batch.select(*keys), keys, "left_anti")
-            cur = old.withColumn("v", F.lit(batch_id)).unionByName(cur)
-    cur.drop("v").write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={batch_id}")
+            old = prev.filter(F.col(VERSION) == last).drop(VERSION).join(batch.select(*keys), keys, "left_anti")
+            cur = old.unionByName(batch)
+    cur.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{VERSION}={batch_id}")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     t = spark.read.parquet(path)
-    return t.filter(F.col("v") == t.agg(F.max("v")).scalar()).drop("v")
+    return t.filter(F.col(VERSION) == t.agg(F.max(VERSION)).scalar()).drop(VERSION)
 
 
-def drift_batches(batch: DataFrame, batch_id: int, reference: DataFrame, cols: list[str], out: str) -> None:
-    """K-S of each micro-batch against a stored reference sample, results appended."""
+def drift_batches(batch: DataFrame, batch_id: int, reference: DataFrame, cols: list[str], out: str,
+                  columns_out: str | None = None) -> None:
+    """K-S of each micro-batch against a stored reference sample, results appended; the statistic of
+    every column goes to ``columns_out`` where that is given."""
     from lendnet.operators.drift import drift_summary, ks_by_column
     both = (reference.select(*cols).withColumn("part", F.lit("reference"))
             .unionByName(batch.select(*cols).withColumn("part", F.lit("current"))))
     ks = ks_by_column(both, cols)
+    if columns_out is not None:
+        (ks.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .parquet(f"{columns_out.rstrip('/')}/batch={batch_id}"))
     summary = drift_summary(ks).drop("drift_by_column").withColumn("batch_id", F.lit(batch_id))
     summary.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")

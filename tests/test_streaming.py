@@ -123,3 +123,50 @@ def test_drift_on_micro_batches(spark):
     q.awaitTermination()
     res = spark.read.parquet(out).collect()
     assert len(res) == 2 and all(0 <= r.drift_share <= 1 for r in res)
+
+
+def test_rollup_state_is_dropped_behind_the_watermark(spark):
+    tmp = tempfile.mkdtemp(prefix="lendnet-stream-")
+    ev = FX.scoring_events(spark, SF001).withColumn("scored_at", F.col("scored_at").cast("timestamp"))
+    src = os.path.join(tmp, "events")
+    _write_chunks(ev, src, n=3, ts="scored_at")
+    q = (SJ.hourly_rollup_stream(SJ.read_stream(spark, src, ev.schema, files_per_trigger=1))
+         .writeStream.outputMode("update").option("checkpointLocation", os.path.join(tmp, "ck"))
+         .foreachBatch(lambda b, i: b.count()).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sum(s.numRowsRemoved for p in q.recentProgress for s in p.stateOperators) > 0
+
+
+def test_replayed_batch_and_failed_read(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "t")
+    a, b = (spark.createDataFrame(x, "k long, n long") for x in ([(1, 1)], [(1, 2), (2, 5)]))
+    SJ.upsert_latest(a, 0, path, ["k"])
+    for _ in range(2):
+        SJ.upsert_latest(b, 1, path, ["k"])
+        assert _rows(SJ.read_latest(spark, path), ["k", "n"]) == [(1, 2), (2, 5)]
+    broken = tmp_path / "u" / "batch_version=0"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        SJ.upsert_latest(a, 1, str(tmp_path / "u"), ["k"])
+
+
+def test_rejected_applications_reach_their_own_sink(spark):
+    from lendnet.operators import clean as CL
+    from lendnet.operators.graph.features import graph_features
+    from lendnet.plans.q_clean import clean_view
+    from lendnet.schemas import CAT_COLS
+    tmp = tempfile.mkdtemp(prefix="lendnet-stream-")
+    gf = graph_features(FX.customers(spark, SF001), FX.edges(spark, SF001))
+    classes = CL.label_classes(clean_view(spark, SF001), CAT_COLS)
+    apps = FX.applications(spark, SF001)
+    src = os.path.join(tmp, "apps")
+    _write_chunks(apps, src, n=2)
+    stream = SJ.read_stream(spark, src, apps.schema, files_per_trigger=1)
+    q = SJ.start_reject_sink(SJ.reject_stream(stream, classes), os.path.join(tmp, "rej"), os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    from lendnet.operators.model import score_applications
+    want = score_applications(apps, classes, gf, 0.441)[1]
+    got = spark.read.parquet(os.path.join(tmp, "rej"))
+    assert got.count() == want.count() > 0
