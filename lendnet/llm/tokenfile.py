@@ -48,7 +48,8 @@ def encode_segment(ids: np.ndarray) -> bytes:
     index = np.zeros(nb, INDEX)
     index["min"] = v.min(axis=1) if nb else 0
     d = v - index["min"].astype(np.int64)[:, None]
-    ranked = np.sort(d, axis=1)[:, int(np.ceil(PERCENTILE * BLOCK)) - 1]
+    rank = int(np.ceil(PERCENTILE * BLOCK)) - 1
+    ranked = np.partition(d, rank, axis=1)[:, rank]
     width = np.frexp(ranked.astype(float))[1].astype(np.int64)       # bits of the percentile value
     index["width"] = width
     high = d >> width[:, None]
@@ -59,7 +60,9 @@ def encode_segment(ids: np.ndarray) -> bytes:
     packed = np.zeros(int((width * BLOCK // 8).sum()), np.uint8)
     for w in np.unique(width[width > 0]):
         at = np.flatnonzero(width == w)
-        bits = ((d[at][:, :, None] >> np.arange(w)) & 1).astype(np.uint8).reshape(len(at), -1)
+        kind = "<u2" if w <= 16 else "<u4"
+        raw = (d[at] & ((1 << int(w)) - 1)).astype(kind).view(np.uint8).reshape(len(at), BLOCK, -1)
+        bits = np.unpackbits(raw, axis=2, bitorder="little")[:, :, :w].reshape(len(at), -1)
         cells = index["packed"][at].astype(np.int64)[:, None] + np.arange(w * BLOCK // 8)
         packed[cells] = np.packbits(bits, axis=1, bitorder="little")
     blocks, pos = np.nonzero(patched)
@@ -84,11 +87,13 @@ def decode_segment(raw: bytes) -> np.ndarray:
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
         cells = index["packed"][rows].astype(np.int64)[:, None] + np.arange(w * BLOCK // 8)
-        bits = np.unpackbits(packed[cells], axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        low = np.zeros((len(rows), BLOCK), np.int64)
-        for k in range(w):
-            low |= bits[:, :, k].astype(np.int64) << k
-        d[rows] = low
+        raw = np.zeros((len(rows), w * BLOCK // 8 + 4), np.uint32 if w <= 16 else np.uint64)
+        raw[:, :-4] = packed[cells]
+        bit = np.arange(BLOCK) * int(w)
+        value = raw[:, bit >> 3]
+        for k in range(1, 3 if w <= 16 else 5):      # the bytes that a value of this width can touch
+            value |= raw[:, (bit >> 3) + k] << raw.dtype.type(8 * k)
+        d[rows] = (value >> (bit & 7).astype(raw.dtype)) & raw.dtype.type((1 << int(w)) - 1)
     block = np.repeat(np.arange(nb), index["exc"])
     d[block, pos] |= high << width[block]
     return (d + index["min"].astype(np.int64)[:, None]).reshape(-1)[:n].astype("<u4")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
+from array import array
 
 import numpy as np
 
@@ -21,7 +22,7 @@ RARE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x202
 # where the libraries may differ on white space, or a special token's string stands: encoded whole
 WHOLE_ASCII = ("\x00", "\x1c", "\x1d", "\x1e", "\x1f", "<|endoftext|>", "<|startoftext|>")
 WHOLE = ("\u180e", "\u200b", "\ufeff")
-MAX_PIECES = 700_000         # cache entries of one worker (about 150 MB)
+MAX_PIECES = 1_000_000       # entries of a worker's young generation (about 200 MB; the old one is as large)
 TAIL = ".,;:!?"
 LINE = "\n\n"               # marks a piece that starts a line, so has no leading blank
 
@@ -37,6 +38,12 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+def _little(ids: array) -> bytes:
+    if ids.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, dtype="<u4").tobytes()
+    return ids.tobytes()
+
+
 def _has(text: str, strings) -> bool:
     return any(x in text for x in strings)
 
@@ -49,8 +56,10 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         # a leading blank is part of a word's piece in byte-level vocabularies without word-end marks
         self.spaced = self.tok.model.end_of_word_suffix is None
-        self.cache: dict[str, bytes] = {}      # by piece between blanks
         self.parts: dict[str, bytes] = {}      # by exact string
+        # by piece between blanks; the same thing where a leading blank does not count
+        self.cache: dict[str, bytes] = {} if self.spaced else self.parts
+        self.old: dict[str, bytes] = {}        # exact strings of the generation before
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         out = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
@@ -66,23 +75,28 @@ class Encoder:
             if normal is not None and word.isalpha():
                 p = word = word.lower() if word.isascii() else normal.normalize_str(word)
             if word.isalpha() and max(word) < "\u1e00":
-                ids = [t.id for t in merge(p.encode().decode("latin-1").translate(_LETTERS))]
-                out.append(np.array(ids, dtype="<u4").tobytes())
+                out.append(_little(array("I", [t.id for t in merge(
+                    (p if p.isascii() and not self.spaced else p.encode().decode("latin-1").translate(_LETTERS)))])))
             else:
                 out.append(None)
         return out
 
     def _exact(self, strings) -> None:
         """Add ``strings`` to ``parts``; a word with one closing mark is built from its two parts."""
-        parts = self.parts
+        parts, old = self.parts, self.old
         split, base = {}, set()
         for p in strings:
+            if p in old:
+                parts[p] = old[p]
+                continue
             head = p[:-1].lstrip(" ")
             if p and p[-1] in TAIL and head.isalpha() and head.lower().isalpha():
                 split[p] = (p[:-1], p[-1])
                 base.update(split[p])
             else:
                 base.add(p)
+        for p in base & old.keys():
+            parts[p] = old[p]
         todo = [p for p in base if p not in parts]
         ids = self._words(todo)
         other = [p for p, x in zip(todo, ids) if x is None]
@@ -92,10 +106,10 @@ class Encoder:
             parts[p] = parts[head] + parts[tail]
 
     def _learn(self, missing: list[str]) -> None:
-        if self.spaced:
-            real = {p: p if p == "\n" else p[2:] if p.startswith(LINE) else " " + p for p in missing}
-        else:
-            real = {p: p for p in missing}
+        if not self.spaced:
+            self._exact(missing)
+            return
+        real = {p: p if p == "\n" else p[2:] if p.startswith(LINE) else " " + p for p in missing}
         self._exact([x for x in real.values() if x not in self.parts])
         for p, x in real.items():
             self.cache[p] = self.parts[x]
@@ -114,9 +128,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text; the new pieces of the whole list go to the tokenizer in one batch."""
-        if len(self.cache) + len(self.parts) > 2 * MAX_PIECES:
-            self.cache.clear()
-            self.parts.clear()
+        if len(self.parts) + (len(self.cache) if self.spaced else 0) > MAX_PIECES:
+            self.old, self.parts = self.parts, {}
+            self.cache = {} if self.spaced else self.parts
         out: list = [None] * len(texts)
         again, missing, exact = [], set(), set()
         for i, t in enumerate(texts):
