@@ -150,8 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dic
             .select("label", "text").mapInArrow(_training_rows, "label int, terms binary").toArrow())
     if rows.num_rows == 0:
         return None
-    sets = [np.frombuffer(x, np.uint64) for x in rows.column("terms").to_pylist()]
     y = rows.column("label").to_numpy().astype(float)
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("terms").to_pylist()]
+    del rows                         # the driver holds the sample once
     # a fixed order of training rows, whatever order the tasks finished in
     order = sorted(range(len(y)), key=lambda i: (y[i], len(sets[i]), sets[i][:4].tobytes()))
     return fit([sets[i] for i in order], y[order], prior=n1 / (n0 + n1))
