@@ -3,10 +3,15 @@
 The benchmark is taken in parts of at most ``PART_WORDS`` words, so what a part broadcasts (its items'
 word hashes and their 3-word grams) is bounded whatever the benchmark's size; more parts mean more passes.
 For each part, one pass counts in how many documents each gram occurs; an item's seeds are its grams
-that occur in at most four times as many documents as its median gram, plus 32. So an item keeps most of
-its grams even where copies of it are everywhere, and loses the phrases common in any text. A second pass finds the seeds in all documents, opens a window around each diagonal they lie on and aligns item
-and window (match 1, mismatch and gap -0.5). The score is the best local alignment over the item's
-length: 1 for a copy, about 0.7 where a fifth of the words were edited.
+that occur in at most four times as many documents as its median gram, plus 32, and the rarest of every three
+grams in a row: any five words of an item hold a seed, also where only that passage has copies everywhere.
+A second pass finds the seeds in all documents, opens a window around each diagonal they lie on and aligns item
+and window (match 1, mismatch and gap -0.5); what an alignment leaves on either side is aligned again.
+
+A document holds an item where one alignment scores ``PASSAGE_WORDS`` (13 words in a row, or more with edits), or
+where alignments that follow each other in item and text, each of ``PART_SCORE`` or more, add up to ``least_score``
+of the item's length. The score is that sum over the length: 1 for a copy, whole or broken by inserted text, about
+0.7 where a fifth of the words were edited, 0.42 for 25 words of 59.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased; punctuation separates.
 
@@ -28,6 +33,8 @@ from lendnet.llm.words import PUNCT, row_windows, windows, words
 GRAM = 3
 LEAST_SCORE = 0.5
 PART_WORDS = 2_000_000
+PASSAGE_WORDS = 13           # an alignment of this score is a passage, whatever its share of the item
+PART_SCORE = 5               # alignments from this score on are added up
 GAP = 0.5
 U = np.uint64
 MASK_BITS = 20
@@ -108,6 +115,15 @@ def _count_batches(ref):
     return run
 
 
+def _rarest_of_run(freq: np.ndarray, run: int = PART_SCORE - GRAM + 1) -> np.ndarray:
+    """True for grams that no other gram of some ``run`` grams in a row is rarer than."""
+    out = np.zeros(len(freq), bool)
+    for at in range(len(freq) - run + 1):
+        part = freq[at:at + run]
+        out[at:at + run] |= part == part.min()
+    return out
+
+
 def _rare_seeds(docs: DataFrame, items) -> dict:
     """Sorted seed hashes of a part with their postings (item number, position in the item)."""
     spark = docs.sparkSession
@@ -123,7 +139,7 @@ def _rare_seeds(docs: DataFrame, items) -> dict:
     seed, item, pos = [], [], []
     for n, g in enumerate(grams):
         freq = df[np.searchsorted(keys, g)]
-        rare = np.flatnonzero(freq <= 4 * np.sort(freq)[(len(g) - 1) // 2] + 32)
+        rare = np.flatnonzero((freq <= 4 * np.sort(freq)[(len(g) - 1) // 2] + 32) | _rarest_of_run(freq))
         seed.append(g[rare])
         item.append(np.full(len(rare), n))
         pos.append(rare)
@@ -135,13 +151,13 @@ def _rare_seeds(docs: DataFrame, items) -> dict:
             "words": [seq for _, seq in items], "ids": [i for i, _ in items]}
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int]:
-    """(best local alignment score, end in the window) with match 1, mismatch and gap -GAP."""
+def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int]:
+    """(best local alignment score, its end in the window, its end in the item) with match 1, mismatch and gap -GAP."""
     n = len(window)
     ramp = GAP * np.arange(n + 1)
     row = np.zeros(n + 1)
-    best, end = 0.0, 0
-    for x in item:
+    best, end, item_end = 0.0, 0, 0
+    for i, x in enumerate(item, 1):
         cand = np.maximum(row, 0.0)
         cand[1:] = np.maximum(np.maximum(row[:-1] + np.where(window == x, 1.0, -GAP), row[1:] - GAP), 0.0)
         cand[0] = 0.0
@@ -149,38 +165,73 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int]:
         row = np.maximum.accumulate(cand + ramp) - ramp
         j = int(row.argmax())
         if row[j] > best:
-            best, end = float(row[j]), j
-    return best, end
+            best, end, item_end = float(row[j]), j, i
+    return best, end, item_end
 
 
-def _doc_matches(m, find, h: np.ndarray, starts: np.ndarray, seeds: np.ndarray, least: float):
+def _segments(seq: np.ndarray, window: np.ndarray, least: float):
+    """(item start, item end, start, end, score) of the best alignment, then of the best ones before and after it."""
+    todo = [(0, len(seq), 0, len(window))]
+    while todo:
+        i, k, a, z = todo.pop()
+        if min(k - i, z - a) < least:
+            continue
+        score, end, item_end = align(seq[i:k], window[a:z])
+        if score < least:
+            continue
+        # read backwards from its end, the alignment ends at its start
+        _, back, item_back = align(seq[i:i + item_end][::-1], window[a:a + end][::-1])
+        cut = (i + item_end - item_back, i + item_end, a + end - back, a + end)
+        yield (*cut, score)
+        todo += [(i, cut[0], a, cut[2]), (cut[1], k, cut[3], z)]
+
+
+def _best_chain(parts: np.ndarray) -> tuple[float, int, int]:
+    """(score, start, end) of the best sum of segments that follow each other in item and text."""
+    parts = parts[np.lexsort((parts[:, 2], parts[:, 0]))]
+    total, start = parts[:, 4].copy(), parts[:, 2].copy()
+    for t in range(1, len(parts)):
+        before = np.flatnonzero((parts[:t, 1] <= parts[t, 0]) & (parts[:t, 3] <= parts[t, 2]))
+        if len(before):
+            b = before[total[before].argmax()]
+            total[t] += total[b]
+            start[t] = start[b]
+    t = int(total.argmax())
+    return float(total[t]), int(start[t]), int(parts[t, 3])
+
+
+def _doc_matches(m, h: np.ndarray, starts: np.ndarray, seeds: np.ndarray, least: float):
     """(item number, score, start word, end word) of the best passage of each item in one text."""
     count = m["first"][seeds + 1] - m["first"][seeds]
     post = np.repeat(m["first"][seeds] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-    item = m["item"][post]
-    diag = np.repeat(starts, count) - m["pos"][post]
+    item, pos = m["item"][post], m["pos"][post]
+    diag = np.repeat(starts, count) - pos
     order = np.lexsort((diag, item))
-    item, diag = item[order], diag[order]
-    out, lo = [], 0
-    while lo < len(item):
+    item, pos, diag = item[order], pos[order], diag[order]
+    cut = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+    for lo, hi in zip(cut, np.append(cut[1:], len(item))):
         seq = m["words"][item[lo]]
-        slack = max(4, len(seq) // 4)
-        hi = lo + 1
-        while hi < len(item) and item[hi] == item[lo] and diag[hi] - diag[hi - 1] <= slack:
-            hi += 1
-        a, z = max(0, int(diag[lo]) - slack), min(len(h), int(diag[hi - 1]) + len(seq) + slack)
-        window = h[a:z]
-        # no alignment can score more than the item's words that occur in the window
-        if np.isin(seq, window).sum() >= least * len(seq):
-            score, end = align(seq, window)
-            if score >= least * len(seq):
-                out.append((int(item[lo]), score / len(seq), a, a + end))
-        lo = hi
-    best: dict = {}
-    for x in out:
-        if x[0] not in best or x[1] > best[x[0]][1]:
-            best[x[0]] = x
-    return best.values()
+        slack, share = max(4, len(seq) // 4), least * len(seq)
+        ends = np.append(lo + 1 + np.flatnonzero(np.diff(diag[lo:hi]) > slack), hi)
+        spans, there = [], np.zeros(len(seq), bool)
+        for x, y in zip(np.append(lo, ends[:-1]), ends):
+            a, z = max(0, int(diag[x]) - slack), min(len(h), int(diag[y - 1]) + len(seq) + slack)
+            known = np.isin(seq, h[a:z])
+            there |= known
+            spans.append((a, z, int(known.sum()), (pos[x:y] != pos[x]).any()))
+        # no alignment, and no sum of them, can score more than the item's words that occur in the windows
+        whole = there.sum() >= share
+        parts = set()
+        for a, z, known, several in spans:
+            if known >= min(PART_SCORE, share) if whole else several and known >= PASSAGE_WORDS:
+                least_part = min(PART_SCORE, share) if whole else PASSAGE_WORDS
+                parts |= {(i, k, a + b, a + e, s) for i, k, b, e, s in _segments(seq, h[a:z], least_part)}
+        if not parts:
+            continue
+        parts = np.array(sorted(parts), np.float64)
+        score, start, end = _best_chain(parts)
+        if score >= share or parts[:, 4].max() >= PASSAGE_WORDS:
+            yield int(item[lo]), score / len(seq), start, end
 
 
 def _match_rows(m, col: pa.Array, least: float):
@@ -203,7 +254,7 @@ def _match_rows(m, col: pa.Array, least: float):
         for lo, hi in zip(cut, np.append(cut[1:], len(r))):
             row = int(r[lo])
             a, z = w.first[row], w.first[row + 1]
-            for x in _doc_matches(m, find, h[a:z], where[lo:hi] - a, seeds[lo:hi], least):
+            for x in _doc_matches(m, h[a:z], where[lo:hi] - a, seeds[lo:hi], least):
                 yield (w.lo + row, *x)
 
 

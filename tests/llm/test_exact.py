@@ -260,3 +260,27 @@ def test_quality_thresholds_reject_junk(spark):
     got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: (False, True), 2: (False, False), 3: (True, False), 4: (True, False)}
+
+
+def test_contamination_partial_and_split_passages(spark):
+    rng = random.Random(11)
+    vocab = [f"v{i}" for i in range(3000)]
+    fill = lambda n: [f"f{rng.randrange(3000)}" for _ in range(n)]
+    items = {n: [rng.choice(vocab) for _ in range(n)] for n in (30, 59, 200)}
+    docs = {1: fill(150) + items[59][20:45] + fill(150), 2: fill(90) + items[200][100:180] + fill(10),
+            3: fill(40) + items[59][:20] + fill(40) + items[59][20:40] + fill(70) + items[59][40:] + fill(40),
+            4: items[59][30:43] + fill(100), 5: fill(100) + items[59][30:42] + fill(100),
+            6: items[59][40:50] + fill(50) + items[59][20:30] + fill(50) + items[59][:10], 7: fill(300),
+            8: fill(20) + items[30][:10] + fill(60) + items[30][10:20] + fill(60) + items[30][20:] + fill(9)}
+    # one passage is in many documents, the rest of its item in none
+    docs |= {100 + i: fill(30) + items[200][:20] + fill(30) for i in range(60)}
+    want = {(1, 59), (2, 200), (3, 59), (4, 59), (8, 30)} | {(100 + i, 200) for i in range(60)}
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    frame = spark.createDataFrame([(i, " ".join(x)) for i, x in docs.items()], "doc_id long, text string")
+    rows = decontam.contamination(frame, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want
+    found = {r["doc_id"]: (r["score"], r["start_word"], r["end_word"]) for r in rows}
+    assert found[1] == (25 / 59, 150, 175) and found[2] == (80 / 200, 90, 170)
+    assert found[3] == (1.0, 40, 209) and found[8] == (1.0, 20, 170)
+    left = {r["doc_id"] for r in decontam.decontaminate(frame, bench).collect()}
+    assert left == set(docs) - {i for i, _ in want}
