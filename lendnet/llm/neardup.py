@@ -19,7 +19,9 @@ falls below the floor of 0.62 (5.5 standard deviations) with probability below 1
 Cases: null or empty text has an empty set, size 0, no link, and is its own component; a text shorter than a
 shingle is one shingle; rows that repeat a doc_id count as one document (all its texts' links hold);
 rows with a null doc_id are linked with nothing, get a null component and are kept; extra columns are
-not read. ``deduplicate`` keeps one row per kept doc_id.
+not read. ``deduplicate`` works on rows: where ids repeat, every row gets its own stored key, and one row of
+each component stays (smallest doc_id, then text hash); rows that only share an id are not linked, rows with
+empty texts or null ids all stay.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import ship, stored
+from lendnet.llm.common import free_name, ship, stored
 from lendnet.llm.words import row_windows, splitmix, windows, words
 from lendnet.session import cut_lineage
 
@@ -262,11 +264,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> Data
 
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents of each group but the one with the smallest id (all columns kept)."""
-    verdict = near_duplicates(docs, k, percent).filter("NOT kept").select("doc_id").distinct()
-    rest = docs.join(verdict, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the rows of each group but the one with the smallest id (all columns kept)."""
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    if ids.filter("n > 1").isEmpty():       # no id repeats: the rows are one per document already
-        return rest
-    named = rest.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(rest.filter("doc_id IS NULL"))
+    if ids.filter("n > 1").isEmpty():       # no id repeats: the id is the row's key
+        verdict = near_duplicates(docs, k, percent).filter("NOT kept").select("doc_id")
+        return docs.join(verdict, "doc_id", "left_anti").select(docs.columns)
+    row = free_name(docs, "row")
+    keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    named = keyed.filter("doc_id IS NOT NULL")
+    groups = near_duplicates(named.select(F.col(row).alias("doc_id"), "text"), k, percent).select(
+        F.col("doc_id").alias(row), "component_id")
+    order = named.select(row, F.struct("doc_id", F.xxhash64(F.col("text").cast("string")).alias("h"), row).alias("o"))
+    kept = groups.join(order, row).groupBy("component_id").agg(F.min("o").alias("o")).select(F.col(f"o.{row}").alias(row))
+    return (named.join(kept, row, "left_semi").select(docs.columns)
+            .unionByName(keyed.filter("doc_id IS NULL").select(docs.columns)))

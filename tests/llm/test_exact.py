@@ -284,3 +284,19 @@ def test_contamination_partial_and_split_passages(spark):
     assert found[3] == (1.0, 40, 209) and found[8] == (1.0, 20, 170)
     left = {r["doc_id"] for r in decontam.decontaminate(frame, bench).collect()}
     assert left == set(docs) - {i for i, _ in want}
+
+
+def test_deduplicate_rows_that_share_an_id(spark):
+    rng = random.Random(5)
+    page = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    a, b, c, d = page(), page(), page(), page()
+    rows = [(5, a), (5, b), (5, b + " end"), (7, a + " more"), (9, b), (11, c), (None, c), (5, None), (12, ""), (3, d),
+            (5, d)] + [(5, page()) for _ in range(20)]
+    docs = spark.createDataFrame([(*x, "s") for x in rows], "doc_id long, text string, row string")
+    got = neardup.deduplicate(docs)
+    assert got.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert (5, b) in got or (5, b + " end") in got
+    rest = [x for x in got if x not in ((5, b), (5, b + " end"))]
+    assert len(rest) == len(got) - 1
+    assert sorted(map(str, rest)) == sorted(map(str, [(5, a), (11, c), (None, c), (5, None), (12, ""), (3, d)] + rows[11:]))
