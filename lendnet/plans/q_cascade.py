@@ -9,7 +9,7 @@ from lendnet.plans.catalog import query, rnd
 from lendnet.sources import fixtures as FX
 from lendnet.sources.fixtures import with_views
 
-SHOCK, DECAY, THRESHOLD, HOPS = 1.0, 0.6, 0.3, 3
+SHOCK, DECAY, THRESHOLD, HOPS = 1.0, 0.6, 0.3, 5
 
 
 def triggers(spark, d):
@@ -41,7 +41,7 @@ adjw as (select adj.*, case edge_type when 'co-borrower' then 1.0e0 when 'guaran
            when 'employer' then 0.4e0 when 'loan' then 1.0e0 else 1.0e0 end as w, vul.vuln
          from adj join vul on vul.node = adj.dst)""", f"""
 s0 as (select customer_id as trigger_id, customer_id as node, 0 as hop, {SHOCK}e0 as stress,
-         cast(null as bigint) as p1, cast(null as bigint) as p2, cast(null as bigint) as p3,
+         {", ".join(f"cast(null as bigint) as p{i}" for i in range(1, HOPS + 1))},
          cast(null as varchar) as parent, cast(null as varchar) as edge_type
        from customers where cb_person_default_on_file = 'Y' and customer_id in (select node from vul))""",
              "v0 as (select trigger_id, node from s0)"]

@@ -111,3 +111,23 @@ def test_vulnerability_and_non_customer(spark):
     by = {r.customer_id: r for r in rows}
     assert by["B"].stress == round(1.0 * 0.5 * 0.7 * 1.5, 4)
     assert by["X"].stress == round(1.0 * 0.5 * 0.7 * 1.5 * 0.5 * 1.0 * 1.0, 4)
+
+
+def test_registered_cascades_go_five_hops(spark):
+    from conftest import SF001
+    from lendnet.operators.graph.cascade import node_table
+    from lendnet.plans import q_cascade as Q
+    customers, edges = Q.FX.customers(spark, SF001), Q.FX.edges(spark, SF001)
+    vuln = {r.node: r.vuln for r in node_table(customers, edges).collect()}
+    rows = sorted(tuple(r) for r in edges.select("edge_ord", "src_customer_id", "dst_customer_id", "edge_type").collect())
+    pairs, types = [r[1:3] for r in rows], [r[3] for r in rows]
+    want, stress = {}, {}
+    for t in Q.triggers(spark, SF001).collect():
+        found = reference_queue(pairs, types, t.customer_id, Q.SHOCK, Q.DECAY, Q.THRESHOLD, 5, vuln)
+        found = found or [(t.customer_id, 0, Q.SHOCK, True, None)]     # a customer without edges is alone
+        want |= {(t.trigger_id, n): (hop, fallen, parent) for n, hop, _, fallen, parent in found}
+        stress |= {(t.trigger_id, n): s for n, _, s, _, _ in found}
+    got = Q.cascade(spark, SF001).collect()
+    assert {(r.trigger_id, r.customer_id): (r.hop, r.fallen, r.parent) for r in got} == want
+    assert max(hop for hop, _, _ in want.values()) == 5
+    assert all(abs(r.stress - stress[r.trigger_id, r.customer_id]) < 2e-4 for r in got)
