@@ -2,7 +2,9 @@
 
 A page becomes a tree (implied end tags, raw-text elements, void elements, mis-nested end tags) and the tree
 is rendered as a reader sees it: hidden parts left out, block spacing kept, lists marked and indented,
-preformatted text as it stands, table cells aligned in columns.
+preformatted text as it stands, table cells aligned in columns. Formulas, text drawn by an svg, the content of
+text areas and the options a select shows are text too. Not shown: values of input elements and the content of
+object, video, audio, canvas, iframe and noscript, which stands in only where a browser cannot show them.
 
 Each page is parsed in its own row of a map-only job, so nothing is shuffled and a lost task repeats
 only its own pages.
@@ -26,9 +28,13 @@ from lendnet.llm.common import ship
 
 # fixed values: element classes of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+SVG_SHOWN = frozenset("text foreignobject".split())       # an svg draws text nowhere else
+SVG_DEFS = frozenset("defs symbol metadata desc clippath mask marker pattern".split())
+MATH_NOTES = frozenset("annotation annotation-xml".split())
+REPLACED = frozenset("img select svg textarea".split())         # text comes from more than the children's strings
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style title template noscript iframe noembed noframes object video audio canvas "
-                   "svg math datalist select textarea input meta link base".split())
+                   "datalist input meta link base mphantom".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
                   "summary table tbody td tfoot th thead tr ul caption xmp listing".split())
@@ -131,8 +137,8 @@ def parse(html: str) -> Node:
         if tag in RAW:
             end = re.compile(r"</" + re.escape(tag) + r"[^>]*>", re.I).search(html, at)
             stop = end.start() if end else n
-            if tag in ("xmp",):
-                node.kids.append(html[at:stop])
+            if tag in ("xmp", "textarea"):
+                node.kids.append(unescape(html[at:stop]) if tag == "textarea" else html[at:stop])
             at = end.end() if end else n
         elif tag not in VOID and not (rest or "").rstrip().endswith("/"):
             if len(stack) < MAX_DEPTH:
@@ -206,6 +212,35 @@ def _span(cell: Node) -> int:
     return min(max(int(v), 1), 1000) if v.isdigit() else 1
 
 
+def _held(kids: list) -> list[str]:
+    """Visible lines of nodes and strings as some block's content."""
+    box = Node("div")
+    box.kids = kids
+    return render(box)
+
+
+def _stray(kid: Node) -> list[str]:
+    """Visible lines of a node where a list or table holds only items or rows."""
+    return render(kid) if kid.tag in BLOCK else _held([kid])
+
+
+def _row(node: Node) -> list[tuple[list[str], int]]:
+    """(lines, span) of a row's cells; what stands between cells is a cell too where it shows anything."""
+    cells: list[tuple[list[str], int]] = []
+    run: list = []
+    for c in [*node.kids, Node("td")]:
+        if isinstance(c, str) or c.tag not in ("td", "th"):
+            run.append(c)
+            continue
+        lines = _held(run) if run else []
+        run = []
+        if lines:
+            cells.append((lines, 1))
+        if not c.hidden:
+            cells.append((render(c), _span(c)))
+    return cells[:-1]
+
+
 def _table(node: Node) -> list[str]:
     """Rows of aligned cells; a cell's own lines stay together under its column."""
     captions, rows = [], []
@@ -218,9 +253,9 @@ def _table(node: Node) -> list[str]:
             elif p.hidden:
                 continue
             elif p.tag == "tr":
-                rows.append([(render(c), _span(c)) for c in p.kids if isinstance(c, Node) and not c.hidden])
+                rows.append(_row(p))
             else:
-                captions += render(p)
+                captions += _stray(p)
     widths: list[int] = []
     for row in rows:
         col = 0
@@ -260,10 +295,55 @@ def _list(node: Node) -> list[str]:
                 out.append(mark + lines[0])
                 out += [" " * len(mark) + x if x else x for x in lines[1:]]
         else:
-            out += ["  " + x if x else x for x in render(kid)]
+            out += ["  " + x if x else x for x in _stray(kid)]
     return out
 
 
+def _strings(node: Node) -> str:
+    return "".join(x if isinstance(x, str) else "" if x.hidden else _strings(x) for x in node.kids)
+
+
+def _options(node: Node, shut: bool = False):
+    """(label, selected, disabled) of a select's options; an optgroup's own label comes as (label, None, None)."""
+    for kid in node.kids:
+        if isinstance(kid, str) or kid.hidden:
+            continue
+        off = shut or "disabled" in kid.attrs
+        if kid.tag == "option":
+            label = unescape(kid.attrs.get("label") or "") or _strings(kid)
+            yield BLANKS.sub(" ", label).strip(), "selected" in kid.attrs, off
+            continue
+        if kid.tag == "optgroup" and kid.attrs.get("label"):
+            yield unescape(kid.attrs["label"]), None, None
+        yield from _options(kid, off)
+
+
+def _select(node: Node, flow: Flow) -> None:
+    """A list box shows all options, a closed menu the selected one or else the first that can be chosen."""
+    shown = list(_options(node))
+    size = node.attrs.get("size") or ""
+    if "multiple" in node.attrs or size.isdigit() and int(size) > 1:
+        flow.block([x for x, _, _ in shown if x], False)
+        return
+    chosen = [x for x, on, _ in shown if on][-1:] or [x for x, on, off in shown if on is not None and not off][:1]
+    for x in chosen:
+        flow.text(x)
+
+
+def _svg(node: Node, flow: Flow) -> None:
+    """What an svg draws as text: its text elements and embedded HTML."""
+    for kid in node.kids:
+        if isinstance(kid, str) or kid.hidden or kid.tag in SVG_DEFS or kid.attrs.get("display") == "none" \
+                or kid.attrs.get("visibility") in ("hidden", "collapse"):
+            continue
+        if kid.tag in SVG_SHOWN:
+            flow.text(" ")
+            _inline(kid, flow)
+            flow.text(" ")
+        else:
+            _svg(kid, flow)
+
+
 def _preformatted(node: Node) -> list[str]:
     parts: list[str] = []
     todo = [node]
@@ -274,6 +354,9 @@ def _preformatted(node: Node) -> list[str]:
         elif not x.hidden:
             if x.tag == "br":
                 parts.append("\n")
+            if x.tag in REPLACED and x is not node:
+                parts.append("\n".join(_held([x])))
+                continue
             todo.extend(reversed(x.kids))
     text = "".join(parts)
     return _trim([x.rstrip() for x in (text[1:] if text.startswith("\n") else text).split("\n")])
@@ -290,6 +373,20 @@ def _inline(node: Node, flow: Flow) -> None:
         elif kid.tag == "img":
             if kid.attrs.get("alt"):
                 flow.text(unescape(kid.attrs["alt"]))
+        elif kid.tag == "select":
+            _select(kid, flow)
+        elif kid.tag == "svg":
+            _svg(kid, flow)
+        elif kid.tag == "textarea":
+            lines = _preformatted(kid)
+            if len(lines) > 1:
+                flow.block(lines, False)
+            else:
+                flow.text("".join(lines))
+        elif kid.tag == "math" and kid.attrs.get("display") == "block":
+            flow.block(render(kid), False)
+        elif kid.tag in MATH_NOTES and node.tag == "semantics":
+            continue
         elif kid.tag == "hr":
             flow.block(["----"], True)
         elif kid.tag in ("pre", "xmp", "listing"):

@@ -300,3 +300,23 @@ def test_deduplicate_rows_that_share_an_id(spark):
     rest = [x for x in got if x not in ((5, b), (5, b + " end"))]
     assert len(rest) == len(got) - 1
     assert sorted(map(str, rest)) == sorted(map(str, [(5, a), (11, c), (None, c), (5, None), (12, ""), (3, d)] + rows[11:]))
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<table><tr>Total: <td>5</tr></table>", "Total: | 5"),
+    ("<table><tr><td>a</td> mid <b>x</b> <td>b</td> end</tr></table>", "a | mid x | b | end"),
+    ("<table><tr> <td>a</td>\n<!-- c --><td hidden>no<td></tr><tr><td>b<td>c</table>", "a |\nb | c"),
+    ("<table><tr><img alt='Fig &amp; 1'><td>1</table>", "Fig & 1 | 1"), ("<table><img alt=top><tr><td>1</table>", "top\n1"),
+    ("<ul><img alt=pic><li>x</ul>", "  pic\n- x"), ("<pre>a <img alt=b> c</pre>", "a b c"),
+    ("a <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>tex</annotation></semantics></math> b", "a x=1 b"),
+    ("<svg><title>no</title><defs><text>no</text></defs><g><text>Q1 <tspan>up</tspan></text><text>Q2</text></g><path d=x></svg>",
+     "Q1 up Q2"),
+    ("<p>Note: <textarea>typed &amp; <b>x</textarea> end", "Note: typed & <b>x end"),
+    ("<textarea>\n one\n  two</textarea>", " one\n  two"),
+    ("<select><option disabled>pick<option>one<option>two</select>", "one"),
+    ("<select><option>one<optgroup label=g><option selected label=II>two</select>", "II"),
+    ("x<select multiple><option>one<optgroup label=g><option>two</select>", "x\none\ng\ntwo"),
+    ("<select hidden><option>no</select><div style='display:none'><textarea>no</textarea></div>yes", "yes"),
+])
+def test_html_text_outside_the_usual_places(page, want):
+    assert html_text.visible_text(page) == want
