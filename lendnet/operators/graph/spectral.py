@@ -4,10 +4,11 @@ L = I - D^{-1/2} A D^{-1/2} on the undirected, de-duplicated customer graph (a
 self-loop is A_ii = 1; isolated nodes have L_ii = 1 and no off-diagonal entries).
 
 The embedding wants the smallest eigenvectors of L with eigenvalue > 1e-6, scaled
-by 1/sqrt(lambda). We run block subspace iteration on M = 2I - L (same vectors, order
-reversed): each iteration is one join of the vector table with the edge table and a
-group-by (the mat-vec), plus a k x k Gram matrix summed on the executors; only that
-k x k matrix reaches the driver (QR / Rayleigh-Ritz with numpy), never the n-row table.
+by 1/sqrt(lambda). We run block subspace iteration with a Chebyshev filter: a round applies a polynomial of L
+that damps all eigenvalues above the block's largest one (``DEGREE`` mat-vecs, each one join of the vector table
+with the edge table and a group-by), then a Rayleigh-Ritz step. Rounds go on until every wanted vector has
+||L v - lambda v|| <= ``tol``; vectors that do not get there in ``iters`` rounds are an error, not a result. Only
+k x k matrices summed on the executors reach the driver, never the n-row table.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 from lendnet.functions.columns import hash_unit
 from lendnet.session import cut_lineage
 
+TOL = 1e-6                   # largest residual ||L v - lambda v|| of a unit vector
+DEGREE = 10                  # mat-vecs in one round
+SPARE = 4                    # vectors carried beyond the wanted ones
+
 
 def customer_adjacency(customers: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(A as (i, j) both directions, de-duplicated, customer endpoints only; degree table)."""
@@ -46,15 +51,17 @@ def norm_laplacian(customers: DataFrame, edges: DataFrame) -> DataFrame:
     return off.unionByName(diag)
 
 
-def _gram(v: DataFrame, col: str, k: int) -> np.ndarray:
-    """k x k matrix sum_i v_i v_i^T, summed on the executors."""
-    aggs = [F.sum(F.col(col)[a] * F.col(col)[b]).alias(f"g{a}_{b}") for a in range(k) for b in range(a, k)]
-    row = v.agg(*aggs).first()
-    g = np.zeros((k, k))
-    for a in range(k):
-        for b in range(a, k):
-            g[a, b] = g[b, a] = row[f"g{a}_{b}"] or 0.0
-    return g
+def _gram(v: DataFrame, pairs: list[tuple[str, str]], k: int) -> list[np.ndarray]:
+    """k x k matrices sum_i a_i b_i^T for pairs of vector columns, summed on the executors."""
+    row = v.agg(*[F.sum(F.col(x)[a] * F.col(y)[b]) for x, y in pairs for a in range(k) for b in range(a, k)]).first()
+    out, at = [], iter(row)
+    for _ in pairs:
+        g = np.zeros((k, k))
+        for a in range(k):
+            for b in range(a, k):
+                g[a, b] = g[b, a] = next(at) or 0.0
+        out.append(g)
+    return out
 
 
 def _apply(v: DataFrame, m: np.ndarray, col: str) -> DataFrame:
@@ -64,42 +71,56 @@ def _apply(v: DataFrame, m: np.ndarray, col: str) -> DataFrame:
     return v.withColumn(col, F.array(*out))
 
 
-def spectral_embedding(customers: DataFrame, edges: DataFrame, dim: int = 8, iters: int = 60,
-                       seed: int = 42) -> tuple[DataFrame, np.ndarray]:
-    """(customer_id, embedding array<double>), eigenvalues of L kept (ascending)."""
+def spectral_pairs(customers: DataFrame, edges: DataFrame, dim: int = 8, iters: int = 60, seed: int = 42,
+                   tol: float = TOL) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(customer_id, embedding array<double>), eigenvalues of L kept (ascending), their vectors' residuals."""
     a, deg = customer_adjacency(customers, edges)
-    k = dim + 1
+    want = dim + 1
+    k = min(want + SPARE, deg.count())
     inv = deg.select("i", F.when(F.col("d") > 0, F.lit(1.0) / F.sqrt(F.col("d"))).otherwise(F.lit(0.0)).alias("s"))
     a_w = cut_lineage(a.join(inv, "i").join(inv.select(F.col("i").alias("j"), F.col("s").alias("sj")), "j")
                       .select("i", "j", (F.col("s") * F.col("sj")).alias("w")))
     v = cut_lineage(deg.select("i", F.array(*[hash_unit(F.lit(seed), F.col("i"), F.lit(c)) - F.lit(0.5)
                                               for c in range(k)]).alias("v")))
 
-    def matvec(vec: DataFrame) -> DataFrame:
-        # (M v)_i = v_i + sum_j w_ij v_j   (M = 2I - L = I + D^-1/2 A D^-1/2)
+    def times_l(vec: DataFrame, k: int, out) -> DataFrame:
+        # (L v)_i = v_i - sum_j w_ij v_j; ``out`` names the columns to keep of v and lv
         nb = (a_w.join(vec.select(F.col("i").alias("j"), F.col("v").alias("vj")), "j")
               .groupBy("i").agg(*[F.sum(F.col("w") * F.col("vj")[c]).alias(f"s{c}") for c in range(k)]))
-        j = vec.join(nb, "i", "left")
-        return j.select("i", F.array(*[F.col("v")[c] + F.coalesce(F.col(f"s{c}"), F.lit(0.0))
-                                       for c in range(k)]).alias("v"))
-
-    for it in range(iters):
-        w = matvec(v)
-        g = _gram(w, "v", k)
-        r = np.linalg.cholesky(g + 1e-12 * np.eye(k)).T      # w = Q r  ->  Q = w r^-1
-        # the k x k re-mixing makes wide expressions: cut lineage every step
-        v = cut_lineage(_apply(w, np.linalg.inv(r), "v"))
-    mv = matvec(v)
-    h = v.join(mv.withColumnRenamed("v", "mv"), "i")
-    aggs = [F.sum(F.col("v")[a] * F.col("mv")[b]).alias(f"h{a}_{b}") for a in range(k) for b in range(k)]
-    row = h.agg(*aggs).first()
-    hm = np.array([[row[f"h{a}_{b}"] for b in range(k)] for a in range(k)])
-    mu, rot = np.linalg.eigh((hm + hm.T) / 2.0)
-    lam = 2.0 - mu                                        # eigenvalues of L
-    order = np.argsort(lam)
-    lam, rot = lam[order], rot[:, order]
-    keep = np.where(lam > 1e-6)[0][:dim]
-    scale = rot[:, keep] / np.sqrt(np.maximum(lam[keep], 1e-8))[None, :]
-    emb = _apply(v, scale, "v")
+        lv = [F.col("v")[c] - F.coalesce(F.col(f"s{c}"), F.lit(0.0)) for c in range(k)]
+        return cut_lineage(vec.join(nb, "i", "left").select("i", *out(lv)))
+
+    for _ in range(iters):
+        w = times_l(v, k, lambda lv: ["v", F.array(*lv).alias("lv")])
+        g, h, s = _gram(w, [("v", "v"), ("v", "lv"), ("lv", "lv")], k)
+        d = 1.0 / np.sqrt(np.maximum(np.diag(g), 1e-300))
+        size, u = np.linalg.eigh(g * np.outer(d, d))
+        basis = (d[:, None] * u[:, size > 1e-12 * size.max()]) / np.sqrt(size[size > 1e-12 * size.max()])
+        lam, y = np.linalg.eigh(basis.T @ h @ basis)
+        rot = basis @ y
+        sq = lambda m: np.einsum("ac,ab,bc->c", rot, m, rot)
+        res = np.sqrt(np.maximum(sq(s) - 2 * lam * sq(h) + lam ** 2 * sq(g), 0.0))
+        if res[:want].max() <= tol:
+            break
+        # T_m of the spectrum with [top, 2] mapped to [-1, 1]; the block's largest value is not wanted
+        top, k = min(float(lam[-1]), 1.9), len(lam)
+        mid, half = (2.0 + top) / 2, (2.0 - top) / 2
+        v = cut_lineage(_apply(w.drop("lv"), rot, "v"))
+        v = times_l(v, k, lambda lv: [F.col("v").alias("u"), F.array(
+            *[(x - mid * F.col("v")[c]) / half for c, x in enumerate(lv)]).alias("v")])
+        for _ in range(DEGREE - 1):
+            v = times_l(v, k, lambda lv: [F.col("v").alias("u"), F.array(
+                *[2 * (x - mid * F.col("v")[c]) / half - F.col("u")[c] for c, x in enumerate(lv)]).alias("v")])
+        v = v.drop("u")
+    else:
+        raise RuntimeError(f"residual {res[:want].max():.3g} above {tol:g} after {iters} rounds")
+    keep = np.where(lam[:want] > 1e-6)[0][:dim]
+    emb = _apply(w.drop("lv"), rot[:, keep] / np.sqrt(np.maximum(lam[keep], 1e-8))[None, :], "v")
     out = customers.select(F.col("customer_id").alias("i")).join(emb, "i", "left")
-    return out.select(F.col("i").alias("customer_id"), F.col("v").alias("embedding")), lam[keep]
+    return out.select(F.col("i").alias("customer_id"), F.col("v").alias("embedding")), lam[keep], res[keep]
+
+
+def spectral_embedding(customers: DataFrame, edges: DataFrame, dim: int = 8, iters: int = 60, seed: int = 42,
+                       tol: float = TOL) -> tuple[DataFrame, np.ndarray]:
+    """``spectral_pairs`` without the residuals, all of which are at most ``tol``."""
+    return spectral_pairs(customers, edges, dim, iters, seed, tol)[:2]

@@ -215,5 +215,5 @@ def walk_embeddings(spark, d):
 
 @query("spectral_embedding")
 def spectral_embedding(spark, d):
-    emb, _ = SP.spectral_embedding(FX.customers(spark, d), FX.edges(spark, d), dim=8, iters=20)
+    emb, _ = SP.spectral_embedding(FX.customers(spark, d), FX.edges(spark, d), dim=8)
     return emb

@@ -312,6 +312,6 @@ def gbt_evaluate(spark, d):
     from lendnet.operators.order import stratified_split
     a, _ = _assembled(spark, d)
     split = stratified_split(a, "label", "customer_id", 42)
-    model = MD.train_gbt(split.filter(F.col("split") == "train"), max_iter=10, max_depth=4)
+    model = MD.train_gbt(split.filter(F.col("split") == "train"))
     pred = MD.predict_proba(model, split.filter(F.col("split") == "test"))
     return evaluate(pred.select(F.col("label").alias("y"), F.col("risk_score").alias("p")))

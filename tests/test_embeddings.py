@@ -62,3 +62,20 @@ def test_no_walker_is_lost_on_a_star_and_isolates_stay(spark):
     assert all(len(r.path) == 4 for r in w if r.start != "alone")
     exact = WK.random_walks(star, nodes, walks_per_node=5, length=3, p=50.0, q=50.0, cheap_rounds=0).collect()
     assert len(exact) == 30
+
+
+def test_registered_spectral_embedding_is_converged(spark):
+    from conftest import SF001
+    from lendnet.plans import q_embed as Q
+    rows = {r.customer_id: r.embedding for r in Q.spectral_embedding(spark, SF001).collect()}
+    ids = sorted(rows)
+    at = {x: n for n, x in enumerate(ids)}
+    lap = np.zeros((len(ids), len(ids)))
+    for r in SP.norm_laplacian(Q.FX.customers(spark, SF001), Q.FX.edges(spark, SF001)).collect():
+        lap[at[r.i], at[r.j]] = r.value
+    v = np.array([rows[x] for x in ids])
+    want = np.linalg.eigvalsh(lap)[:9]
+    want = want[want > 1e-6]
+    v = v * np.sqrt(want)                               # unit vectors again
+    assert np.allclose(np.linalg.norm(v, axis=0), 1.0, atol=1e-5)
+    assert np.linalg.norm(lap @ v - v * want, axis=0).max() < 1e-5

@@ -220,3 +220,12 @@ def test_session_leaves_the_clusters_partition_count():
         assert not any(a[0] == "spark.sql.shuffle.partitions" for a in seen["config"])
         session.get_session("local[4]")
         assert ("spark.sql.shuffle.partitions", "8") in seen["config"]
+
+
+def test_gbt_evaluate_trains_with_the_operator_defaults(spark, monkeypatch):
+    from conftest import SF001
+    from lendnet.plans import q_model as Q
+    models, train = [], Q.MD.train_gbt
+    monkeypatch.setattr(Q.MD, "train_gbt", lambda *a, **kw: models.append(train(*a, **kw)) or models[-1])
+    assert Q.gbt_evaluate(spark, SF001).count() > 0
+    assert [(m.getMaxIter(), m.getMaxDepth()) for m in models] == [(20, 5)]
