@@ -207,9 +207,8 @@ def random_walks(spark, d):
 
 @query("walk_embeddings")
 def walk_embeddings(spark, d):
-    walks = WK.random_walks(FX.edges(spark, d), walks_per_node=1, length=5, seed=42)
     from pyspark.ml.functions import vector_to_array
-    v = WK.walk_embeddings(walks, dim=8)
+    v = WK.walk_embeddings(random_walks(spark, d), dim=32, window=3)
     return v.select(F.col("word").alias("customer_id"), vector_to_array("vector").alias("embedding"))
 
 

@@ -79,3 +79,15 @@ def test_registered_spectral_embedding_is_converged(spark):
     v = v * np.sqrt(want)                               # unit vectors again
     assert np.allclose(np.linalg.norm(v, axis=0), 1.0, atol=1e-5)
     assert np.linalg.norm(lap @ v - v * want, axis=0).max() < 1e-5
+
+
+def test_registered_walk_embeddings_take_the_whole_walks(spark, monkeypatch):
+    from conftest import SF001
+    from lendnet.plans import q_embed as Q
+    seen, train = [], WK.walk_embeddings
+    monkeypatch.setattr(WK, "walk_embeddings", lambda walks, **kw: seen.append(walks) or train(walks, **kw))
+    rows = Q.walk_embeddings(spark, SF001).collect()
+    customers = {r.customer_id for r in Q.FX.customers(spark, SF001).collect()}
+    assert customers <= {r.customer_id for r in rows} and all(len(r.embedding) == 32 for r in rows)
+    sizes = [len(r.path) for r in seen[0].collect()]
+    assert len(sizes) == 2 * len(customers) and max(sizes) == 10
