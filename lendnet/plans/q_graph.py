@@ -11,7 +11,7 @@ from lendnet.operators.graph import hops as GH
 from lendnet.plans.catalog import query, rnd
 from lendnet.sources import fixtures as FX
 from lendnet.session import ensure_checkpoint_dir
-from lendnet.sources.files import path_exists
+from lendnet.sources.files import file_states, path_exists
 from lendnet.sources.fixtures import with_views
 
 # Crisis window for the fixture's order dates (1997-01-01 .. 2000-01-01, unix seconds).
@@ -292,17 +292,20 @@ GF_DOUBLES9 = ["norm_in_degree", "norm_out_degree", "clustering_coefficient", "n
                "neighbor_default_frac_2hop"]
 
 
-_FEATURE_STORE: dict[tuple[str, str], str] = {}
+_FEATURE_STORE: dict[tuple, str] = {}
 
 
 def graph_features_view(spark, d):
     """The feature table of ``d`` from the feature store: computed and written to the shared folder at the
-    first use in an application, read back by every later query of it."""
-    key = (spark.sparkContext.applicationId, d)
+    first use in an application, read back by every later query of it while the input files stay the same
+    (names, sizes, modification times)."""
+    customers, edges = FX.customers(spark, d), FX.edges(spark, d)
+    key = (spark.sparkContext.applicationId, d,
+           file_states(spark, {*customers.inputFiles(), *edges.inputFiles()}))
     path = _FEATURE_STORE.get(key)
     if path is None or not path_exists(spark, path):
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/features-{uuid.uuid4().hex}"
-        _graph_features(FX.customers(spark, d), FX.edges(spark, d)).write.parquet(path)
+        _graph_features(customers, edges).write.parquet(path)
         _FEATURE_STORE[key] = path
     return spark.read.parquet(path)
 

@@ -19,6 +19,17 @@ def read_raw_edges(spark: SparkSession, path: str) -> DataFrame:
                           ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
 
 
+def file_states(spark: SparkSession, files) -> tuple:
+    """(file, size, modification time) of every file, in order of name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for f in sorted(files):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        state = path.getFileSystem(conf).getFileStatus(path)
+        out.append((f, state.getLen(), state.getModificationTime()))
+    return tuple(out)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the session (works for any scheme)."""
     jvm = spark.sparkContext._jvm

@@ -149,3 +149,19 @@ def test_hub_list_is_bounded(spark):
     for max_hubs in (1, 10, 100):
         n = heavy_keys(deg, "k", "d", total, min_threshold=0, max_hubs=max_hubs).count()
         assert n <= max_hubs
+
+
+def test_feature_store_sees_rewritten_tables(spark, tmp_path):
+    import shutil
+    from conftest import SF001
+    from lendnet.plans.q_graph import graph_features_view
+    d = str(tmp_path / "tables")
+    shutil.copytree(SF001, d)
+    first = graph_features_view(spark, d)
+    assert graph_features_view(spark, d).inputFiles() == first.inputFiles()
+    n = first.count()
+    half = spark.read.parquet(f"{SF001}/customer.parquet").filter("c_custkey % 2 = 0")
+    half.write.mode("overwrite").parquet(f"{d}/new.parquet")
+    (tmp_path / "tables" / "customer.parquet").write_bytes(
+        next((tmp_path / "tables" / "new.parquet").glob("part-*.parquet")).read_bytes())
+    assert 0 < graph_features_view(spark, d).count() < n
