@@ -6,6 +6,8 @@ derives the contract's digest columns. ``pipeline`` lives in ``corpus_pipeline.p
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lendnet.llm.common import table
 from lendnet.llm.decontam import contamination
 from lendnet.llm.html_text import extract_text
@@ -13,6 +15,7 @@ from lendnet.llm.langid import language_id
 from lendnet.llm.neardup import near_duplicates
 from lendnet.llm.packing import pack
 from lendnet.llm.quality_rules import STOP_WORDS, quality_rules
+from lendnet.llm.runs import periodic_runs
 from lendnet.llm.secrets import scan
 from lendnet.llm.substring import substring_dedup
 from lendnet.llm.tokenfile import token_files
@@ -110,3 +113,33 @@ def op4_decontamination(spark, sf_dir):
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+# op13: every tenth document (by crc32 of its id) repeats a stretch of its own words from word a on
+def cycled(docs):
+    """doc_id and text, with the words of every tenth document made periodic from word g % n on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", F.col("text").cast("string").alias("text"), h.alias("h"))
+    # only the chosen documents' words become arrays
+    chosen = F.coalesce(F.col("h") % 10 == 0, F.lit(False))
+    words = F.when(chosen, F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda x: x != ""))
+    d = d.withColumn("w", words).withColumn("n", F.size("w").cast("long"))
+    d = d.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.col("g") % F.col("n"))
+    d = d.withColumn("p", 1 + F.expr("(n - a) div (3 + g % 8)"))
+    text = F.expr("array_join(transform(sequence(0L, n - 1), "
+                  "i -> w[int(if(i < a, i, a + (i - a) % p))]), ' ')")
+    return d.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    runs = periodic_runs(cycled(table(spark, sf_dir, "documents")))
+    # greatest length / period as whole numbers; runs come by start, then period, so the first of equals stays
+    best = F.expr("aggregate(runs, get(runs, 0), (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return (runs.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+                    F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
