@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lendnet.llm.alignment import alignment_report
 from lendnet.llm.common import table
 from lendnet.llm.decontam import contamination
 from lendnet.llm.html_text import extract_text
@@ -143,3 +144,9 @@ def op13_periodic_runs(spark, sf_dir):
                     F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                     F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
                     F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    return alignment_report(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                            tokenizer_file("piece_bpe_32k.model"))
