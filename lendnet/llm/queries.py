@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lendnet.llm.alignment import alignment_report
 from lendnet.llm.common import table
+from lendnet.llm.curves import nearest
 from lendnet.llm.decontam import contamination
 from lendnet.llm.html_text import extract_text
 from lendnet.llm.langid import language_id
@@ -150,3 +151,8 @@ def op13_periodic_runs(spark, sf_dir):
 def op11_token_alignment(spark, sf_dir):
     return alignment_report(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
                             tokenizer_file("piece_bpe_32k.model"))
+
+
+@query("op12_nearest_vectors")
+def op12_nearest_vectors(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
