@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.schemas import GAUGE_STEPS
@@ -92,6 +94,68 @@ def error_ratio(requests: DataFrame, ts: str = "ts") -> DataFrame:
                      F.count(F.lit(1))).alias("error_ratio"))
 
 
+# Monitoring panes: an event enters the one-minute pane of its time once; windows are merged from panes.
+
+PANE = "1 minute"
+PANES_A_WINDOW = 5
+RELATIVE_ERROR = 0.01
+_GAMMA = (1 + RELATIVE_ERROR) / (1 - RELATIVE_ERROR)
+
+
+def latency_bucket(x) -> Column:
+    """Number of the logarithmic bucket (gamma^(i-1), gamma^i] of a duration; durations of zero or less share the
+    lowest bucket, null stays null."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.when(x > 0, F.ceil(F.log(x) / F.lit(math.log(_GAMMA)))).when(x <= 0, F.lit(ZERO_BUCKET)).cast("int")
+
+
+ZERO_BUCKET = -1_000_000
+
+
+def bucket_value(i) -> Column:
+    """The duration that stands for a bucket: within RELATIVE_ERROR of everything in it."""
+    return F.when(i == ZERO_BUCKET, F.lit(0.0)).otherwise(
+        F.lit(2.0 / (_GAMMA + 1.0)) * F.pow(F.lit(_GAMMA), i.cast("double")))
+
+
+def request_panes(requests: DataFrame, ts: str = "ts", pane=None) -> DataFrame:
+    """(pane, bucket, n, errors): one row per minute and latency bucket, however many requests there are."""
+    pane = F.date_trunc("minute", F.col(ts)).cast("timestamp") if pane is None else pane
+    return (requests.groupBy(pane.alias("pane"), latency_bucket("duration_s").alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("status") >= 500).cast("long")).alias("errors")))
+
+
+def histogram_quantile(buckets: str, p: float) -> Column:
+    """Interpolated quantile (rank p * (n - 1)) of an array of (bucket, n): both order statistics around the rank
+    come from their buckets, so the result is within RELATIVE_ERROR of the exact quantile."""
+    return F.expr(f"""
+        aggregate(
+          array_sort(filter({buckets}, x -> x.bucket IS NOT NULL)),
+          named_struct('seen', 0L, 'lo', CAST(NULL AS INT), 'hi', CAST(NULL AS INT),
+                       'rank', {float(p)}D * (aggregate(filter({buckets}, x -> x.bucket IS NOT NULL), 0L,
+                                                        (s, x) -> s + x.n) - 1)),
+          (a, x) -> named_struct('seen', a.seen + x.n,
+                                 'lo', IF(a.lo IS NULL AND a.seen + x.n > floor(a.rank), x.bucket, a.lo),
+                                 'hi', IF(a.hi IS NULL AND a.seen + x.n > ceil(a.rank), x.bucket, a.hi),
+                                 'rank', a.rank))""")
+
+
+def merge_panes(panes: DataFrame, p: float = 0.95) -> DataFrame:
+    """(window_start, req_per_s, p95_s, error_ratio) of 5-minute windows sliding by one minute, from panes.
+
+    A pane row goes to the five windows it lies in; a window collects at most 5 x buckets small rows."""
+    start = F.explode(F.array(*[F.col("pane") - F.expr(f"interval {k} minutes") for k in range(PANES_A_WINDOW)]))
+    w = (panes.withColumn("window_start", start).groupBy("window_start", "bucket")
+         .agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"))
+         .groupBy("window_start").agg(F.sum("n").alias("total"), F.sum("errors").alias("errors"),
+                                      F.collect_list(F.struct("bucket", "n")).alias("buckets")))
+    q = w.withColumn("q", histogram_quantile("buckets", p))
+    lo, hi = bucket_value(F.col("q.lo")), bucket_value(F.col("q.hi"))
+    return q.select("window_start", (F.col("total") / F.lit(60.0 * PANES_A_WINDOW)).alias("req_per_s"),
+                    (lo + (hi - lo) * (F.col("q.rank") - F.floor("q.rank"))).alias("p95_s"),
+                    F.try_divide(F.col("errors").cast("double"), F.col("total")).alias("error_ratio"))
+
+
 def gauge_status(metrics: DataFrame) -> DataFrame:
     """Latest value per gauge with its severity: green / amber / red (AUC: low is bad)."""
     last = metrics.groupBy("metric").agg(F.max_by("value", "ts").alias("value"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lendnet.operators import events as EV
 from lendnet.operators.order import positional_split
 from lendnet.plans.catalog import query, rnd
+from lendnet.session import ensure_checkpoint_dir
 from lendnet.sources import fixtures as FX
 from lendnet.sources.fixtures import with_views
+from lendnet.sources.versioned import VersionedTable
 
 EV_COLS = ["scoring_event_id", "customer_id", "risk_score", "requested_amount", "scored_at", "decision_band"]
 
@@ -64,10 +68,14 @@ late as (select * from scoring_events where scored_at <= (select m from mark)
 
 
 def _incremental(spark, d):
+    """The stored log after two commits (the target's rows, then the whole feed), and the feed's late rows."""
     ev = events(spark, d).select(*EV_COLS)
     target = positional_split(ev, ["requested_amount", "scoring_event_id"], 0.8).filter(
         F.col("part") == "reference").select(*EV_COLS)
-    return EV.incremental_load(target, ev)
+    log = VersionedTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/event-log-{uuid.uuid4().hex}")
+    log.upsert(target, ["scoring_event_id"], 0, ts="scored_at")
+    late = log.upsert(ev, ["scoring_event_id"], 1, ts="scored_at").late
+    return log.read(), late
 
 
 @query("incremental_log", with_views(f"with {INCR}\nselect * from result", "scoring_events"))
@@ -113,6 +121,31 @@ def error_ratio(spark, d):
     return rnd(EV.error_ratio(FX.requests(spark, d)), ["error_ratio"], 9)
 
 
+PANE_SQL = """
+panes as (select time_bucket(interval '1 minute', ts) as pane,
+            case when duration_s > 0 then ceil(ln(duration_s) / ln(1.01e0 / 0.99e0)) when duration_s <= 0 then -1000000 end as b,
+            count(*) as n, sum(case when status >= 500 then 1 else 0 end) as errors from requests group by 1, 2),
+w as (select pane - k * interval '1 minute' as window_start, b, sum(n) as n, sum(errors) as errors
+      from panes, range(0, 5) t(k) group by 1, 2),
+tot as (select window_start, sum(n) as total, sum(errors) as errors,
+               0.95e0 * (sum(case when b is not null then n end) - 1) as rank from w group by 1),
+cum as (select window_start, b, sum(n) over (partition by window_start order by b) as upto from w where b is not null),
+q as (select window_start, min(case when upto > floor(rank) then b end) as lo, min(case when upto > ceil(rank) then b end) as hi
+      from cum join tot using (window_start) group by 1),
+v as (select window_start,
+        case when lo = -1000000 then 0e0 else 2e0 / (1.01e0 / 0.99e0 + 1) * pow(1.01e0 / 0.99e0, lo) end as lo,
+        case when hi = -1000000 then 0e0 else 2e0 / (1.01e0 / 0.99e0 + 1) * pow(1.01e0 / 0.99e0, hi) end as hi from q)"""
+
+
+@query("request_windows", with_views(f"""with {PANE_SQL}
+select cast(window_start as timestamp) as window_start, round(total / 300e0, 9) as req_per_s,
+ round(lo + (hi - lo) * (rank - floor(rank)), 9) as p95_s, round(errors * 1e0 / total, 9) as error_ratio
+from tot left join v using (window_start)""", "requests"))
+def request_windows(spark, d):
+    panes = EV.request_panes(FX.requests(spark, d))
+    return rnd(EV.merge_panes(panes), ["req_per_s", "p95_s", "error_ratio"], 9)
+
+
 def hourly_metrics(spark, d):
     """Monitoring series derived from the request log: hourly error ratio and an 'up' gauge."""
     r = FX.requests(spark, d)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lendnet.operators import drift as DR
@@ -9,6 +11,7 @@ from lendnet.operators import metrics as M
 from lendnet.operators import order as O
 from lendnet.operators import quality as Q
 from lendnet.plans.catalog import query, rnd
+from lendnet.session import ensure_checkpoint_dir
 from lendnet.sources import fixtures as FX
 from lendnet.sources.fixtures import with_views
 
@@ -208,6 +211,20 @@ def drift_summary(spark, d):
         "n_drifted_columns", F.col("n_drifted_columns").cast("bigint"))
 
 
+@query("drift_stored", "with " + PVAL_SQL + """
+select "column", round(pv.ks_d, 9) as ks_d, n_ref, n_cur, round(p_value, 9) as p_value
+from pv join ks using ("column")""")
+def drift_stored(spark, d):
+    """The reference as a stored histogram, merged from two parts; the current rows as one batch against it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/drift-reference-{uuid.uuid4().hex}"
+    rows = drift_input(spark, d)
+    part = rows.filter(F.col("part") == "reference")
+    DR.store_reference(DR.value_histogram(part.filter("l_linenumber <= 3"), DRIFT_COLS), spark, path, 0)
+    DR.merge_reference(DR.value_histogram(part.filter("l_linenumber > 3"), DRIFT_COLS), spark, path, 1)
+    batch = DR.value_histogram(rows.filter(F.col("part") == "current"), DRIFT_COLS)
+    return rnd(DR.ks_against_reference(DR.read_reference(spark, path), batch), ["ks_d", "p_value"], 9)
+
+
 # ---------------------------------------------------------------- data quality
 
 RULES = [

@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lendnet.operators.events import rollup_by
-from lendnet.sources.files import path_exists
+from lendnet.operators import drift as DR
+from lendnet.operators.events import PANE, merge_panes, request_panes, rollup_by
+from lendnet.session import cut_lineage
 from lendnet.sources.sinks import dual_sink
-
-
-VERSION = "batch_version"
+from lendnet.sources.versioned import VersionedTable
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None,
@@ -77,13 +76,17 @@ def band_counter_stream(events: DataFrame) -> DataFrame:
     return events.groupBy("decision_band").agg(F.count(F.lit(1)).alias("n"))
 
 
-def request_windows_stream(requests: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Rate, exact p95 latency and 5xx ratio over 5-minute windows sliding by 1 minute."""
-    w = requests.withWatermark("ts", watermark).groupBy(F.window("ts", "5 minutes", "1 minute").alias("w"))
-    return w.agg((F.count(F.lit(1)) / F.lit(300.0)).alias("req_per_s"),
-                 F.percentile(F.col("duration_s"), F.lit(0.95)).alias("p95_s"),
-                 (F.sum((F.col("status") >= 500).cast("long")) / F.count(F.lit(1))).alias("error_ratio")) \
-        .select(F.col("w.start").alias("window_start"), "req_per_s", "p95_s", "error_ratio")
+def request_panes_stream(requests: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """One-minute panes with a logarithmic latency histogram (update mode; ``merge_panes`` makes the windows).
+
+    An event enters one pane; the state is one small row per open minute and latency bucket."""
+    late = requests.withWatermark("ts", watermark)
+    return request_panes(late, pane=F.window("ts", PANE)).withColumn("pane", F.col("pane.start"))
+
+
+def request_windows(spark: SparkSession, path: str) -> DataFrame:
+    """Rate, p95 latency and 5xx ratio of the windows over the panes stored at ``path``."""
+    return merge_panes(read_latest(spark, path))
 
 
 def dedup_stream(events: DataFrame, key: str = "scoring_event_id", watermark: str = "2 hours") -> DataFrame:
@@ -91,39 +94,36 @@ def dedup_stream(events: DataFrame, key: str = "scoring_event_id", watermark: st
     return events.withWatermark("scored_at", watermark).dropDuplicatesWithinWatermark([key])
 
 
-def upsert_latest(batch: DataFrame, batch_id: int, path: str, keys: list[str]) -> None:
-    """Keep the newest row per key of an update-mode aggregate in a parquet table.
-
-    Each batch writes a new version directory ``batch_version=<batch_id>`` merged from the newest version before
-    it; readers take the highest version. A replayed batch reads only versions below its own, so it
-    never reads what it overwrites; any read error other than "no table yet" is raised.
-    """
-    spark = batch.sparkSession
-    cur = batch
-    if path_exists(spark, path):
-        prev = spark.read.parquet(path).filter(F.col(VERSION) < batch_id)
-        last = prev.agg(F.max(VERSION)).first()[0]
-        if last is not None:
-            old = prev.filter(F.col(VERSION) == last).drop(VERSION).join(batch.select(*keys), keys, "left_anti")
-            cur = old.unionByName(batch)
-    cur.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{VERSION}={batch_id}")
+def upsert_latest(batch: DataFrame, batch_id: int, path: str, keys: list[str], ts: str | None = None,
+                  keep: int = 2) -> None:
+    """Upsert a micro-batch by ``keys`` into the versioned table at ``path``: touched buckets only, one commit per
+    batch id, the newest ``keep`` versions kept. With ``ts`` only rows above the table's mark take part."""
+    table = VersionedTable(batch.sparkSession, path)
+    if table.upsert(batch, keys, batch_id, ts=ts).applied:
+        table.vacuum(keep)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    t = spark.read.parquet(path)
-    return t.filter(F.col(VERSION) == t.agg(F.max(VERSION)).scalar()).drop(VERSION)
+    return VersionedTable(spark, path).read()
+
+
+def start_incremental_log(events: DataFrame, path: str, checkpoint: str, key: str = "scoring_event_id",
+                          ts: str = "scored_at", available_now: bool = True):
+    """The incremental event log, kept by a stream; a batch that is replayed after a crash is applied once."""
+    w = (events.writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(lambda b, i: upsert_latest(b, i, path, [key], ts)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
 
 
-def drift_batches(batch: DataFrame, batch_id: int, reference: DataFrame, cols: list[str], out: str,
+def drift_batches(batch: DataFrame, batch_id: int, reference: str, cols: list[str], out: str,
                   columns_out: str | None = None) -> None:
-    """K-S of each micro-batch against a stored reference sample, results appended; the statistic of
-    every column goes to ``columns_out`` where that is given."""
-    from lendnet.operators.drift import drift_summary, ks_by_column
-    both = (reference.select(*cols).withColumn("part", F.lit("reference"))
-            .unionByName(batch.select(*cols).withColumn("part", F.lit("current"))))
-    ks = ks_by_column(both, cols)
+    """K-S of each micro-batch against the stored reference histogram at ``reference`` (never its rows); the
+    summary goes to ``out``, the statistic of every column to ``columns_out`` where that is given."""
+    stored = DR.read_reference(batch.sparkSession, reference)
+    ks = cut_lineage(DR.ks_against_reference(stored, DR.value_histogram(batch, cols)))
     if columns_out is not None:
         (ks.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .parquet(f"{columns_out.rstrip('/')}/batch={batch_id}"))
-    summary = drift_summary(ks).drop("drift_by_column").withColumn("batch_id", F.lit(batch_id))
+    summary = DR.drift_summary(ks).drop("drift_by_column").withColumn("batch_id", F.lit(batch_id))
     summary.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
