@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from lendnet.operators import drift as DR
 from lendnet.operators.events import band_distribution, hourly_rollup
 from lendnet.sources import fixtures as FX
 from lendnet.streaming import jobs as SJ
@@ -69,21 +70,48 @@ def test_dedup_within_watermark(spark):
     assert spark.read.parquet(out).count() == ev.count()
 
 
-def test_request_windows_stream(spark):
+def test_request_panes_stream_makes_the_windows(spark):
+    """Panes kept by a stream, merged into windows: rate and error ratio exact, p95 within the stated error."""
+    from lendnet.operators.events import RELATIVE_ERROR, error_ratio, latency_p95, request_rate
     tmp = tempfile.mkdtemp(prefix="lendnet-stream-")
     req = FX.requests(spark, SF001).withColumn("ts", F.col("ts").cast("timestamp"))
     src = os.path.join(tmp, "req")
     _write_chunks(req, src, ts="ts")
-    out = os.path.join(tmp, "win")
-    q = (SJ.request_windows_stream(SJ.read_stream(spark, src, req.schema, files_per_trigger=2))
-         .writeStream.outputMode("update").option("checkpointLocation", os.path.join(tmp, "ck"))
-         .foreachBatch(lambda b, i: SJ.upsert_latest(b, i, out, ["window_start"]))
+    out = os.path.join(tmp, "panes")
+    panes = SJ.request_panes_stream(SJ.read_stream(spark, src, req.schema, files_per_trigger=2))
+    q = (panes.writeStream.outputMode("update").option("checkpointLocation", os.path.join(tmp, "ck"))
+         .foreachBatch(lambda b, i: SJ.upsert_latest(b, i, out, ["pane", "bucket"]))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    from lendnet.operators.events import request_rate
-    got = _rows(SJ.read_latest(spark, out), ["window_start", "req_per_s"])
-    exp = _rows(request_rate(req), ["window_start", "req_per_s"])
-    assert got == exp
+    got = SJ.request_windows(spark, out)
+    for col, exact in (("req_per_s", request_rate(req)), ("error_ratio", error_ratio(req))):
+        assert _rows(got, ["window_start", col]) == _rows(exact, ["window_start", col])
+    p95 = {r["window_start"]: r["p95_s"] for r in got.collect()}
+    for r in latency_p95(req).collect():
+        assert abs(p95[r["window_start"]] - r["p95_s"]) <= RELATIVE_ERROR * r["p95_s"] * (1 + 1e-9)
+    # one state row per open pane and bucket, not one per event and window
+    states = [s.numRowsTotal for p in q.recentProgress for s in p.stateOperators]
+    updated = sum(s.numRowsUpdated for p in q.recentProgress for s in p.stateOperators)
+    assert max(states) <= req.count() and updated <= req.count()
+    assert sum(s.numRowsRemoved for p in q.recentProgress for s in p.stateOperators) > 0
+
+
+def test_pane_histogram_on_odd_durations(spark):
+    import datetime as dt
+    from lendnet.operators.events import merge_panes, request_panes
+    t = dt.datetime(2024, 1, 1, 0, 7, 30)
+    values = [0.0, -1.0, None, 1e-9, 3.0, 3.0, 1e9]
+    req = spark.createDataFrame([(t, v, 200) for v in values], "ts timestamp, duration_s double, status int")
+    panes = request_panes(req)
+    assert panes.agg(F.sum("n")).first()[0] == len(values)
+    for p, exact in ((0.0, 0.0), (0.5, 1.5), (1.0, 1e9), (0.6, 3.0)):
+        rows = merge_panes(panes, p).collect()
+        assert len(rows) == 5 and abs(rows[0]["p95_s"] - exact) <= 0.01 * exact + 1e-6
+    only_null = request_panes(req.filter("duration_s is null"))
+    assert {r["p95_s"] for r in merge_panes(only_null).collect()} == {None}
+    assert merge_panes(request_panes(req.filter("false"))).count() == 0
+    big = spark.range(200_000).select(F.lit(t).alias("ts"), (F.col("id") % 997 / 100.0).alias("duration_s"), F.lit(500).alias("status"))
+    assert request_panes(big).count() < 450              # a hot minute is a few hundred rows
 
 
 def test_scoring_stream_equals_batch_and_dual_sink(spark):
@@ -115,14 +143,17 @@ def test_drift_on_micro_batches(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_quantity", "l_discount")
     src = os.path.join(tmp, "li")
     _write_chunks(li, src, n=2)
-    out = os.path.join(tmp, "drift")
+    out, ref, cols = os.path.join(tmp, "drift"), os.path.join(tmp, "reference"), ["l_quantity", "l_discount"]
+    DR.store_reference(DR.value_histogram(li, cols), spark, ref)
     q = (SJ.read_stream(spark, src, li.schema, files_per_trigger=1).writeStream
          .option("checkpointLocation", os.path.join(tmp, "ck"))
-         .foreachBatch(lambda b, i: SJ.drift_batches(b, i, li, ["l_quantity", "l_discount"], out))
+         .foreachBatch(lambda b, i: SJ.drift_batches(b, i, ref, cols, out, os.path.join(tmp, "columns")))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     res = spark.read.parquet(out).collect()
     assert len(res) == 2 and all(0 <= r.drift_share <= 1 for r in res)
+    logged = spark.read.parquet(os.path.join(tmp, "columns")).collect()
+    assert sorted((r["batch"], r["column"]) for r in logged) == [(b, c) for b in (0, 1) for c in sorted(cols)]
 
 
 def test_rollup_state_is_dropped_behind_the_watermark(spark):
