@@ -12,8 +12,9 @@ in one token of A and one of B. Statistics of linked id pairs cover the corpus:
 with a dictionary of the block's id pairs (``BLOCK_LINKS`` links a block, more where one document is longer); the
 dictionaries, not the links, are summed by pair, compared by B id and sent back to their blocks.
 
-Long texts are cut into segments at a single blank between two other characters, where both tokenizers always cut
-(no piece of either vocabulary holds a blank behind another character), so whole texts are covered.
+A single blank between two other characters is safe: both tokenizers always cut before it (no piece of either
+vocabulary holds a blank behind another character), and the ids on its two sides do not depend on each other. So a
+worker tokenizes each distinct unit between safe blanks once, and texts are aligned in chunks that end at one.
 
 Cases: a null or empty text, or one whose token bytes differ from blank + text on either side, has no tokens and
 gets zeros; strings of special tokens are plain text; null ids and repeated rows stay rows of their own; an empty
@@ -26,33 +27,38 @@ import hashlib
 import os
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendnet.llm.common import ship, stored
-from lendnet.llm.tokens import _byte_letters
+from lendnet.llm.tokens import WHITE, _byte_letters
 
-SEGMENT = 1 << 18           # characters of a text that are encoded at once
-CHUNK = 1 << 20             # characters of texts that are aligned at once
-BLOCK_LINKS = 1 << 21       # links of a block of documents
+SEGMENT = 1 << 16           # characters of a text's segment
+CHUNK = 1 << 19             # characters of texts that are aligned at once
+BLOCK_LINKS = 1 << 20       # links of a block of documents
+MAX_UNITS = 300_000         # entries of a worker's young generation of encoded units (the old one is as large)
 SAFE = re.compile(r"(?<=\S) (?=\S)")
+ODD = ("  ", " \n", "\n ", "\t", "\x0b", "\x0c", "\r")         # with these a plain split at blanks is not safe
+RARE = re.compile(f"[{WHITE[4:]}]")                            # nor beside white space outside ASCII
 
 
 class _Side(NamedTuple):
-    encode: object           # list of segments -> list of id lists
+    encode: object           # list of units -> list of id lists
     table: list              # id -> bytes
     size: np.ndarray         # id -> number of bytes
 
 
 def _byte_level(path: str) -> _Side:
-    """A byte-level vocabulary of the ``tokenizers`` library; a segment is encoded behind a blank."""
+    """A byte-level vocabulary of the ``tokenizers`` library; a unit is encoded behind a blank."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
@@ -61,31 +67,24 @@ def _byte_level(path: str) -> _Side:
     table = [b""] * tok.get_vocab_size()
     for token, i in tok.get_vocab().items():
         table[i] = bytes(code[c] for c in token) if all(c in code for c in token) else token.encode()
-    return _Side(lambda segs: [e.ids for e in tok.encode_batch_fast([" " + s for s in segs], add_special_tokens=False)],
+    return _Side(lambda units: [e.ids for e in tok.encode_batch_fast([" " + u for u in units], add_special_tokens=False)],
                  table, np.array([len(x) for x in table], np.int64))
 
 
 def _piece_level(path: str) -> _Side:
-    """A sentencepiece model, which puts the blank before a segment itself."""
+    """A sentencepiece model, which puts the blank before a unit itself."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     table = []
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
         table.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else piece.replace("▁", " ").encode())
-    return _Side(lambda segs: sp.encode(segs, num_threads=1), table, np.array([len(x) for x in table], np.int64))
+    return _Side(lambda units: sp.encode(units, num_threads=1), table, np.array([len(x) for x in table], np.int64))
 
 
-def _side(path: str) -> _Side:
-    """The worker's tokenizer of ``path``: kept for as long as the Python worker lives."""
-    kept = sys.modules[__name__].__dict__.setdefault("_kept", {})
-    if path not in kept:
-        kept[path] = (_byte_level if path.endswith(".json") else _piece_level)(path)
-    return kept[path]
-
-
-def segments(text: str, size: int = SEGMENT) -> list[str]:
-    """``text`` cut at safe blanks (which go: each segment is encoded behind a blank of its own)."""
+def segments(text: str, size: int | None = None) -> list[str]:
+    """``text`` cut at safe blanks into parts of about ``size`` characters (the blanks at the cuts go)."""
+    size = size or SEGMENT
     out, at = [], 0
     while len(text) - at > size:
         cut = SAFE.search(text, at + size)
@@ -97,6 +96,53 @@ def segments(text: str, size: int = SEGMENT) -> list[str]:
     return out
 
 
+def units(text: str) -> list[str]:
+    """``text`` cut at every safe blank."""
+    if any(x in text for x in ODD) or text[:1] == " " or text[-1:] == " " or not text.isascii() and RARE.search(text):
+        return SAFE.split(text)
+    return text.split(" ")
+
+
+class _Tokens:
+    """Token ids of segments on both sides; each distinct unit between safe blanks is encoded once."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ((_byte_level if p.endswith(".json") else _piece_level)(p) for p in (path_a, path_b))
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.old: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def _learn(self, new: list[str]) -> None:
+        for u in [u for u in new if u in self.old]:
+            self.known[u] = self.old[u]
+        new = [u for u in new if u not in self.known]
+        for u, x, y in zip(new, self.a.encode(new), self.b.encode(new)):
+            want = b" " + u.encode()
+            back = (b"".join(map(side.table.__getitem__, ids)) == want for side, ids in ((self.a, x), (self.b, y)))
+            self.known[u] = (array("I", x).tobytes(), array("I", y).tobytes()) if all(back) else None
+
+    def encode(self, segs: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """(A's ids, B's ids) of each segment as 32-bit integers; None where the bytes do not come back."""
+        if len(self.known) > MAX_UNITS:
+            self.old, self.known = self.known, {}
+        cut = [units(s) for s in segs]
+        new = list(set(chain.from_iterable(cut)) - self.known.keys())
+        if new:
+            self._learn(new)
+        out = []
+        for us in cut:
+            got = list(map(self.known.__getitem__, us))
+            out.append(None if None in got else (b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
+        return out
+
+
+def _tokens(path_a: str, path_b: str) -> _Tokens:
+    """The worker's tokenizers: kept for as long as the Python worker lives."""
+    kept = sys.modules[__name__].__dict__.setdefault("_kept", {})
+    if (path_a, path_b) not in kept:
+        kept[path_a, path_b] = _Tokens(path_a, path_b)
+    return kept[path_a, path_b]
+
+
 def divide(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A's token numbers whose ends are shared cuts, in order.
 
@@ -128,7 +174,7 @@ def divide(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last: np.n
 
 
 class Aligned(NamedTuple):
-    rows: np.ndarray         # document (row of the batch) of each segment; a bad document has no segment
+    rows: np.ndarray         # document (row of the group) of each segment
     a: np.ndarray            # token ids of all segments
     b: np.ndarray
     ends_a: np.ndarray       # byte ends on the axis of all segments
@@ -139,57 +185,66 @@ class Aligned(NamedTuple):
     cut_b: np.ndarray
 
 
-def align(texts: list[str], a: _Side, b: _Side) -> Aligned:
-    """Align the texts; those whose bytes do not come back are left out."""
-    rows, segs = [], []
-    for i, t in enumerate(texts):
-        if t:
-            cut = segments(t)
-            segs += cut
-            rows += [i] * len(cut)
-    ids_a, ids_b = (side.encode(segs) if segs else [] for side in (a, b))
-    want = [(" " + s).encode() for s in segs]
-    bad = {r for r, w, x, y in zip(rows, want, ids_a, ids_b)
-           if b"".join(map(a.table.__getitem__, x)) != w or b"".join(map(b.table.__getitem__, y)) != w}
-    if bad:
-        keep = [i for i, r in enumerate(rows) if r not in bad]
-        rows, ids_a, ids_b = ([x[i] for i in keep] for x in (rows, ids_a, ids_b))
-    na, nb = (np.array([0] + [len(x) for x in ids], np.int64).cumsum() for ids in (ids_a, ids_b))
-    fa, fb = (np.fromiter(chain.from_iterable(ids), np.int64, n[-1]) for ids, n in ((ids_a, na), (ids_b, nb)))
-    ends_a, ends_b = a.size[fa].cumsum(), b.size[fb].cumsum()
+def align(rows: list[int], encoded: list[tuple[bytes, bytes]], tok: _Tokens) -> Aligned:
+    """Align segments; ``rows`` names the document of each."""
+    na, nb = (np.array([0] + [len(e[c]) // 4 for e in encoded], np.int64).cumsum() for c in (0, 1))
+    a, b = (np.frombuffer(b"".join([e[c] for e in encoded]), np.uint32).astype(np.int64) for c in (0, 1))
+    ends_a, ends_b = tok.a.size[a].cumsum(), tok.b.size[b].cumsum()
     cut_a = divide(ends_a, ends_b, na[:-1], na[1:] - 1) if len(rows) else np.zeros(0, np.int64)
-    return Aligned(np.array(rows, np.int64), fa, fb, ends_a, ends_b, na, nb, cut_a,
+    return Aligned(np.array(rows, np.int64), a, b, ends_a, ends_b, na, nb, cut_a,
                    np.searchsorted(ends_b, ends_a[cut_a]) if len(rows) else cut_a)
 
 
 def _links(x: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(A token, B token) of every link, in byte order, and the number of links before each segment."""
-    ends = np.union1d(x.ends_a, x.ends_b)
-    at = np.searchsorted(x.ends_a, ends)
-    return at, np.searchsorted(x.ends_b, ends), np.searchsorted(at, x.seg_a)
-
-
-def _texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str]]]:
-    """Row ranges of about ``CHUNK`` characters with their texts (null: empty)."""
-    col, lo, held, texts = batch.column("text"), 0, 0, []
-    for i in range(batch.num_rows):
-        texts.append(col[i].as_py() or "")
-        held += len(texts[-1])
-        if held >= CHUNK:
-            yield lo, i + 1, texts
-            lo, held, texts = i + 1, 0, []
-    if texts:
-        yield lo, batch.num_rows, texts
+    size = int(x.ends_a[-1]) + 1 if len(x.ends_a) else 1
+    mark_a, mark_b = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    mark_a[x.ends_a] = mark_b[x.ends_b] = 1
+    ends = np.flatnonzero(mark_a | mark_b)
+    # a stretch that ends at byte e lies in the token behind the ends below e
+    at, bt = ((m.cumsum() - m)[ends] for m in (mark_a, mark_b))
+    return at, bt, np.searchsorted(at, x.seg_a)
+
+
+def _groups_of(batch: pa.RecordBatch, tok: _Tokens) -> Iterator[tuple[int, int, list]]:
+    """(lo, hi, chunks) for row ranges of about ``CHUNK`` characters (or one longer text): chunks are the (rows,
+    encoded segments) to align at once. Documents whose bytes do not come back, and empty ones, have no segment."""
+    col, lo = batch.column("text"), 0
+    while lo < batch.num_rows:
+        rows, segs, hi, held = [], [], lo, 0
+        while hi < batch.num_rows and held < CHUNK:
+            text = col[hi].as_py() or ""
+            parts = segments(text) if text else []
+            rows += [hi - lo] * len(parts)
+            segs += parts
+            held += len(text)
+            hi += 1
+        at, encoded = 0, []
+        while at < len(segs):                      # a long text's segments go to the tokenizers part by part
+            encoded += tok.encode(segs[at:at + max(1, CHUNK // SEGMENT)] if held > 4 * CHUNK else segs[at:])
+            at = len(encoded)
+        bad = {r for r, e in zip(rows, encoded) if e is None}
+        good = [(r, e, len(s)) for r, e, s in zip(rows, encoded, segs) if r not in bad]
+        chunks, size = [([], [])], 0
+        for r, e, n in good:
+            if size >= CHUNK:
+                chunks.append(([], []))
+                size = 0
+            chunks[-1][0].append(r)
+            chunks[-1][1].append(e)
+            size += n
+        yield lo, hi, chunks
+        lo = hi
 
 
 class _Printer:
     """Group texts ``a1,a2|b1;a3|b2,b3``: one lookup per token, then a join."""
 
-    def __init__(self, a: _Side, b: _Side):
-        self.base = len(a.table)
-        self.size = self.base + len(b.table)
-        ids = [b"%d" % i for i in chain(range(self.base), range(len(b.table)))]
-        ends = [b"|"] * self.base + [b";"] * len(b.table)
+    def __init__(self, tok: _Tokens):
+        self.base, n = len(tok.a.table), len(tok.b.table)
+        self.size = self.base + n
+        ids = [b"%d" % i for i in chain(range(self.base), range(n))]
+        ends = [b"|"] * self.base + [b";"] * n
         self.words = np.array([x + b"," for x in ids] + [x + e for x, e in zip(ids, ends)], object)
 
     def order(self, x: Aligned) -> np.ndarray:
@@ -206,14 +261,14 @@ class _Printer:
 
 def _blocks(path_a: str, path_b: str):
     def run(batches):
-        a, b = _side(path_a), _side(path_b)
-        printer = _Printer(a, b)
+        tok = _tokens(path_a, path_b)
+        printer = _Printer(tok)
         part, number, kind = TaskContext.get().partitionId(), 0, pa.int64()
         ids, stats, hashes, keys, held = [], [], [], [], 0
 
         def flush():
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            pair, index, n = np.unique(flat, return_inverse=True, return_counts=True)
+            index, pair = pd.factorize(np.concatenate(keys) if keys else np.zeros(0, np.int64))
+            n = np.bincount(index, minlength=len(pair))
             by_count = np.argsort(-n, kind="stable")       # frequent pairs get small numbers, which compress well
             rank = np.empty(len(pair), "<u4")
             rank[by_count] = np.arange(len(pair), dtype="<u4")
@@ -229,24 +284,29 @@ def _blocks(path_a: str, path_b: str):
 
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for lo, hi, texts in _texts_of(batch):
-                x = align(texts, a, b)
-                at, bt, seg = _links(x)
+            for lo, hi, chunks in _groups_of(batch, tok):
                 own = np.zeros((hi - lo, 4), np.int64)
-                count = np.stack([np.diff(x.seg_a), np.diff(x.seg_b),
-                                  np.diff(np.searchsorted(x.cut_a, x.seg_a)), np.diff(seg)], axis=1)
-                np.add.at(own, x.rows, count)
-                words = printer.order(x)
-                border = x.seg_a + x.seg_b
-                first = np.searchsorted(x.rows, np.arange(hi - lo + 1))
-                for i in range(hi - lo):
-                    s, e = border[first[i]], border[first[i + 1]]
-                    text = b"".join(printer.words[words[s:e]].tolist())[:-1]
-                    hashes.append(hashlib.sha256(text).hexdigest() if e > s else "")
+                digest = [None] * (hi - lo)
+                for rows, encoded in chunks:
+                    x = align(rows, encoded, tok)
+                    at, bt, seg = _links(x)
+                    np.add.at(own, x.rows, np.stack(
+                        [np.diff(x.seg_a), np.diff(x.seg_b), np.diff(np.searchsorted(x.cut_a, x.seg_a)), np.diff(seg)],
+                        axis=1))
+                    words = printer.order(x)
+                    border = x.seg_a + x.seg_b
+                    held_rows, first = np.unique(x.rows, return_index=True)
+                    for i, s, e in zip(held_rows.tolist(), border[first], border[np.append(first[1:], len(x.rows))]):
+                        text = b"".join(printer.words[words[s:e]].tolist())[:-1]
+                        if digest[i] is None:
+                            digest[i] = hashlib.sha256(text)
+                        else:
+                            digest[i].update(b";" + text)
+                    keys.append((x.a[at] << 32) + x.b[bt])
+                    held += len(at)
+                hashes += [d.hexdigest() if d else "" for d in digest]
                 ids.append(batch.column("doc_id").slice(lo, hi - lo).to_pylist())
                 stats.append(own)
-                keys.append((x.a[at] << 32) + x.b[bt])
-                held += len(at)
                 if held >= BLOCK_LINKS:
                     yield flush()
                     ids, stats, hashes, keys, held = [], [], [], [], 0
@@ -258,10 +318,10 @@ def _blocks(path_a: str, path_b: str):
 
 def _groups(path_a: str, path_b: str):
     def run(batches):
-        a, b = _side(path_a), _side(path_b)
+        tok = _tokens(path_a, path_b)
         for batch in batches:
-            for lo, hi, texts in _texts_of(batch):
-                x = align(texts, a, b)
+            for lo, hi, chunks in _groups_of(batch, tok):
+                x = align([r for rows, _ in chunks for r in rows], [e for _, enc in chunks for e in enc], tok)
                 first = np.searchsorted(x.rows, np.arange(hi - lo + 1))
                 origin = np.concatenate([[0], x.ends_a])[x.seg_a[first]]       # byte 0 of each document
                 groups = np.searchsorted(x.cut_a, x.seg_a[first])

@@ -94,18 +94,25 @@ def test_small_segments_and_blocks_change_nothing(spark, twin, monkeypatch):
     letters = list("ab é漢.,!'  \n\t\x1c <>0") + [" the", " and ", "ing"]
     texts = {i: "".join(rng.choice(letters) for _ in range(rng.randint(0, 400))) for i in range(60)}
     want = expected(twin, texts)
-    a, b = alignment._side(FILES[0]), alignment._side(FILES[1])
-    for size in (7, 60, 1 << 18):
-        cut = [alignment.segments(t, size) for t in texts.values()]
+    tok = alignment._Tokens(*FILES)
+    for size in (0, 7, 60, 1 << 18):
+        cut = [alignment.segments(t, size) if size else alignment.units(t) for t in texts.values()]
         assert [" ".join(c) for c in cut] == list(texts.values())
         for t, c in zip(texts.values(), cut):
-            for side, piece in ((a, " " + t), (b, t)):
+            for side in (tok.a, tok.b):
                 assert [i for x in side.encode(c) for i in x] == side.encode([t])[0]
+    # units that the plain split must not make: blanks beside other white space
+    for t in ("a b c", "a \u2003 b", "a \t b", "a  b c", " a b", "a b ", "a\nb c", "a \nb", "\u3000 a b"):
+        assert alignment.units(t) == alignment.SAFE.split(t)
+    monkeypatch.setattr(alignment, "MAX_UNITS", 5)                 # generations of units
+    assert tok.encode(list(texts.values())) == tok.encode(list(texts.values())) == alignment._Tokens(*FILES).encode(
+        list(texts.values()))
     monkeypatch.setattr(alignment, "BLOCK_LINKS", 50)
     batch = __import__("pyarrow").record_batch({"doc_id": list(texts), "text": list(texts.values())})
     # the block writer needs a task's partition number
     monkeypatch.setattr(alignment.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda s: 3})()))
     monkeypatch.setattr(alignment, "CHUNK", 300)
+    monkeypatch.setattr(alignment, "SEGMENT", 40)
     blocks = [r for x in alignment._blocks(*FILES)([batch]) for r in x.to_pylist()]
     assert len(blocks) > 5 and len({r["block"] for r in blocks}) == len(blocks)
     assert [h for r in blocks for h in r["hashes"]] == [w[-1] for w in want.values()]
