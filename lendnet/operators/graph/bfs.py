@@ -1,18 +1,19 @@
 """Multi-source breadth-first distance on the undirected collapsed network.
 
-One frontier loop for all sources at once (never one search per node): each step
-joins the frontier with the checkpointed adjacency, removes visited nodes with an
-anti-join, and checkpoints the new frontier. The loop runs
-for as many steps as the graph's eccentricity from the source set.
+One frontier loop for all sources at once (never one search per node). Levels are
+append-only: each step joins the last level with the adjacency, removes the nodes of
+the last two levels (a neighbour of level d lies in level d - 1, d or d + 1) and
+writes the next level, so a loop writes each reached node once. The loop runs for as
+many steps as the graph's eccentricity from the source set, one job a step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph.edges import undirected_edges
-from lendnet.session import cut_lineage
+from lendnet.session import cut_lineage, observed
 
 
 def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None = None,
@@ -22,22 +23,21 @@ def multi_source_bfs(und: DataFrame, sources: DataFrame, max_depth: int | None =
     # not pre-partitioned: a small frontier is broadcast; a large one goes through a shuffle
     # join where AQE can split a hub's partition
     adj = cut_lineage(und.select("src", "dst")) if cut else und.select("src", "dst")
-    frontier = cut_lineage(sources.select("node").distinct().withColumn("dist", F.lit(0)))
-    visited = frontier
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        nxt = (frontier.join(adj, frontier["node"] == adj["src"]).select(F.col("dst").alias("node"))
-               .distinct().join(visited.select("node"), "node", "left_anti")
-               .withColumn("dist", F.lit(depth)))
-        # frontier and visited both feed the next step: cut both every level so the
-        # plan never nests earlier levels twice
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+    levels = [cut_lineage(sources.select("node").distinct().withColumn("dist", F.lit(0)))]
+    while max_depth is None or len(levels) <= max_depth:
+        near = levels[-1] if len(levels) == 1 else levels[-1].unionByName(levels[-2])
+        nxt = (levels[-1].join(adj, F.col("node") == F.col("src")).select(F.col("dst").alias("node"))
+               .distinct().join(near.select("node"), "node", "left_anti")
+               .withColumn("dist", F.lit(len(levels))))
+        found = Observation()
+        nxt = cut_lineage(nxt.observe(found, F.count(F.lit(1)).alias("n")))
+        if not observed(found, "n"):
             break
-        visited = cut_lineage(visited.unionByName(nxt))
-        frontier = nxt
-    return visited
+        levels.append(nxt)
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out
 
 
 def distance_to_prior_default(customers: DataFrame, edges: DataFrame,

@@ -19,12 +19,12 @@ over rows. The hop count bounds the loop (at most ``max_hops`` steps).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lendnet.functions.columns import edge_stress, vulnerability
 from lendnet.operators.graph.edges import collapse_edges, collapsed_both_directions
-from lendnet.session import cut_lineage, persist_partitioned
+from lendnet.session import cut_lineage, observed
 
 
 def node_table(customers: DataFrame, edges: DataFrame) -> DataFrame:
@@ -59,8 +59,8 @@ def cascade(customers: DataFrame, edges: DataFrame, triggers: DataFrame, initial
              .select("trigger_id", "node", F.lit(0).alias("hop"), F.lit(float(initial_shock)).alias("stress"),
                      F.array().cast("array<bigint>").alias("pos"), F.lit(None).cast("string").alias("parent"),
                      F.lit(None).cast("string").alias("edge_type")))
-    state = cut_lineage(start)
-    frontier = state
+    # append-only: every hop writes the rows it reaches, the visited set is the union of the levels
+    frontier = state = cut_lineage(start)
     for hop in range(1, max_hops + 1):
         fallen = frontier.filter(F.col("stress") >= F.lit(threshold))
         cand = (fallen.select("trigger_id", F.col("node").alias("src"), F.col("stress").alias("ps"),
@@ -79,12 +79,11 @@ def cascade(customers: DataFrame, edges: DataFrame, triggers: DataFrame, initial
         nxt = nxt.select("trigger_id", "node", F.lit(hop).alias("hop"), stress.alias("stress"),
                          F.col("w.pos").alias("pos"), F.col("w.parent").alias("parent"),
                          F.col("w.edge_type").alias("edge_type"))
-        # frontier and state both feed the next hop: cut both so plans stay linear
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        reached = Observation()
+        frontier = cut_lineage(nxt.observe(reached, F.count(F.lit(1)).alias("n")))
+        if not observed(reached, "n"):
             break
-        state = cut_lineage(state.unionByName(nxt))
-        frontier = nxt
+        state = state.unionByName(frontier)
     return state.select(
         "trigger_id", F.col("node").alias("customer_id"), "hop", F.round("stress", 4).alias("stress"),
         (F.col("stress") >= F.lit(threshold)).alias("fallen"), "parent", "edge_type", "pos",

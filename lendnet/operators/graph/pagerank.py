@@ -1,107 +1,221 @@
 """PageRank over the directed customer network (Page et al., 1999).
 
-Nodes are customers plus every edge endpoint; parallel edges collapse (or become
-weights with ``weighted=True``). Dangling mass is spread uniformly, so ranks sum to 1.
-
-Layout: the edge table (src, salt, dst, share) is hash-partitioned on (src, salt) and
-cached once, so iterations never re-shuffle edges; only the node-sized rank table and
-the per-destination partial sums (map-side combined) move. A hub source is salted:
-its edges are spread over many buckets and its rank row is replicated per bucket, so
-no task holds a hub's whole out-list. Each iteration ends in a reliable checkpoint of
-the (node-sized) rank table, which keeps every job's plan one iteration deep.
+Nodes are customers plus every edge endpoint; parallel edges collapse (or become weights with ``weighted=True``).
+Dangling mass is spread uniformly, so ranks sum to 1.
+
+Form: with ``u_0 = 1/N`` and ``u_(j+1) = alpha * P' u_j`` (no dangling term), the t-th iterate of the usual loop is
+``r_t = u_t + sum_(j<t) c_(t-j) u_j``. The numbers ``c`` follow from the masses ``S_j = sum(u_j)`` alone, since a
+step loses exactly the mass that sat on nodes without out-edges: ``D_j = S_j - S_(j+1) / alpha``. So a step needs no
+number from the driver, ``STEPS`` steps form one job between reliable cuts, and the ranks are one weighted sum.
+
+Layout: nodes are dense longs, ``BLOCK`` of them a block. A cell is a packed part of a block's out-edges (about
+``CELL_EDGES`` of them; a hub's edges spread over the cells of its block by their targets), partitioned once and
+kept. A step is one co-group of the cells with the vector's pieces for their block and one exchange of the pieces a
+cell pushes to each target block (already summed per target); a block with several cells gets a copy in each. The
+first cell of a block passes the block's vector on, so that a cut holds the vectors of its steps.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.operators.graph.edges import DST, SRC
-from lendnet.operators.graph.skew import heavy_keys
-from lendnet.session import cut_lineage, partitions_for, persist_partitioned
+from lendnet.operators.graph.dense import dense_edges
+from lendnet.session import cut_lineage
+
+STEPS = 5                  # steps between reliable cuts
+BLOCK = 1 << 16            # nodes of a block
+CELL_EDGES = 1 << 20       # edges of a cell, about
+_PIECE = "block long, cell int, kept boolean, at binary, u binary"
+
+
+def _coefficients(masses: list[float], alpha: float, t: int) -> list[float]:
+    """Weights of u_0 .. u_t in r_t, from the masses of u_0 .. u_t."""
+    d = [masses[j] - masses[j + 1] / alpha for j in range(t)]      # mass of u_j on nodes without out-edges
+    c: list[float] = []                                            # c[s - 1] = alpha * dangling(r_(s-1)) + 1 - alpha
+    for s in range(1, t + 1):
+        dangling = d[s - 1] + sum(c[s - 2 - j] * d[j] for j in range(s - 1))
+        c.append(alpha * dangling + 1.0 - alpha)
+    return [c[t - 1 - j] for j in range(t)] + [1.0]
+
+
+def _pack(size: int):
+    """One row for a cell's edges, by target."""
+    def run(cell: pa.Table) -> pa.Table:
+        src, dst, share = (cell.column(c).to_numpy() for c in ("src", "dst", "share"))
+        order = np.argsort(dst, kind="stable")
+        return pa.table({"block": cell.column("block")[:1], "cell": cell.column("cell")[:1],
+                         "src": pa.array([(src[order] % size).astype("<i4").tobytes()], pa.binary()),
+                         "dst": pa.array([dst[order].astype("<i8").tobytes()], pa.binary()),
+                         "share": pa.array([share[order].tobytes()], pa.binary())})
+    return run
+
+
+def _vector(pieces: pa.Table, size: int) -> np.ndarray:
+    """A block's vector from the pieces pushed to it."""
+    out = np.zeros(size)
+    for at, u, kept in zip(pieces.column("at"), pieces.column("u"), pieces.column("kept")):
+        if not kept.as_py():
+            out[np.frombuffer(at.as_py(), "<i4")] += np.frombuffer(u.as_py())
+    return out
+
+
+def _push(cells_of: dict, size: int):
+    def run(cell: pa.Table, pieces: pa.Table) -> pa.Table:
+        rows = []                                       # (block, cell, kept, at, u)
+        u = _vector(pieces, size)
+        if pieces.num_rows and pieces.column("cell")[0].as_py() == 0:
+            block = pieces.column("block")[0].as_py()
+            held = [x.as_py() for x, k in zip(pieces.column("u"), pieces.column("kept")) if k.as_py()]
+            rows.append((block, 0, True, b"", b"".join(held) + u.tobytes()))
+        for r in range(cell.num_rows):
+            dst = np.frombuffer(cell.column("dst")[r].as_py(), "<i8")
+            first = np.flatnonzero(np.diff(dst, prepend=-1))
+            sums = np.add.reduceat(u[np.frombuffer(cell.column("src")[r].as_py(), "<i4")]
+                                   * np.frombuffer(cell.column("share")[r].as_py()), first)
+            to = dst[first]
+            cut = np.flatnonzero(np.diff(to // size, prepend=-1))
+            for lo, hi in zip(cut, np.append(cut[1:], len(to))):
+                block = int(to[lo] // size)
+                at, part = (to[lo:hi] % size).astype("<i4").tobytes(), sums[lo:hi].tobytes()
+                rows += [(block, k, False, at, part) for k in range(cells_of.get(block, 1))]
+        cols = list(zip(*rows)) if rows else [()] * 5
+        return pa.table({"block": pa.array(cols[0], pa.int64()), "cell": pa.array(cols[1], pa.int32()),
+                         "kept": pa.array(cols[2], pa.bool_()), "at": pa.array(cols[3], pa.binary()),
+                         "u": pa.array(cols[4], pa.binary())})
+    return run
+
+
+def _weighted(weights: np.ndarray, size: int):
+    """Per block: weighted sums of its vectors, one row of ``weights`` (sums x steps) per sum."""
+    def run(rows: pa.Table) -> pa.Table:
+        total = np.zeros((len(weights), size))
+        for j, u in zip(rows.column("j").to_pylist(), rows.column("u")):
+            v = np.frombuffer(u.as_py()).reshape(-1, size)
+            n = min(len(v), weights.shape[1] - j)       # vectors behind the last weight stay out
+            if n > 0:
+                total += weights[:, j:j + n] @ v[:n]
+        return pa.table({"block": rows.column("block")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+    return run
 
 
 def pagerank(customers: DataFrame, edges: DataFrame, iters: int = 20, alpha: float = 0.85,
-             tol: float | None = None, weighted: bool = False, checkpoint_every: int = 1,
-             num_partitions: int | None = None, salt_buckets: int = 32,
-             hub_min_degree: int = 1000) -> DataFrame:
+             tol: float | None = None, weighted: bool = False, cell_edges: int = CELL_EDGES,
+             size: int = BLOCK, dense: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(customer_id, pagerank) for every customer.
 
-    ``iters`` fixes the number of power iterations; with ``tol`` the loop also stops
-    once the L1 change falls below ``N * tol`` (the usual convergence test).
+    ``iters`` fixes the number of power iterations; with ``tol`` the loop also stops once the L1 change falls
+    below ``N * tol`` (the usual convergence test). ``size``: nodes of a block. ``dense``: nodes and edges from ``dense_edges``, where the
+    caller has them already.
     """
-    e = edges.select(F.col(SRC).alias("src"), F.col(DST).alias("dst"))
-    if weighted:
-        e = e.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    else:
-        e = e.distinct().withColumn("w", F.lit(1.0))
-    e = cut_lineage(e)                            # collapsed edges, computed once
-    n = num_partitions or partitions_for(e.count())
-    wout = e.groupBy("src").agg(F.sum("w").alias("wout"), F.count(F.lit(1)).alias("k"))
-    # hubs (sources with a large share of the edges) are spread over ``salt_buckets`` sub-keys:
-    # their edges by a hash of dst, their rank row replicated once per bucket
-    total_edges = e.agg(F.count(F.lit(1)).cast("double")).scalar()
-    hubs = cut_lineage(heavy_keys(wout, "src", "k", total_edges, min_threshold=hub_min_degree))  # <= max_hubs rows
-    any_hub = not hubs.isEmpty()
-    hk = F.broadcast(hubs.withColumn("_hub", F.lit(True)))
-    es = (e.join(wout, "src").join(hk, F.col("src") == F.col("_hk"), "left")
-          .select("src", "dst", (F.col("w") / F.col("wout")).alias("share"),
-                  F.when(F.col("_hub").isNotNull(), F.pmod(F.xxhash64("dst"), F.lit(salt_buckets)))
-                  .otherwise(F.lit(0)).cast("int").alias("_salt")))
-    es = persist_partitioned(es, ["src", "_salt"], n)
-    nodes = (customers.select(F.col("customer_id").alias("node"))
-             .union(e.select(F.col("src").alias("node"))).union(e.select(F.col("dst").alias("node")))
-             .distinct())
-    node_tab = cut_lineage(nodes.join(wout.withColumnRenamed("src", "node"), "node", "left")
-                           .select("node", F.col("wout").isNull().alias("dangling")))
-    total = node_tab.count()
-    node_tab = persist_partitioned(node_tab, "node", partitions_for(total))
+    spark = customers.sparkSession
+    nodes, e = dense_edges(customers, edges) if dense is None else dense
+    total = nodes.count()
     if total == 0:
         return customers.select("customer_id", F.lit(0.0).alias("pagerank"))
-    inv_n = 1.0 / total
-
-    def dangling_mass(df: DataFrame) -> float:
-        # the action that materialises a cached step also returns the one number the next
-        # step needs (a value, not a subquery that would re-embed the loop state)
-        return float(df.filter("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0])
-
-    r = node_tab.withColumn("rank", F.lit(inv_n)).persist()
-    dangling = dangling_mass(r)
-    prev = None
-    for i in range(iters):
-        rs = r.select(F.col("node").alias("src"), F.col("rank").alias("prev_rank"))
-        rs = rs.withColumn("_salt", F.lit(0)) if not any_hub else (
-            rs.join(hk, F.col("src") == F.col("_hk"), "left")
-            .withColumn("_salt", F.explode(F.when(F.col("_hub").isNotNull(),
-                                                  F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                           .otherwise(F.array(F.lit(0)))))
-            .select("src", "_salt", "prev_rank"))
-        contrib = (es.join(rs, ["src", "_salt"])
-                   .groupBy("dst").agg(F.sum(F.col("prev_rank") * F.col("share")).alias("c")))
-        # the previous ranks enter the new plan once (through ``contrib``), so plans grow
-        # linearly between checkpoints instead of doubling
-        new = (node_tab.join(contrib, node_tab["node"] == contrib["dst"], "left")
-               .select("node", "dangling",
-                       (F.lit(alpha) * (F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(dangling * inv_n))
-                        + F.lit((1.0 - alpha) * inv_n)).alias("rank")))
-        # a reliable cut every step keeps each job's plan one iteration deep (nested cached
-        # plans make every later action slower); the rank table is node-sized, the edge
-        # table stays cached and partitioned on ``src``
-        new = cut_lineage(new) if (i + 1) % checkpoint_every == 0 or checkpoint_every == 1 else new.persist()
-        dangling = dangling_mass(new)
+    weight = F.col("n").cast("double") if weighted else F.lit(1.0)
+    e = e.select("src", "dst", weight.alias("w"), F.expr(f"src div {size}").alias("block"))
+    counts = e.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()       # one row per block of nodes
+    many = {r["block"]: -(-r["n"] // cell_edges) for r in counts if r["n"] > cell_edges}
+    cells_of = F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("block")], F.lit(1)) \
+        if many else F.lit(1)
+    share = (e.join(e.groupBy("src").agg(F.sum("w").alias("wout")), "src")
+             .select("block", F.pmod(F.xxhash64("dst"), cells_of).cast("int").alias("cell"), "src", "dst",
+                     (F.lit(alpha) * F.col("w") / F.col("wout")).alias("share")))
+    cells = cut_lineage(share.groupBy("block", "cell").applyInArrow(
+        _pack(size), "block long, cell int, src binary, dst binary, share binary"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = cells.repartition(n, "block", "cell").persist()
+    push = _push(many, size)
+
+    def start(batches):
+        for b in batches:
+            rows = []
+            for block in b.column(0).to_pylist():
+                at = np.arange(min(size, total - block * size), dtype="<i4")
+                u = np.full(len(at), 1.0 / total).tobytes()
+                rows += [(block, k, False, at.tobytes(), u) for k in range(many.get(block, 1))]
+            cols = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
+                pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()))], names=["block", "cell", "kept", "at", "u"])
+    state = spark.range(-(-total // size)).mapInArrow(start, _PIECE)
+    cuts, done = [], 0                                 # (first step, rows with the vectors of that and later steps)
+    while True:
+        batch = min(STEPS, iters + 1 - done)           # the last push only gathers u_iters
+        for _ in range(batch):
+            right = state.select(F.col("block").alias("b"), F.col("cell").alias("c"), *state.columns)
+            state = cells.groupBy("block", "cell").cogroup(right.groupBy("b", "c")).applyInArrow(
+                lambda left, right: push(left, right.drop_columns(["b", "c"])), _PIECE)
+        state = cut_lineage(state)
+        cuts.append((done, state.filter("kept").select("block", "u")))
+        state = state.filter("NOT kept")
+        done += batch
         if tol is not None:
-            err = (new.join(r.select("node", F.col("rank").alias("old")), "node")
-                   .agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0])
-        if prev is not None:
-            prev.unpersist()
-        prev = r
-        r = new
-        if tol is not None and err is not None and err < total * tol:
+            stop = _converged(cuts, alpha, max(done - batch, 1), done - 1, total * tol, size)
+            if stop is not None:
+                iters = stop
+                break
+        if done > iters:
             break
-    return (customers.select(F.col("customer_id")).join(r, r["node"] == F.col("customer_id"), "left")
+    weights = _coefficients(_masses(cuts, size), alpha, iters)
+    sums = _vectors(cuts).groupBy("block").applyInArrow(_weighted(np.array([weights]), size), "block long, sums binary")
+
+    def unpack(batches):
+        for b in batches:
+            for block, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                r = np.frombuffer(raw.as_py())[:max(0, min(size, total - block * size))]
+                yield pa.RecordBatch.from_arrays([pa.array(block * size + np.arange(len(r))), pa.array(r)],
+                                                 names=["id", "rank"])
+    ranks = cut_lineage(sums.mapInArrow(unpack, "id long, rank double"))
+    cells.unpersist()
+    named = nodes.join(ranks, "id").select(F.col("node").alias("_n"), "rank")
+    return (customers.select("customer_id").join(named, F.col("customer_id") == F.col("_n"), "left")
             .select("customer_id", F.coalesce(F.col("rank"), F.lit(0.0)).alias("pagerank")))
 
 
+def _vectors(cuts: list) -> DataFrame:
+    """(block, j, u): the vectors of steps j, j + 1, ... of every block."""
+    out = None
+    for first, rows in cuts:
+        part = rows.select("block", F.lit(first).alias("j"), "u")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _masses(cuts: list, size: int) -> list[float]:
+    """S_0, S_1, ... from the stored vectors; the driver gets one row per step."""
+    def run(batches):
+        for b in batches:
+            for j, u in zip(b.column("j").to_pylist(), b.column("u")):
+                m = np.frombuffer(u.as_py()).reshape(-1, size).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(j + np.arange(len(m))), pa.array(m)], names=["j", "mass"])
+    rows = _vectors(cuts).mapInArrow(run, "j long, mass double").groupBy("j").agg(F.sum("mass").alias("mass")).collect()
+    known = {r["j"]: r["mass"] for r in rows}
+    return [known.get(j, 0.0) for j in range(max(known, default=-1) + 1)]
+
+
+def _converged(cuts: list, alpha: float, lo: int, hi: int, bound: float, size: int) -> int | None:
+    """First t in lo .. hi whose iterate moved by less than ``bound`` in L1; two jobs for all of them."""
+    masses = _masses(cuts, size)
+    masses += [0.0] * (hi + 1 - len(masses))
+    r = np.zeros((hi - lo + 2, hi + 1))
+    for i, t in enumerate(range(lo - 1, hi + 1)):
+        r[i, :t + 1] = _coefficients(masses, alpha, t)
+    moves = np.diff(r, axis=0)
+
+    def moved(batches):
+        for b in batches:
+            for raw in b.column("sums"):
+                m = np.abs(np.frombuffer(raw.as_py()).reshape(len(moves), -1)).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(m))), pa.array(m)], names=["i", "l1"])
+    rows = (_vectors(cuts).groupBy("block").applyInArrow(_weighted(moves, size), "block long, sums binary")
+            .mapInArrow(moved, "i long, l1 double").groupBy("i").agg(F.sum("l1").alias("l1")).collect())
+    small = sorted(r["i"] for r in rows if r["l1"] < bound)
+    return lo + small[0] if small else None
+
+
 def degree_share(deg: DataFrame) -> DataFrame:
     """Fallback centrality: degree / sum of degrees (0 when the graph has no edges)."""
     total = deg.agg(F.sum("degree")).scalar()

@@ -77,18 +77,43 @@ def exact_quantile(df: DataFrame, col: str, p: float) -> Column:
 
 
 def rank_pctile(df: DataFrame, col: str, key: str, name: str = "pctile") -> DataFrame:
-    """0-based rank along (col, key) divided by n; ties broken by ``key``."""
+    """0-based rank along (col, key) divided by n; ties broken by ``key``.
+
+    Only (col, key) are ranked and stored; the rank is joined back by them, so the other columns move once."""
     n = df.agg(F.count(F.lit(1))).scalar()
-    r = with_row_ids(df, [col, key], name="_rk")
-    return r.withColumn(name, F.col("_rk") / n).drop("_rk")
+    if set(df.columns) == {col, key}:
+        return with_row_ids(df, [col, key], name="_rk").withColumn(name, F.col("_rk") / n).drop("_rk")
+    # rows that repeat (col, key) get consecutive ranks in any order: number them on both sides
+    twin = Window.partitionBy(col, key).orderBy(F.lit(0))
+    ranks = with_row_ids(df.select(col, key), [col, key], name="_rk")
+    first = ranks.groupBy(col, key).agg(F.min("_rk").alias("_rk")).select(
+        F.col(col).alias("_c"), F.col(key).alias("_k"), "_rk")
+    j = df.withColumn("_t", F.row_number().over(twin)).join(
+        first, F.col(col).eqNullSafe(F.col("_c")) & F.col(key).eqNullSafe(F.col("_k")))
+    return j.withColumn(name, (F.col("_rk") + F.col("_t") - 1) / n).drop("_rk", "_t", "_c", "_k")
 
 
 def positional_split(df: DataFrame, order_cols: list, frac: float = 0.8) -> DataFrame:
-    """Label the first ``floor(n * frac)`` rows 'reference', the rest 'current'."""
-    n = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.floor(n * F.lit(float(frac)))
-    r = with_row_ids(df, order_cols, name="_rk")
-    return r.withColumn("part", F.when(F.col("_rk") < cut, "reference").otherwise("current")).drop("_rk")
+    """Label the first ``floor(n * frac)`` rows 'reference', the rest 'current'; ``order_cols`` is a total order.
+
+    Only the order columns are sorted and stored, to find the one key at the cut; the rows themselves are labelled
+    by comparing with it, without a shuffle, whatever their width."""
+    named = [F.col(c).alias(f"_o{i}") if isinstance(c, str) else c.alias(f"_o{i}") for i, c in enumerate(order_cols)]
+    keys = with_row_ids(df.select(*named), [f"_o{i}" for i in range(len(named))], name="_rk")
+    n = keys.agg(F.max("_rk").alias("top")).first()["top"]
+    cut = int(((n + 1) if n is not None else 0) * frac)
+    last = keys.filter(F.col("_rk") == cut - 1).first() if cut else None
+    if last is None:
+        return df.withColumn("part", F.lit("current"))
+    inside = F.lit(False)
+    equal = F.lit(True)                     # of all columns before this one; nulls come first
+    for i, (c, f) in enumerate(zip(order_cols, keys.schema.fields)):
+        col = F.col(c) if isinstance(c, str) else c
+        bound = F.lit(last[f"_o{i}"]).cast(f.dataType)
+        less = (col.isNull() & bound.isNotNull()) | F.coalesce(col < bound, F.lit(False))
+        inside = inside | (equal & less)
+        equal = equal & col.eqNullSafe(bound)
+    return df.withColumn("part", F.when(inside | equal, "reference").otherwise("current"))
 
 
 def stratified_split(df: DataFrame, label: str, key: str, seed: int = 42,

@@ -280,3 +280,53 @@ def dq_report(spark, d):
     tables = {"customers": FX.customers(spark, d), "edges": FX.edges(spark, d),
               "scoring_events": FX.scoring_events(spark, d)}
     return Q.dq_report(tables, RULES)
+
+
+PROPERTIES = [
+    Q.Rule("customers", "customer_id", "unique"), Q.Rule("customers", "customer_id", "starts_with", ("CUST_",)),
+    Q.Rule("customers", "person_age", "bounds", (18, 75)), Q.Rule("customers", "person_income", "bounds", (0.0, None)),
+    Q.Rule("customers", "loan_int_rate", "bounds", (3.0, 27.0)),
+    Q.Rule("customers", "loan_amnt", "equals", ("loan_amnt <= person_income * 2",), "at most two incomes"),
+    Q.Rule("edges", "src_customer_id", "subset", ("customers", "customer_id")),
+    Q.Rule("edges", "dst_customer_id", "subset", ("lenders", "customer_id")),
+    Q.Rule("edges", "src_customer_id", "differs", ("dst_customer_id",), "no self-loops"),
+    Q.Rule("edges", "edge_ord", "ratio", ("customers", 0.5, 5.0), "edges per customer"),
+    Q.Rule("edges", "edge_ord", "ratio", ("customers", 0.5, 2.0), "few edges per customer"),
+    Q.Rule("shares", "share", "sums_to", (1.0, 1e-9)), Q.Rule("shares", "share", "sums_to", (0.5, 1e-9), "half"),
+    Q.Rule("predictions", "p", "bounds", (0.0, 1.0)), Q.Rule("predictions", "y", "accepted_values", (0, 1)),
+]
+
+
+def _property_sql(r: Q.Rule) -> str:
+    c, t = r.column, r.table
+    if r.test == "subset":
+        e = f"select count(*) from {t} where {c} is not null and {c} not in (select {r.values[1]} from {r.values[0]})"
+    elif r.test == "unique":
+        e = f"select count(*) from (select {c} from {t} where {c} is not null group by 1 having count(*) > 1)"
+    elif r.test == "sums_to":
+        e = f"select case when abs(coalesce(sum({c}), 0) - {r.values[0]}) > {r.values[1]} then 1 else 0 end from {t}"
+    elif r.test == "ratio":
+        e = (f"select case when count(*) * 1e0 / nullif((select count(*) from {r.values[0]}), 0) "
+             f"between {r.values[1]} and {r.values[2]} then 0 else 1 end from {t}")
+    else:
+        bad = {"starts_with": lambda: f"not starts_with({c}, '{r.values[0]}')", "differs": lambda: f"{c} = {r.values[0]}",
+               "equals": lambda: f"not ({r.values[0]})",
+               "accepted_values": lambda: f"{c} not in ({', '.join(map(str, r.values))})",
+               "bounds": lambda: " or ".join(x for x in (
+                   "" if r.values[0] is None else f"{c} < {r.values[0]}",
+                   "" if r.values[1] is None else f"{c} > {r.values[1]}") if x)}[r.test]()
+        e = f"select count(*) from {t} where {bad}"
+    return (f"select '{t}' as table_name, '{c}' as column_name, '{r.test}' as test, '{r.name}' as name, "
+            f"({e})::bigint as failures")
+
+
+@query("dq_properties", with_views("""with lenders as (select customer_id from customers where loan_grade < 'F'),
+shares as (select count(*) * 1e0 / (select count(*) from predictions) as share from predictions group by y)
+""" + "\nunion all\n".join(_property_sql(r) for r in PROPERTIES), "customers", "edges", "predictions"))
+def dq_properties(spark, d):
+    customers, pred = FX.customers(spark, d), FX.predictions(spark, d)
+    total = pred.agg(F.count(F.lit(1)).cast("double")).scalar()
+    tables = {"customers": customers, "edges": FX.edges(spark, d), "predictions": pred,
+              "lenders": customers.filter("loan_grade < 'F'").select("customer_id"),
+              "shares": pred.groupBy("y").agg((F.count(F.lit(1)) / total).alias("share"))}
+    return Q.dq_properties(tables, PROPERTIES)

@@ -85,6 +85,16 @@ def persist_partitioned(df: DataFrame, key, num_partitions: int | None = None) -
     return out
 
 
+def observed(watch, name: str):
+    """A number of a finished ``Observation``; 0 where the plan turned out empty at run time, in which case the
+    optimiser removes the observing node together with the plan."""
+    from py4j.protocol import Py4JJavaError
+    try:
+        return watch.get[name] or 0
+    except Py4JJavaError:          # the observation holds no row
+        return 0
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and truncate its plan.
 

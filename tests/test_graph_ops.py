@@ -133,7 +133,7 @@ def test_hub_salting_gives_the_same_results(spark):
     cust = [("H", 1.0, 1.0, "Y")] + [(f"L{i}", 1.0, 1.0, "Y" if i % 4 == 0 else "N") for i in range(30)]
     c, e = customers_df(spark, cust), edges_df(spark, pairs)
     plain = by_id(PR.pagerank(c, e, iters=15), "pagerank")
-    salted = by_id(PR.pagerank(c, e, iters=15, hub_min_degree=2, salt_buckets=4), "pagerank")
+    salted = by_id(PR.pagerank(c, e, iters=15, cell_edges=7), "pagerank")
     assert all(abs(plain[k] - salted[k]) < 1e-12 for k in plain)
     h_plain = by_id(hops.nbr_frac_2hop(c, e), "neighbor_default_frac_2hop")
     h_salted = by_id(hops.nbr_frac_2hop(c, e, hub_min_degree=2), "neighbor_default_frac_2hop")
@@ -167,3 +167,95 @@ def test_feature_store_sees_rewritten_tables(spark, tmp_path):
     half.coalesce(1).write.parquet(str(tmp_path / "new"))
     (tmp_path / "tables" / "customer.parquet").write_bytes(next((tmp_path / "new").glob("part-*.parquet")).read_bytes())
     assert 0 < graph_features_view(spark, d).count() < n
+
+
+def brute_2hop(cust, pairs):
+    ids, bad = {c[0] for c in cust}, {c[0] for c in cust if c[3] == "Y"}
+    nb = {}
+    for a, b in pairs:
+        nb.setdefault(a, set()).add(b)
+        nb.setdefault(b, set()).add(a)
+    out = {}
+    for c in ids:
+        two = {x for m in nb.get(c, ()) if m in ids for x in nb[m]} - nb.get(c, set()) - {c}
+        out[c] = len(two & bad) / len(two) if two else 0.0
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_two_hop_bitmaps_equal_brute_force(spark, seed):
+    """Hub middles as bitmaps: several hubs, linked hubs, a hub that is no customer, self-loops, isolates."""
+    import random
+    rng = random.Random(seed)
+    n = 70
+    cust = [(f"C{i}", 1.0, 1.0, "Y" if rng.random() < 0.3 else "N") for i in range(n)] + [("ISO", 1.0, 1.0, "Y")]
+    pairs = [(f"C{rng.randrange(n)}", f"C{rng.randrange(n)}") for _ in range(90)]
+    for h in ("C0", "C1", "C2", "X"):
+        pairs += [(h, f"C{i}") if rng.random() < 0.5 else (f"C{i}", h) for i in range(n) if rng.random() < 0.4]
+    pairs += [("C0", "C1"), ("C2", "C2"), ("X", "Y")]
+    c, e = customers_df(spark, cust), edges_df(spark, pairs)
+    want = brute_2hop(cust, pairs)
+    for least in (20, 5, 10**6):
+        got = by_id(hops.nbr_frac_2hop(c, e, hub_min_degree=4, bitmap_min_degree=least), "neighbor_default_frac_2hop")
+        assert got == pytest.approx(want)
+
+
+def test_star_of_many_leaves(spark):
+    """10**5 leaves around one hub: no wedge rows of the hub, PageRank and distances on the same star."""
+    from pyspark.sql import functions as F
+    n = 100_000
+    leaves = spark.range(1, n + 1)
+    c = leaves.selectExpr("concat('L', id) as customer_id", "1.0d as person_income", "1.0d as loan_amnt",
+                          "if(id % 4 = 0, 'Y', 'N') as cb_person_default_on_file").unionByName(
+        customers_df(spark, [("H", 1.0, 1.0, "N")]))
+    e = leaves.selectExpr("id as edge_ord", "'H' as src_customer_id", "concat('L', id) as dst_customer_id",
+                          "cast(null as string) as edge_type")
+    f = hops.nbr_frac_2hop(c, e)
+    odd = f.filter("customer_id <> 'H'").select(
+        F.round("neighbor_default_frac_2hop", 12).alias("s")).distinct().collect()
+    assert sorted(r["s"] for r in odd) == [round((n // 4 - 1) / (n - 1), 12), round((n // 4) / (n - 1), 12)]
+    assert by_id(f.filter("customer_id = 'H'"), "neighbor_default_frac_2hop") == {"H": 0.0}
+    pr = PR.pagerank(c, e, iters=3)
+    assert pr.agg(F.sum("pagerank")).first()[0] == pytest.approx(1.0, abs=1e-9)
+    d = bfs.distance_to_prior_default(c, e).groupBy("distance_to_prior_default").count().collect()
+    assert sorted(tuple(r) for r in d) == [(0, n // 4), (1, 1), (2, n - n // 4)]
+
+
+def test_pagerank_over_many_blocks_and_cells(spark):
+    """Blocks of 8 nodes, cells of 5 edges: hubs as sources and targets, dangling nodes, weights."""
+    import random
+    rng = random.Random(4)
+    pairs = [(f"C{rng.randrange(40)}", f"C{rng.randrange(60)}") for _ in range(150)]
+    pairs += [("HUB", f"C{i}") for i in range(60)] + [(f"C{i}", "HUB") for i in range(0, 60, 2)]
+    cust = [(f"C{i}", 1.0, 1.0, "N") for i in range(60)] + [("HUB", 1.0, 1.0, "N"), ("ISO", 1.0, 1.0, "N")]
+    c, e = customers_df(spark, cust), edges_df(spark, pairs)
+    want = power_iterates([x[0] for x in cust], pairs, 7)[7]
+    assert by_id(PR.pagerank(c, e, iters=7, cell_edges=5, size=8), "pagerank") == pytest.approx(want, rel=1e-9)
+    heavy = by_id(PR.pagerank(c, edges_df(spark, pairs * 3), iters=7, weighted=True, size=16), "pagerank")
+    assert heavy == pytest.approx(by_id(PR.pagerank(c, e, iters=7, weighted=True), "pagerank"), rel=1e-9)
+    assert by_id(PR.pagerank(c, edges_df(spark, []), iters=3), "pagerank") == pytest.approx(
+        {x[0]: 1 / len(cust) for x in cust})
+
+
+def power_iterates(nodes, pairs, n):
+    out = {v: sorted({b for a, b in pairs if a == v}) for v in nodes}
+    r = [{v: 1 / len(nodes) for v in nodes}]
+    for _ in range(n):
+        last = r[-1]
+        dangling = sum(last[v] for v in nodes if not out[v])
+        new = {v: (0.15 + 0.85 * dangling) / len(nodes) for v in nodes}
+        for v in nodes:
+            for w in out[v]:
+                new[w] += 0.85 * last[v] / len(out[v])
+        r.append(new)
+    return r
+
+
+def test_pagerank_tolerance_stops_at_the_first_small_step(spark, g):
+    c, e = g
+    nodes = sorted({x[0] for x in CUST} | {v for p in PAIRS for v in p})
+    r = power_iterates(nodes, PAIRS, 40)
+    for tol in (2e-2, 1e-4):
+        t = next(i for i in range(1, 41) if sum(abs(r[i][v] - r[i - 1][v]) for v in nodes) < len(nodes) * tol)
+        got = by_id(PR.pagerank(c, e, iters=40, tol=tol), "pagerank")
+        assert got == pytest.approx({v: r[t][v] for v in got}, rel=1e-9)
