@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SRC, DST = "src_customer_id", "dst_customer_id"
+CHUNK = 1024               # neighbours of one adjacency row at most
 
 
 def endpoint_counts(edges: DataFrame, src: str = SRC, dst: str = DST) -> DataFrame:
@@ -111,6 +112,13 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return u.groupBy(F.col("src").alias("node")).agg(F.array_sort(F.collect_set("dst")).alias("neighbors"))
 
 
+def adjacency_chunks(positions: DataFrame, size: int = CHUNK) -> DataFrame:
+    """(node, chunk, neighbors, n): a node's sorted neighbours in rows of at most ``size``, so that a hub is many
+    rows of bounded width. ``positions``: (src, dst, pos) with pos = 0, 1, ... inside src in the order of dst."""
+    return (positions.groupBy(F.col("src").alias("node"), F.floor(F.col("pos") / F.lit(size)).cast("long").alias("chunk"))
+            .agg(F.array_sort(F.collect_list("dst")).alias("neighbors"), F.count(F.lit(1)).alias("n")))
+
+
 def node_avg_time(edges: DataFrame, ts_col: str = "ts_epoch") -> DataFrame:
     """Mean edge time per node over both endpoint roles (bag union; a self-loop counts twice)."""
     both = (edges.select(F.col(SRC).alias("node"), F.col(ts_col).alias("t"))

@@ -76,39 +76,49 @@ def dq_properties(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     reduced to its distinct keys, and a unique rule one grouped count. Row counts for ratios come from the same
     aggregates. An empty table fails nothing but its ratio and sum rules."""
     counted = {r.values[0] for r in rules if r.test == "ratio"}
-    rows = {}
-    for t in sorted({r.table for r in rules if r.test not in ("unique", "subset")} | counted):
-        own = [(i, r) for i, r in enumerate(rules) if r.table == t]
+    sizes, parts = {}, []
+    for r in rules:
+        if r.test not in (*ROW_TESTS, "unique", "subset", "sums_to", "ratio"):
+            raise ValueError(r.test)
+    grouped = [r for r in rules if r.test not in ("unique", "subset")]
+    for t in sorted({r.table for r in grouped} | counted):
+        own = [(i, r) for i, r in enumerate(rules) if r.table == t and r in grouped]
         exprs = [F.count(F.lit(1)).alias("n")]
         exprs += [_row_failures(r).cast("double").alias(f"r{i}") for i, r in own if r.test in ROW_TESTS]
         exprs += [F.coalesce(F.sum(r.column), F.lit(0.0)).cast("double").alias(f"r{i}") for i, r in own if r.test == "sums_to"]
-        rows[t] = tables[t].agg(*exprs)
-    parts = []
+        sizes[t] = (tables[t].agg(*exprs), own)
+    for row, own in sizes.values():
+        found = []
+        for i, r in own:
+            if r.test in ROW_TESTS:
+                e = F.col(f"r{i}")
+            elif r.test == "sums_to":
+                e = F.abs(F.col(f"r{i}") - F.lit(float(r.values[0]))) > F.lit(float(r.values[1]))
+            else:
+                other, lo, hi = r.values
+                share = F.try_divide(F.col("n").cast("double"), tables[other].agg(F.count(F.lit(1))).scalar())
+                e = ~F.coalesce(share.between(lo, hi), F.lit(False))
+            found.append(F.struct(F.lit(i).alias("i"), e.cast("long").alias("failures")))
+        if found:
+            # all rules of a table from its one row
+            parts.append(row.select(F.inline(F.array(*found))))
     for i, r in enumerate(rules):
-        if r.test in ROW_TESTS:
-            part = rows[r.table].select(F.col(f"r{i}").cast("long").alias("failures"))
-        elif r.test == "sums_to":
-            off = F.abs(F.col(f"r{i}") - F.lit(float(r.values[0]))) > F.lit(float(r.values[1]))
-            part = rows[r.table].select(off.cast("long").alias("failures"))
-        elif r.test == "ratio":
-            other, lo, hi = r.values
-            share = F.try_divide(F.col("n").cast("double"), rows[other].select("n").scalar())
-            part = rows[r.table].select((~F.coalesce(share.between(lo, hi), F.lit(False))).cast("long").alias("failures"))
-        elif r.test == "subset":
+        if r.test == "subset":
             table, column = r.values
             known = tables[table].select(F.col(column).alias("_key")).distinct()
-            part = (tables[r.table].filter(F.col(r.column).isNotNull())
-                    .join(known, F.col(r.column) == F.col("_key"), "left_anti").agg(F.count(F.lit(1)).alias("failures")))
+            left = tables[r.table].filter(F.col(r.column).isNotNull()).join(
+                known, F.col(r.column) == F.col("_key"), "left_anti")
+            parts.append(left.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("failures")))
         elif r.test == "unique":
-            part = dq_unique(tables[r.table], r.column).agg(F.count(F.lit(1)).alias("failures"))
-        else:
-            raise ValueError(r.test)
-        parts.append(part.select(F.lit(r.table).alias("table_name"), F.lit(r.column).alias("column_name"),
-                                 F.lit(r.test).alias("test"), F.lit(r.name).alias("name"), F.col("failures").cast("long")))
+            parts.append(dq_unique(tables[r.table], r.column).agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("failures")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+
+    def named(field):
+        return F.element_at(F.array(*[F.lit(getattr(r, field)) for r in rules]), F.col("i") + 1)
+    return out.select(named("table").alias("table_name"), named("column").alias("column_name"),
+                      named("test").alias("test"), named("name").alias("name"), F.col("failures").cast("long"))
 
 
 def assert_properties(report: DataFrame) -> None:
@@ -121,37 +131,4 @@ def assert_properties(report: DataFrame) -> None:
 
 def dq_report(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """(table_name, column_name, test, failures) for every rule, one aggregate per table."""
-    out = None
-    for tname in sorted({r.table for r in rules}):
-        df = tables[tname]
-        trs = [r for r in rules if r.table == tname]
-        exprs = []
-        for i, r in enumerate(trs):
-            c = F.col(r.column)
-            if r.test == "not_null":
-                e = F.sum(c.isNull().cast("long"))
-            elif r.test == "accepted_values":
-                e = F.sum((c.isNotNull() & ~c.isin(*r.values)).cast("long"))
-            elif r.test == "unique":
-                # non-null rows minus distinct non-null keys = rows that repeat a key;
-                # reported as number of duplicated keys via a separate grouped count below
-                e = None
-            else:
-                raise ValueError(r.test)
-            if e is not None:
-                exprs.append(F.coalesce(e, F.lit(0)).alias(f"r{i}"))
-        parts = []
-        if exprs:
-            row = df.agg(*exprs)
-            for i, r in enumerate(trs):
-                if r.test != "unique":
-                    parts.append(row.select(F.lit(tname).alias("table_name"), F.lit(r.column).alias("column_name"),
-                                            F.lit(r.test).alias("test"), F.col(f"r{i}").cast("long").alias("failures")))
-        for r in trs:
-            if r.test == "unique":
-                dup = dq_unique(df, r.column).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(dup.select(F.lit(tname).alias("table_name"), F.lit(r.column).alias("column_name"),
-                                        F.lit("unique").alias("test"), F.col("failures").cast("long")))
-        for p in parts:
-            out = p if out is None else out.unionByName(p)
-    return out
+    return dq_properties(tables, rules).drop("name")

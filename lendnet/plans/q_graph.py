@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lendnet.operators.graph import edges as GE
 from lendnet.operators.graph import hops as GH
+from lendnet.operators.graph.sampling import group_positions
 from lendnet.plans.catalog import query, rnd
 from lendnet.sources import fixtures as FX
 from lendnet.session import ensure_checkpoint_dir
@@ -130,6 +131,15 @@ def adjacency(spark, d):
     return GE.adjacency(FX.edges(spark, d))
 
 
+@query("adjacency_chunks", with_views(f"""with {UND_CTE},
+placed as (select src, dst, row_number() over (partition by src order by dst) - 1 as pos from und)
+select src as node, (pos // 4)::bigint as chunk, list_sort(list(dst)) as neighbors, count(*) as n
+from placed group by 1, 2""", "edges"))
+def adjacency_chunks(spark, d):
+    # rows of four, so that ordinary customers have several
+    return GE.adjacency_chunks(group_positions(GE.undirected_edges(FX.edges(spark, d)), "src", ["dst"]), 4)
+
+
 @query("node_avg_time", with_views("""
 select node, round(avg(t), 3) as avg_ts, count(*) as n_times from (
  select src_customer_id as node, cast(epoch(ts) as bigint) as t from edges

@@ -91,3 +91,36 @@ def test_registered_walk_embeddings_take_the_whole_walks(spark, monkeypatch):
     assert customers <= {r.customer_id for r in rows} and all(len(r.embedding) == 32 for r in rows)
     sizes = [len(r.path) for r in seen[0].collect()]
     assert len(sizes) == 2 * len(customers) and max(sizes) == 10
+
+
+def test_exact_steps_follow_the_biased_weights(spark, monkeypatch):
+    """Only exact steps (no proposals): shares of next nodes against 1/p, 1, 1/q; chunks of three neighbours."""
+    from collections import Counter
+    from conftest import edges_df
+    from lendnet.operators.graph import walks as W
+    monkeypatch.setattr(W, "CHUNK", 3)
+    monkeypatch.setattr(W, "adjacency_chunks", lambda adj, size=3, real=W.adjacency_chunks: real(adj, size))
+    e = edges_df(spark, [("A", "H"), ("A", "B")] + [("H", x) for x in "BCDEFG"] + [("B", "C")])
+    p, q = 4.0, 0.5
+    rows = W.random_walks(e, nodes=spark.createDataFrame([("A",)], "node string"), walks_per_node=3000, length=3,
+                          p=p, q=q, cheap_rounds=0).collect()
+    assert len(rows) == 3000 and all(len(r["path"]) == 3 for r in rows)
+    first = Counter(r["path"][1] for r in rows)
+    assert abs(first["H"] / 3000 - 0.5) < 0.04
+    nb = {"H": set("ABCDEFG"), "A": set("HB"), "B": set("AHC")}
+    for cur in "HB":
+        seen = Counter(r["path"][2] for r in rows if r["path"][1] == cur)
+        w = {x: 1 / p if x == "A" else 1.0 if x in nb["A"] else 1 / q for x in nb[cur]}
+        for x in w:
+            assert abs(seen[x] / sum(seen.values()) - w[x] / sum(w.values())) < 0.05
+
+
+def test_star_keeps_all_walks(spark):
+    """p = 1000 sends every proposal back from the leaves, q = 4 most of them at the hub: no walk is lost."""
+    from lendnet.operators.graph.walks import random_walks
+    n = 10_000
+    e = spark.range(n).selectExpr("id as edge_ord", "'H' as src_customer_id", "concat('L', id) as dst_customer_id",
+                                  "cast(null as string) as edge_type")
+    w = random_walks(e, walks_per_node=1, length=4, p=1000.0, q=4.0, cheap_rounds=2)
+    assert w.count() == n + 1 and w.filter("size(path) <> 4").count() == 0
+    assert w.filter("path[1] <> 'H' and start <> 'H'").count() == 0
