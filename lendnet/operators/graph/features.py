@@ -50,17 +50,17 @@ def graph_features(customers: DataFrame, edges: DataFrame, pagerank: str = "simp
 def features_from_source(spark, data_dir: str) -> DataFrame:
     """H9: detect the source under ``data_dir`` (edge list or flat borrower file) and build the
     graph feature table. Flat files get customer ids from their row order and links from
-    ``bucket_links``; edge lists get one customer per distinct endpoint."""
+    ``bucket_links``; edge lists get one customer per distinct endpoint, with the borrower columns of
+    ``network_borrowers``."""
     from lendnet.operators.clean import clean_customers
     from lendnet.operators.features_extra import quartile_bucket
-    from lendnet.operators.graph.edges import node_set
+    from lendnet.operators.graph.borrowers import network_borrowers
     from lendnet.operators.graph.sampling import bucket_links
     from lendnet.operators.order import with_row_ids
     from lendnet.sources.files import load_source
     kind, df = load_source(spark, data_dir)
     if kind == "network":
-        cust = node_set(df).select(F.col("node").alias("customer_id"), F.lit(0).alias("cb_person_default_on_file"))
-        return graph_features(cust, df)
+        return graph_features(network_borrowers(df), df)
     rows = with_row_ids(df.withColumn("_mono", F.monotonically_increasing_id()), ["_mono"], name="row_ord",
                         prefix=None)
     cust = clean_customers(rows.withColumn("customer_id", F.concat(F.lit("CUST_"), F.col("row_ord").cast("string"))))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lendnet.operators.graph import edges as GE
 from lendnet.operators.graph import hops as GH
+from lendnet.operators.graph.borrowers import network_borrowers
 from lendnet.operators.graph.sampling import group_positions
 from lendnet.plans.catalog import query, rnd
 from lendnet.sources import fixtures as FX
@@ -149,6 +150,44 @@ def node_avg_time(spark, d):
     return rnd(GE.node_avg_time(edges_epoch(spark, d)), ["avg_ts"], 3)
 
 
+def _unit(purpose: str) -> str:
+    return f"(('0x' || substr(md5('42|' || customer_id || '|{purpose}'), 1, 13))::bigint / 4503599627370496e0)"
+
+
+def _normal(purpose: str) -> str:
+    return f"sqrt(-2e0 * ln(1e0 - {_unit(purpose + '1')})) * cos(2e0 * pi() * {_unit(purpose + '2')})"
+
+
+BORROWER_SQL = f"""
+ends as (select src_customer_id as id, 0 as i, 1 as o, cast(epoch(ts) as bigint) as t from edges
+         union all select dst_customer_id, 1, 0, cast(epoch(ts) as bigint) from edges),
+n as (select id as customer_id, sum(i) as i, sum(o) as o, avg(t) as t from ends group by 1),
+b as (select customer_id, ln(1 + i) / ln(1 + greatest(max(i) over (), 1)) as norm_in,
+        greatest(least((o - i) / (o + i + 1e0), 1e0), -1e0) as net_ratio,
+        case when t between {FIX_CRISIS_START} and {FIX_CRISIS_END} then 1e0 else 0e0 end as crisis_exposure from n),
+p as (select *, greatest(least(0.1e0 + 0.15e0 * norm_in - 0.1e0 * net_ratio + 0.1e0 * crisis_exposure, 0.5e0), 0.02e0)
+        as prior_default_prob,
+        floor(least(greatest(exp(10.8e0 + 0.3e0 * net_ratio + 0.7e0 * {_normal('income')}), 15000e0), 500000e0)) as person_income
+      from b),
+l as (select *, floor(least(greatest(exp(ln(greatest(person_income * 0.15e0, 500e0)) + 0.6e0 * {_normal('loan')}), 500e0),
+        35000e0)) as loan_amnt,
+        (row_number() over (order by person_income, customer_id) - 1) * 1e0 / count(*) over () as income_pctile from p)"""
+
+
+@query("network_borrowers", with_views(f"""with {BORROWER_SQL}
+select customer_id, round(net_ratio, 9) as net_ratio, crisis_exposure, round(prior_default_prob, 9) as prior_default_prob,
+ ({_unit('default')} < prior_default_prob)::int as cb_person_default_on_file, person_income, loan_amnt,
+ round(least(greatest(loan_amnt / person_income, 0e0), 0.8e0), 2) as loan_percent_income,
+ round(income_pctile, 9) as income_pctile,
+ substr('ABCDEFG', cast(least(greatest(floor((income_pctile * 0.6e0 + (1e0 - norm_in) * 0.2e0
+   + 0.2e0 * {_unit('grade')}) * 7), 0), 6) as int) + 1, 1) as loan_grade
+from l""", "edges"))
+def network_borrowers_view(spark, d):
+    """Borrowers of the bare network: prior default with the crisis term from the edges' times."""
+    rows = network_borrowers(edges_epoch(spark, d), crisis=(FIX_CRISIS_START, FIX_CRISIS_END))
+    return rnd(rows, ["net_ratio", "prior_default_prob", "income_pctile"], 9)
+
+
 @query("crisis_exposure", with_views(f"""
 with t as (
  select node, avg(t) as avg_ts from (

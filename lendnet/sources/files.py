@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendnet.schemas import CUSTOMER_CSV_SCHEMA, RAW_EDGE_SCHEMA
+from lendnet.session import cut_lineage
 
 
 def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -38,10 +39,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def ordered_raw_edges(spark: SparkSession, path: str) -> DataFrame:
+    """A2: the edge list with ``edge_ord`` = 0, 1, ... in the order of files (by name) and of lines inside a file.
+
+    Lines are read once and stored. A split's place is its file and first byte, a line's place inside the split the
+    order in which the split is read, so the numbers do not depend on how files are cut into splits or dealt over
+    tasks. The table of splits (one row per split of the input) is what the offsets are computed on and broadcast."""
+    raw = (read_raw_edges(spark, path).filter("source IS NOT NULL OR target IS NOT NULL")
+           .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+           .withColumn("_m", F.monotonically_increasing_id()))
+    raw = cut_lineage(raw)
+    splits = raw.groupBy("_file", "_start").agg(F.min("_m").alias("_first"), F.max("_m").alias("_last"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    place = splits.select("_file", "_start", "_first", F.coalesce(
+        F.sum(F.col("_last") - F.col("_first") + 1).over(before), F.lit(0)).alias("_off"))
+    return (raw.join(F.broadcast(place), ["_file", "_start"])
+            .withColumn("edge_ord", F.col("_off") + F.col("_m") - F.col("_first"))
+            .drop("_file", "_start", "_m", "_first", "_off"))
+
+
 def raw_edges_to_relationships(raw: DataFrame) -> DataFrame:
-    """Network edges -> relationship rows: PROSPER_ ids, type 'loan', ordinal = input order key."""
+    """Network edges -> relationship rows: PROSPER_ ids, type 'loan', ordinal = place in the input (``edge_ord`` of
+    ``ordered_raw_edges``; a frame without it is numbered by its partitions)."""
+    order = F.col("edge_ord") if "edge_ord" in raw.columns else F.monotonically_increasing_id()
     return raw.select(
-        F.monotonically_increasing_id().alias("edge_ord"),
+        order.alias("edge_ord"),
         F.concat(F.lit("PROSPER_"), F.col("source").cast("string")).alias("src_customer_id"),
         F.concat(F.lit("PROSPER_"), F.col("target").cast("string")).alias("dst_customer_id"),
         F.lit("loan").alias("edge_type"),
@@ -55,7 +77,7 @@ def load_source(spark: SparkSession, data_dir: str) -> tuple[str, DataFrame]:
     else the flat borrower CSV. Returns (kind, frame); both kinds end in the same schemas."""
     net = f"{data_dir.rstrip('/')}/prosper_user_loans_2016/edges.csv"
     if path_exists(spark, net):
-        return "network", raw_edges_to_relationships(read_raw_edges(spark, net))
+        return "network", raw_edges_to_relationships(ordered_raw_edges(spark, net))
     return "flat", read_customers_csv(spark, f"{data_dir.rstrip('/')}/credit_risk_dataset.csv")
 
 
