@@ -124,3 +124,19 @@ def test_star_keeps_all_walks(spark):
     w = random_walks(e, walks_per_node=1, length=4, p=1000.0, q=4.0, cheap_rounds=2)
     assert w.count() == n + 1 and w.filter("size(path) <> 4").count() == 0
     assert w.filter("path[1] <> 'H' and start <> 'H'").count() == 0
+
+
+def test_spectral_results_of_slow_tiny_and_empty_graphs(spark):
+    """A long path converges slowly: after one round there is a result whose residuals bound the eigenvalues' error."""
+    n = 60
+    c = customers_df(spark, [(f"N{i:02d}", 1.0, 1.0, "N") for i in range(n)])
+    e = edges_df(spark, [(f"N{i:02d}", f"N{i + 1:02d}") for i in range(n - 1)])
+    emb, lam, res = SP.spectral_pairs(c, e, dim=3, iters=1)
+    assert emb.count() == n and len(lam) == len(res) == 3 and res.max() > SP.TOL
+    exact = 1 - np.cos(np.pi * np.arange(n) / (n - 1))
+    assert all(np.abs(exact - x).min() <= r + 1e-12 for x, r in zip(lam, res))
+    emb, lam, res = SP.spectral_pairs(customers_df(spark, []), edges_df(spark, []), dim=3)
+    assert emb.count() == 0 and len(lam) == len(res) == 0
+    two = customers_df(spark, [("A", 1.0, 1.0, "N"), ("B", 1.0, 1.0, "N")])
+    emb, lam, res = SP.spectral_pairs(two, edges_df(spark, [("A", "B")]), dim=3)
+    assert np.allclose(lam, [2.0]) and {len(r["embedding"]) for r in emb.collect()} == {1}
