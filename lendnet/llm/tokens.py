@@ -23,7 +23,8 @@ RARE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x202
 WHOLE_ASCII = ("\x00", "\x1c", "\x1d", "\x1e", "\x1f", "<|endoftext|>", "<|startoftext|>")
 WHOLE = ("\u180e", "\u200b", "\ufeff")
 MAX_PIECES = 1_000_000       # entries of a worker's young generation (about 200 MB; the old one is as large)
-TAIL = ".,;:!?"
+TAIL = tuple(".,;:!?")
+BLANK = "\u0120"            # a blank, as byte-level vocabularies write it
 LINE = "\n\n"               # marks a piece that starts a line, so has no leading blank
 
 
@@ -57,9 +58,10 @@ class Encoder:
         # a leading blank is part of a word's piece in byte-level vocabularies without word-end marks
         self.spaced = self.tok.model.end_of_word_suffix is None
         self.parts: dict[str, bytes] = {}      # by exact string
-        # by piece between blanks; the same thing where a leading blank does not count
+        # by piece between blanks (each piece stands in one of the two); the same thing where a blank does not count
         self.cache: dict[str, bytes] = {} if self.spaced else self.parts
-        self.old: dict[str, bytes] = {}        # exact strings of the generation before
+        self.old: dict[str, bytes] = {}        # of the generation before
+        self.old_cache: dict[str, bytes] = {}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         out = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
@@ -90,7 +92,7 @@ class Encoder:
                 parts[p] = old[p]
                 continue
             head = p[:-1].lstrip(" ")
-            if p and p[-1] in TAIL and head.isalpha() and head.lower().isalpha():
+            if p and p[-1:] in TAIL and head.isalpha() and head.lower().isalpha():
                 split[p] = (p[:-1], p[-1])
                 base.update(split[p])
             else:
@@ -106,13 +108,42 @@ class Encoder:
             parts[p] = parts[head] + parts[tail]
 
     def _learn(self, missing: list[str]) -> None:
+        """Add pieces between blanks to ``cache``: words and words with one closing mark straight from the merge
+        model (behind a blank), the others through ``parts`` of a generation of their own."""
         if not self.spaced:
             self._exact(missing)
             return
-        real = {p: p if p == "\n" else p[2:] if p.startswith(LINE) else " " + p for p in missing}
-        self._exact([x for x in real.values() if x not in self.parts])
+        cache, old, merge = self.cache, self.old_cache, self.tok.model.tokenize
+        words, marked, other = [], [], []
+        for p in missing:
+            if p in old:
+                cache[p] = old[p]
+            elif p.isalpha():
+                words.append(p)
+            elif p[-1:] in TAIL and p[:-1].isalpha():
+                marked.append(p)
+                if p[:-1] not in cache:
+                    words.append(p[:-1])
+            else:
+                other.append(p)
+        for p in words:
+            if p.isascii():
+                cache[p] = _little(array("I", [t.id for t in merge(BLANK + p)]))
+            elif p not in cache:
+                if max(p) < "\u1e00":
+                    cache[p] = _little(array("I", [t.id for t in merge(
+                        (" " + p).encode().decode("latin-1").translate(_LETTERS))]))
+                else:
+                    other.append(p)
+        tails = {c: self._ids([c])[0] for c in {p[-1] for p in marked}}
+        real = {p: p if p == "\n" else p[2:] if p.startswith(LINE) else " " + p for p in other}
+        kept, self.parts = self.parts, {}
+        self._exact(set(real.values()))
         for p, x in real.items():
-            self.cache[p] = self.parts[x]
+            cache[p] = self.parts[x]
+        self.parts = kept
+        for p in marked:
+            cache[p] = cache[p[:-1]] + tails[p[-1]]
 
     def _pieces(self, text: str) -> tuple[dict, list[str]] | None:
         """(cache, its keys) for ``text``; None where it must be encoded whole."""
@@ -130,7 +161,10 @@ class Encoder:
         """Ids of every text; the new pieces of the whole list go to the tokenizer in one batch."""
         if len(self.parts) + (len(self.cache) if self.spaced else 0) > MAX_PIECES:
             self.old, self.parts = self.parts, {}
-            self.cache = {} if self.spaced else self.parts
+            if self.spaced:
+                self.old_cache, self.cache = self.cache, {}
+            else:
+                self.cache = self.parts
         out: list = [None] * len(texts)
         again, missing, exact = [], set(), set()
         for i, t in enumerate(texts):
