@@ -6,9 +6,10 @@ letters, digits or non-ASCII characters (A-Z lower-cased); its 4- and 5-byte hea
 which lets inflected forms share what was learned.
 
 Training reads a bounded sample (``MAX_TRAIN`` labelled documents, half of each label where there are
-enough, chosen by a hash of the id), keeps the ``TERMS`` terms with the largest chi-square against the
-label and fits by AdaGrad on the driver; the model (about 1 MB) is broadcast. Scoring is one map-only
-pass over whole texts.
+enough, chosen by a hash of the id). Spark counts the sample's terms and keeps the ``TERMS`` with the largest
+chi-square against the label; the driver gets those and, per document, only which of them it holds (long texts
+included: at most ``TERMS`` numbers), and fits by AdaGrad. The model (about 1 MB) is broadcast. Scoring is one
+map-only pass over whole texts.
 
 Cases: null or empty texts, or texts without a known term, get the base score sigmoid(w0); rows with a
 label other than 0 or 1 teach nothing; without any labelled row every score is 0; repeated rows are
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import fold_remainder, ship
+from lendnet.llm.common import fold_remainder, ship, stored
 from lendnet.llm.words import PUNCT, words
 
 MAX_TRAIN = 8000
@@ -70,13 +71,41 @@ def _term_sets(col: pa.Array, known: np.ndarray | None = None):
 
 def _training_rows(batches):
     for b in batches:
-        terms = [np.zeros(0, np.uint64)] * b.num_rows
+        label = b.column("label")
         for lo, hi, r, t in _term_sets(b.column("text")):
             cuts = np.searchsorted(r, np.arange(lo, hi + 1))
-            for i in range(lo, hi):
-                terms[i] = t[cuts[i - lo]:cuts[i - lo + 1]]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("label"), pa.array([x.tobytes() for x in terms], pa.binary())], names=["label", "terms"])
+            yield pa.RecordBatch.from_arrays(
+                [label.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(t.view(np.int64)))],
+                names=["label", "terms"])
+
+
+def _chosen_terms(sample: DataFrame, terms: int) -> np.ndarray:
+    """Sorted hashes of the ``terms`` terms with the largest chi-square (above 4, in at least 3 documents)."""
+    n, p = sample.agg(F.count(F.lit(1)), F.avg("label")).first()
+    p = max(p or 0.0, 1e-6)
+    expect = F.col("df") * F.lit(p)
+    chi = (F.col("pos") - expect) ** 2 / F.greatest(
+        expect * F.lit(1 - p) * (1 - F.col("df") / F.lit(n + 1.0)), F.lit(1e-9))
+    best = (sample.select("label", F.explode("terms").alias("term")).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("df"), F.sum("label").alias("pos")).filter("df >= 3")
+            .select("term", chi.alias("chi")).filter("chi > 4").orderBy(F.desc("chi"), "term").limit(terms))
+    return np.sort(best.select("term").toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def _known_terms(ref):
+    def run(batches):
+        known = ref.value
+        for b in batches:
+            col = b.column("terms")
+            flat, offsets = col.flatten().to_numpy().view(np.uint64), col.offsets.to_numpy()
+            offsets = offsets - offsets[0]
+            at = np.minimum(np.searchsorted(known, flat), max(len(known) - 1, 0))
+            hit = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+            cuts = np.concatenate([[0], np.cumsum(hit)])[offsets]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("label"), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(at[hit].astype(np.int32)))],
+                names=["label", "terms"])
+    return run
 
 
 def _interaction(vx: np.ndarray, v2x: np.ndarray) -> np.ndarray:
@@ -146,13 +175,15 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dic
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # about max_train rows of (id, label) by construction: small enough to broadcast at any corpus size
     sample = F.broadcast(lab.filter(draw < rate))
-    rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
-            .select("label", "text").mapInArrow(_training_rows, "label int, terms binary").toArrow())
+    taught = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
+                    .select("label", "text").mapInArrow(_training_rows, "label int, terms array<long>"), "training")
+    keys = _chosen_terms(taught, TERMS)
+    rows = taught.mapInArrow(_known_terms(spark.sparkContext.broadcast(keys)), "label int, terms array<int>").toArrow()
     if rows.num_rows == 0:
         return None
     y = rows.column("label").to_numpy().astype(float)
-    sets = [np.frombuffer(x, np.uint64) for x in rows.column("terms").to_pylist()]
-    del rows                         # the driver holds the sample once
+    col = rows.column("terms").combine_chunks()
+    sets = [keys[x] for x in np.split(col.flatten().to_numpy(), col.offsets.to_numpy()[1:-1] - col.offsets.to_numpy()[0])]
     # a fixed order of training rows, whatever order the tasks finished in
     order = sorted(range(len(y)), key=lambda i: (y[i], len(sets[i]), sets[i][:4].tobytes()))
     return fit([sets[i] for i in order], y[order], prior=n1 / (n0 + n1))
