@@ -193,18 +193,19 @@ def _confirmed(links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _open_blocks(members: DataFrame, comp: DataFrame) -> DataFrame:
     """(gid, role, node, comp): blocks that compare each bucket's outsiders with its largest component
     and with each other. Roles: 0 member, 1 query, 2 both."""
-    m = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    # the narrow tables below are read several times each: stored, so that the plan stays small
+    m = cut_lineage(members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     sizes = m.select("node", "comp").distinct().groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
     per = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).join(sizes, "comp")
     top = per.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("t"), F.count(F.lit(1)).alias("parts"),
                                  (F.sum("n")).alias("n_all"), F.max_by("n", F.struct("size", "comp")).alias("n_top"))
     # the pool is compared inside itself only where its members lie in several components
-    top = top.filter("parts > 1").select("key", F.col("t.comp").alias("top"), F.col("t.size").alias("top_size"),
-                                         "parts", (F.col("n_all") - F.col("n_top")).alias("pool"))
-    out = m.join(top, "key").filter("comp <> top")
+    top = cut_lineage(top.filter("parts > 1").select("key", F.col("t.comp").alias("top"), F.col("t.size").alias("top_size"),
+                                                     "parts", (F.col("n_all") - F.col("n_top")).alias("pool")))
+    out = cut_lineage(m.join(top, "key").filter("comp <> top"))
     spread = lambda blocks: F.pmod(F.xxhash64("node"), blocks)
     # outsiders against the top component: member blocks x query chunks
-    asked = out.select("top", "top_size", "node", "comp").distinct()
+    asked = cut_lineage(out.select("top", "top_size", "node", "comp").distinct())
     shape = asked.groupBy("top", "top_size").agg(F.count(F.lit(1)).alias("q")).select(
         "top", F.ceil(F.col("top_size") / MEMBERS).alias("mb"), F.ceil(F.col("q") / QUERIES).alias("qb"))
     q = asked.drop("top_size").join(shape, "top").withColumn("j", spread(F.col("qb"))).withColumn(
