@@ -54,8 +54,8 @@ IMPLIED = {
 HEAD_PARTS = frozenset("title meta link base script style noscript template".split())
 
 MAX_DEPTH = 150
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-                   re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+SPECIAL = re.compile(r"[>\"']")
 ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -70,6 +70,63 @@ class Node:
         self.hidden = tag in UNSEEN or "hidden" in self.attrs or bool(style and HIDDEN_STYLE.search(style))
 
 
+class Tags:
+    """The tags, comments and declarations of a page, one after the other, in linear time.
+
+    A tag ends at the first ``>`` outside quotes; where a quote never closes, at the first ``>``. A ``<`` that begins
+    none of them is text. Quoted stretches that led to the page's end without a ``>`` are remembered, so no part of
+    the page is searched twice in vain."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.dead: set[int] = set()            # places outside quotes from which no tag ends
+        self.last_end = html.rfind(">")
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes begin at ``at``; -1 where there is none."""
+        html, seen, pos = self.html, [], at
+        while True:
+            m = SPECIAL.search(html, pos)
+            if m is None or m.start() in self.dead:
+                break
+            pos = m.start()
+            if html[pos] == ">":
+                return pos
+            seen.append(pos)
+            pos = html.find(html[pos], pos + 1) + 1
+            if pos == 0:
+                break
+        self.dead.update(seen)
+        return html.find(">", at)
+
+    def next(self, at: int):
+        """(start, end, closing, name, attributes) of the next one from ``at`` on; name is None for comments and
+        declarations. None behind the last."""
+        html = self.html
+        pos = html.find("<", at)
+        while pos >= 0:
+            if html.startswith("<!--", pos):
+                end = html.find("-->", pos + 4)
+                return pos, (end + 3 if end >= 0 else len(html)), False, None, ""
+            if pos < self.last_end:
+                if html[pos + 1] in "!?":
+                    return pos, html.find(">", pos + 2) + 1, False, None, ""
+                closing = html[pos + 1] == "/"
+                m = NAME.match(html, pos + 1 + closing)
+                if m:
+                    end = self._end(m.end())
+                    if end >= 0:
+                        return pos, end + 1, closing, m.group(), html[m.end():end]
+            pos = html.find("<", pos + 1)
+        return None
+
+    def closing(self, tag: str, at: int) -> tuple[int, int]:
+        """(start, end) of the end tag of a raw element from ``at`` on; the page's end where there is none."""
+        m = re.compile("</" + re.escape(tag), re.I).search(self.html, at)
+        end = self.html.find(">", m.end()) if m else -1
+        return (m.start(), end + 1) if end >= 0 else (len(self.html), len(self.html))
+
+
 def parse(html: str) -> Node:
     """The page's tree; text nodes are strings with entities resolved."""
     root = Node("html")
@@ -86,22 +143,23 @@ def parse(html: str) -> Node:
                 close(kinds, bounds)
                 return
 
+    tags = Tags(html)
     while at < n:
-        m = TOKEN.search(html, at)
-        if not m:
+        found = tags.next(at)
+        if not found:
             stack[-1].kids.append(unescape(html[at:]))
             break
-        if m.start() > at:
-            text = html[at:m.start()]
+        begin, end, closing, name, rest = found
+        if begin > at:
+            text = html[at:begin]
             if stack[-1].tag == "head" and text.strip():
                 stack.pop()
             stack[-1].kids.append(unescape(text) if "&" in text else text)
-        at = m.end()
-        name = m.group(2) or m.group(5)
+        at = end
         if not name:
             continue
-        tag, rest = name.lower(), m.group(3) if m.group(2) else m.group(6)
-        if (m.group(1) if m.group(2) else m.group(4)):
+        tag = name.lower()
+        if closing:
             if tag == "p" and not any(x.tag == "p" for x in stack):
                 stack[-1].kids.append(Node("p"))       # a stray </p> is an empty paragraph
                 continue
@@ -135,11 +193,10 @@ def parse(html: str) -> Node:
         node = Node(tag, attrs, len(stack))
         stack[-1].kids.append(node)
         if tag in RAW:
-            end = re.compile(r"</" + re.escape(tag) + r"[^>]*>", re.I).search(html, at)
-            stop = end.start() if end else n
+            stop, end = tags.closing(tag, at)
             if tag in ("xmp", "textarea"):
                 node.kids.append(unescape(html[at:stop]) if tag == "textarea" else html[at:stop])
-            at = end.end() if end else n
+            at = end
         elif tag not in VOID and not (rest or "").rstrip().endswith("/"):
             if len(stack) < MAX_DEPTH:
                 stack.append(node)
