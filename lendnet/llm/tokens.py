@@ -109,39 +109,43 @@ class Encoder:
 
     def _learn(self, missing: list[str]) -> None:
         """Add pieces between blanks to ``cache``: words and words with one closing mark straight from the merge
-        model (behind a blank), the others through ``parts`` of a generation of their own."""
-        if not self.spaced:
-            self._exact(missing)
-            return
-        cache, old, merge = self.cache, self.old_cache, self.tok.model.tokenize
+        model (behind a blank, where one belongs to the piece), the others through ``_exact``."""
+        cache, spaced, normal, merge = self.cache, self.spaced, self.tok.normalizer, self.tok.model.tokenize
+        old = self.old_cache if spaced else self.old
         words, marked, other = [], [], []
         for p in missing:
             if p in old:
                 cache[p] = old[p]
             elif p.isalpha():
                 words.append(p)
-            elif p[-1:] in TAIL and p[:-1].isalpha():
+            elif p[-1:] in TAIL and p[:-1].isalpha() and (spaced or p[:-1].lower().isalpha()):
                 marked.append(p)
-                if p[:-1] not in cache:
-                    words.append(p[:-1])
+                words.append(p[:-1])
             else:
                 other.append(p)
+        lead = BLANK if spaced else ""
         for p in words:
+            if p in cache:
+                continue
             if p.isascii():
-                cache[p] = _little(array("I", [t.id for t in merge(BLANK + p)]))
-            elif p not in cache:
-                if max(p) < "\u1e00":
-                    cache[p] = _little(array("I", [t.id for t in merge(
-                        (" " + p).encode().decode("latin-1").translate(_LETTERS))]))
-                else:
+                ids = merge(lead + (p if normal is None else p.lower()))
+            else:
+                w = p if normal is None else normal.normalize_str(p)
+                if not w.isalpha() or max(w) >= "\u1e00":
                     other.append(p)
+                    continue
+                ids = merge(lead + w.encode().decode("latin-1").translate(_LETTERS))
+            cache[p] = _little(array("I", [t.id for t in ids]))
         tails = {c: self._ids([c])[0] for c in {p[-1] for p in marked}}
-        real = {p: p if p == "\n" else p[2:] if p.startswith(LINE) else " " + p for p in other}
-        kept, self.parts = self.parts, {}
-        self._exact(set(real.values()))
-        for p, x in real.items():
-            cache[p] = self.parts[x]
-        self.parts = kept
+        if spaced:
+            real = {p: p if p == "\n" else p[2:] if p.startswith(LINE) else " " + p for p in other}
+            kept, self.parts = self.parts, {}
+            self._exact(set(real.values()))
+            for p, x in real.items():
+                cache[p] = self.parts[x]
+            self.parts = kept
+        else:
+            self._exact(set(other))
         for p in marked:
             cache[p] = cache[p[:-1]] + tails[p[-1]]
 
