@@ -46,12 +46,11 @@ def _cells(cp: np.ndarray):
         acc = acc * U(0x100000001B3) + shifted + U(1)
         letters = letters | (shifted > 0)
         cell = (splitmix(acc + U(n)) >> U(64 - BITS)).astype(np.int64) + (k << BITS)
-        cell[:n - 1] = SIZE
         yield np.where(letters, cell, SIZE)
 
 
 def _texts(col: pa.Array):
-    """(row, code points) blocks; blocks of a long text overlap by the context of the longest n-gram."""
+    """(row, code points) of every text."""
     raw, offsets = text_buffer(col)
     for r in range(len(offsets) - 1):
         cp = np.frombuffer(raw[offsets[r]:offsets[r + 1]].tobytes().decode("utf-8", "replace").encode("utf-32-le"),
@@ -62,22 +61,28 @@ def _texts(col: pa.Array):
 def _batches(col: pa.Array):
     """Concatenated code points of several rows with row starts; rows are separated by a separator.
 
-    Texts longer than a block are cut into blocks of their own row (n-grams across a cut are lost
-    only for the two code points at it, the same in training and scoring).
+    A text longer than a block is cut into blocks; each begins with the last code points of the one before, as
+    context of its first n-grams. ``skip`` are the places of such context, whose own n-grams were counted before,
+    and of separators inside a text, so a text of any length has exactly the n-grams of the whole text.
     """
-    rows, parts, size = [], [], 0
+    context = len(ORDERS) - 1
+    rows, parts, skip, size = [], [], [], 0
     for r, cp in _texts(col):
         for at in range(0, max(len(cp), 1), BLOCK):
-            piece = cp[at:at + BLOCK]
+            lead = min(at, context)
+            piece = cp[at - lead:at + BLOCK]
+            skip += range(size, size + lead)
             rows.append(r)
             parts.append(piece)
-            parts.append(np.zeros(len(ORDERS) - 1, np.uint32))
-            size += len(piece)
+            parts.append(np.zeros(context, np.uint32))
+            size += len(piece) + context
+            if at + BLOCK < len(cp):           # the text goes on: no n-gram ends at this separator
+                skip += range(size - context, size)
             if size >= BLOCK:
-                yield np.array(rows), parts
-                rows, parts, size = [], [], 0
+                yield np.array(rows), parts, skip
+                rows, parts, skip, size = [], [], [], 0
     if rows:
-        yield np.array(rows), parts
+        yield np.array(rows), parts, skip
 
 
 def _count_batches(langs):
@@ -87,10 +92,11 @@ def _count_batches(langs):
         counts = np.zeros((len(langs), SIZE + 1), np.int64)
         for b in batches:
             lang = np.array([index[x] for x in b.column("lang").to_pylist()])
-            for rows, parts in _batches(b.column("text")):
+            for rows, parts, skip in _batches(b.column("text")):
                 cp = np.concatenate(parts)
                 who = np.repeat(lang[rows], [len(parts[2 * i]) + len(parts[2 * i + 1]) for i in range(len(rows))])
                 for cell in _cells(cp):
+                    cell[skip] = SIZE
                     counts += np.bincount(who * (SIZE + 1) + cell, minlength=counts.size).reshape(counts.shape)
         counts[:, SIZE] = 0
         li, ci = np.nonzero(counts)
@@ -138,11 +144,12 @@ def _score_batches(model_ref):
             texts, n = b.column("text"), b.num_rows
             ll = np.zeros((n, len(prior))) + prior
             seen = np.zeros(n, bool)
-            for rows, parts in _batches(texts):
+            for rows, parts, skip in _batches(texts):
                 cp = np.concatenate(parts)
                 sizes = np.array([len(parts[2 * i]) + len(parts[2 * i + 1]) for i in range(len(rows))])
                 starts = np.cumsum(sizes) - sizes
                 for k, cell in enumerate(_cells(cp)):
+                    cell[skip] = SIZE
                     for j in range(len(prior)):
                         np.add.at(ll[:, j], rows, np.add.reduceat(logp[:, j][cell].astype(np.float64), starts))
                 letter = ((cp | 32) >= 97) & ((cp | 32) <= 122) & (cp < 128)
