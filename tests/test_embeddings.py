@@ -140,3 +140,61 @@ def test_spectral_results_of_slow_tiny_and_empty_graphs(spark):
     two = customers_df(spark, [("A", 1.0, 1.0, "N"), ("B", 1.0, 1.0, "N")])
     emb, lam, res = SP.spectral_pairs(two, edges_df(spark, [("A", "B")]), dim=3)
     assert np.allclose(lam, [2.0]) and {len(r["embedding"]) for r in emb.collect()} == {1}
+
+
+def _plain_walks(edges, starts, k, length, p, q, seed, rounds):
+    """The documented draws, one walker at a time (without walkers that need an exact step)."""
+    import hashlib
+
+    def u(*parts):
+        return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:13], 16) / (1 << 52)
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    top, out = max(1 / p, 1, 1 / q), {}
+    for s in starts:
+        for i in range(k):
+            path = [s]
+            for step in range(1, length):
+                cur, prev = path[-1], path[-2] if len(path) > 1 else None
+                for r in range(rounds):
+                    nb = sorted(near[cur])
+                    x = nb[int(u(seed, f"{s}|{i}", step, r, "pick") * len(nb))]
+                    w = top if prev is None else 1 / p if x == prev else 1.0 if x in near[prev] else 1 / q
+                    if u(seed, f"{s}|{i}", step, r, "acc") < w / top:
+                        path.append(x)
+                        break
+                else:
+                    path = None
+                    break
+            out[f"{s}|{i}"] = path
+    return out
+
+
+def test_all_rounds_of_a_walk_step_are_one_job(spark):
+    pairs = sorted({tuple(sorted((f"N{i}", f"N{(i * j + 3) % 30}"))) for i in range(30) for j in (2, 5, 7)
+                    if i != (i * j + 3) % 30})
+    sc = spark.sparkContext
+    sc.setJobGroup("walk-step", "walks")
+    got = {r.walk_id: r.path for r in WK.random_walks(edges_df(spark, pairs), walks_per_node=3, length=6, p=0.5, q=2.0,
+                                                      seed=9, cheap_rounds=12).collect()}
+    jobs = len(sc.statusTracker().getJobIdsForGroup("walk-step"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    want = _plain_walks(pairs, sorted({x for e in pairs for x in e}), 3, 6, 0.5, 2.0, 9, 12)
+    assert set(got) == set(want) and all(p is None or got[w] == p for w, p in want.items())
+    assert jobs < 200          # 12 rounds of 5 steps took several jobs each
+
+
+def test_word2vec_training_is_dealt_over_tasks(spark, ring, monkeypatch):
+    import pyspark.ml.feature as ML
+    seen, real = [], ML.Word2Vec.fit
+
+    def fit(self, walks):
+        seen.append(self.getNumPartitions())
+        return real(self, walks)
+    monkeypatch.setattr(ML.Word2Vec, "fit", fit)
+    monkeypatch.setattr(WK, "TASK_TOKENS", 50, raising=False)
+    walks = spark.createDataFrame([([f"N{(i + j) % 12}" for j in range(5)],) for i in range(36)], "path array<string>")
+    assert WK.walk_embeddings(walks, dim=4).count() == 12
+    assert seen == [4]         # 180 path nodes, 50 a task
