@@ -25,17 +25,26 @@ def numbered(rows: DataFrame) -> DataFrame:
             .withColumn("id", F.col("_off") + pos).drop("_p", "_m", "_off"))
 
 
-def dense_edges(customers: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored nodes (node, id, customer) of customers and edge endpoints, and the collapsed directed edges
-    (src, dst, n = number of parallel edges) between their numbers."""
-    e = edges.select(F.col(SRC).alias("src"), F.col(DST).alias("dst"))
+def dense_nodes(customers: DataFrame, edges: DataFrame) -> DataFrame:
+    """Stored nodes (node, id, customer) of customers and edge endpoints."""
     names = customers.select(F.col("customer_id").alias("node"), F.lit(True).alias("customer")).unionByName(
-        e.select(F.col("src").alias("node"), F.lit(False).alias("customer"))).unionByName(
-        e.select(F.col("dst").alias("node"), F.lit(False).alias("customer")))
-    nodes = numbered(names.filter("node IS NOT NULL").groupBy("node").agg(F.max("customer").alias("customer")))
+        edges.select(F.col(SRC).alias("node"), F.lit(False).alias("customer"))).unionByName(
+        edges.select(F.col(DST).alias("node"), F.lit(False).alias("customer")))
+    return numbered(names.filter("node IS NOT NULL").groupBy("node").agg(F.max("customer").alias("customer")))
+
+
+def number_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Stored collapsed directed edges (src, dst, n = number of parallel edges) between the numbers of ``nodes``;
+    a null endpoint stays null."""
     ids = nodes.select("node", "id")
-    by_number = (e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-                .join(ids.select(F.col("node").alias("src"), F.col("id").alias("s")), "src")
-                .join(ids.select(F.col("node").alias("dst"), F.col("id").alias("d")), "dst")
-                .select(F.col("s").alias("src"), F.col("d").alias("dst"), "n"))
-    return nodes, cut_lineage(by_number)
+    e = edges.select(F.col(SRC).alias("src"), F.col(DST).alias("dst"))
+    return cut_lineage(e.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+                       .join(ids.select(F.col("node").alias("src"), F.col("id").alias("s")), "src", "left")
+                       .join(ids.select(F.col("node").alias("dst"), F.col("id").alias("d")), "dst", "left")
+                       .select(F.col("s").alias("src"), F.col("d").alias("dst"), "n"))
+
+
+def dense_edges(customers: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``dense_nodes`` and the ``number_edges`` between them that have both endpoints."""
+    nodes = dense_nodes(customers, edges)
+    return nodes, number_edges(nodes, edges).filter("src IS NOT NULL AND dst IS NOT NULL")

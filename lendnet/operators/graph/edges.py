@@ -15,17 +15,19 @@ SRC, DST = "src_customer_id", "dst_customer_id"
 CHUNK = 1024               # neighbours of one adjacency row at most
 
 
-def endpoint_counts(edges: DataFrame, src: str = SRC, dst: str = DST) -> DataFrame:
-    """(node, in_degree, out_degree) over nodes that occur in ``edges``; one shuffle."""
-    both = (edges.select(F.col(src).alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"))
-            .unionByName(edges.select(F.col(dst).alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o"))))
+def endpoint_counts(edges: DataFrame, src: str = SRC, dst: str = DST, times: str | None = None) -> DataFrame:
+    """(node, in_degree, out_degree) over nodes that occur in ``edges``; one shuffle. ``times``: column with the
+    number of parallel edges of a collapsed row."""
+    one = F.lit(1) if times is None else F.col(times)
+    both = (edges.select(F.col(src).alias("node"), F.lit(0).alias("i"), one.alias("o"))
+            .unionByName(edges.select(F.col(dst).alias("node"), one.alias("i"), F.lit(0).alias("o"))))
     return both.groupBy("node").agg(F.sum("i").cast("int").alias("in_degree"),
                                     F.sum("o").cast("int").alias("out_degree"))
 
 
-def degrees(customers: DataFrame, edges: DataFrame) -> DataFrame:
+def degrees(customers: DataFrame, edges: DataFrame, times: str | None = None) -> DataFrame:
     """In / out / total degree of every customer, counting parallel edges; 0 if none."""
-    cnt = endpoint_counts(edges).withColumnRenamed("node", "customer_id")
+    cnt = endpoint_counts(edges, times=times).withColumnRenamed("node", "customer_id")
     j = customers.select("customer_id").join(cnt, "customer_id", "left")
     i = F.coalesce(F.col("in_degree"), F.lit(0))
     o = F.coalesce(F.col("out_degree"), F.lit(0))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendnet.operators.graph import bfs, edges as GE, hops, pagerank as PR, triangles
+from lendnet.operators.graph.dense import dense_nodes, number_edges
 from lendnet.schemas import GRAPH_FEATURES
 from lendnet.session import cut_lineage
 
@@ -25,11 +26,19 @@ def graph_features(customers: DataFrame, edges: DataFrame, pagerank: str = "simp
     if materialize_inputs:
         cust = cut_lineage(cust)
         e = cut_lineage(e)
-    deg = GE.norm_degree(GE.degrees(cust, e))
+    # every feature job runs on dense numbers: the names are met once, here, and again at the end
+    nodes = dense_nodes(cust, e)
+    links = number_edges(nodes, e)
+    cust = cut_lineage(cust.join(nodes.select(F.col("node").alias("customer_id"), "id"), "customer_id", "left")
+                       .select(F.col("id").alias("customer_id"), flag_col))
+    e = links.select(F.col("src").alias(GE.SRC), F.col("dst").alias(GE.DST), "n")
+    deg = GE.norm_degree(cut_lineage(GE.degrees(cust, e, times="n")))
     if pagerank == "degree_share":
         pr = PR.degree_share(deg)
     else:
-        pr = PR.pagerank(cust, e, iters=pagerank_iters, weighted=(pagerank == "weighted"))
+        pr = PR.pagerank(cust, e, iters=pagerank_iters, weighted=(pagerank == "weighted"),
+                         dense=(nodes.select(F.col("id").alias("node"), "id"),
+                                links.filter("src IS NOT NULL AND dst IS NOT NULL")))
     # the undirected edge set once, for the four operators that read it
     und = cut_lineage(GE.undirected_edges(e))
     dist = bfs.distance_to_prior_default(cust, e, flag_col, und=und)
@@ -39,6 +48,8 @@ def graph_features(customers: DataFrame, edges: DataFrame, pagerank: str = "simp
     out = deg
     for part in (pr, dist, clus, h1, h2):
         out = out.join(part, "customer_id", "left")
+    out = (out.withColumnRenamed("customer_id", "id").join(
+        nodes.select("id", F.col("node").alias("customer_id")), "id", "left").drop("id"))
     # one materialised feature table: the mart, training and scoring all read it
     return cut_lineage(out.select("customer_id", *[
         F.coalesce(F.col(c), F.lit(-1 if c == "distance_to_prior_default" else 0)).alias(c)

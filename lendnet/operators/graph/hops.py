@@ -58,13 +58,16 @@ def _degrees(und: DataFrame) -> DataFrame:
     return und.groupBy(F.col("src").alias("mid")).agg(F.count(F.lit(1)).alias("deg"))
 
 
+def _hub_middles(deg: DataFrame, hub_min_degree: int) -> DataFrame:
+    total = deg.agg(F.sum("deg").cast("double")).scalar()
+    return heavy_keys(deg, "mid", "deg", total, min_threshold=hub_min_degree, with_degree=True)
+
+
 def _wedges(first: DataFrame, second: DataFrame, deg: DataFrame, hub_min_degree: int) -> DataFrame:
     """Distinct (c, x), c <> x, over c - mid - x; hub middles are dealt over sub-keys by their degree."""
-    total = deg.agg(F.sum("deg").cast("double")).scalar()
-    hubs = heavy_keys(deg, "mid", "deg", total, min_threshold=hub_min_degree, with_degree=True)
     wedges = salted_join(first.select(F.col("src").alias("c"), F.col("dst").alias("mid")),
-                         second.select(F.col("src").alias("mid"), F.col("dst").alias("x")), "mid", hubs,
-                         per_salt=hub_min_degree)
+                         second.select(F.col("src").alias("mid"), F.col("dst").alias("x")), "mid",
+                         _hub_middles(deg, hub_min_degree), per_salt=hub_min_degree)
     return wedges.filter("c <> x").select("c", "x").distinct()
 
 
@@ -91,7 +94,7 @@ def nbr_frac_2hop(customers: DataFrame, edges: DataFrame,
     hubs = cut_lineage(deg.filter(F.col("deg") >= least).select("mid")
                        .join(ids.withColumnRenamed("src", "mid"), "mid", "left_semi"))
     if hubs.isEmpty():
-        counts = _wedge_counts(_wedges(rows, rows, deg, hub_min_degree), u, flags)
+        counts = _wedge_counts(rows, u, flags, deg, hub_min_degree)
     else:
         counts = _counts_with_hubs(rows, u, flags, deg, hubs, hub_min_degree)
     share = counts.filter("n > 0").select("c", (F.col("d") / F.col("n")).alias("share"))
@@ -99,11 +102,21 @@ def nbr_frac_2hop(customers: DataFrame, edges: DataFrame,
             .select("customer_id", F.coalesce("share", F.lit(0.0)).alias("neighbor_default_frac_2hop")))
 
 
-def _wedge_counts(pairs: DataFrame, und: DataFrame, flags: DataFrame) -> DataFrame:
-    """(c, n, d): size of the 2-hop set and its prior defaults, from distinct wedge ends."""
-    hop1 = und.select(F.col("src").alias("c"), F.col("dst").alias("x"))
-    return (pairs.join(hop1, ["c", "x"], "left_anti").join(flags.withColumnRenamed("node", "x"), "x", "left")
-            .groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("d", F.lit(0))).alias("d")))
+def _wedge_counts(rows: DataFrame, und: DataFrame, flags: DataFrame, deg: DataFrame, hub_min_degree: int) -> DataFrame:
+    """(c, n, d): size of the 2-hop set and its prior defaults.
+
+    A wedge brings the flag of its end along (met once an edge, not once a wedge), and the direct neighbours are
+    rows of the same table, so one aggregate over (c, x) removes both repeats and neighbours."""
+    marks = flags.groupBy(F.col("node").alias("x")).agg(F.count(F.lit(1)).alias("k"), F.sum("d").alias("s"))
+    ends = (rows.select(F.col("src").alias("mid"), F.col("dst").alias("x")).join(marks, "x", "left")
+            .select("mid", "x", F.coalesce("k", F.lit(1)).alias("k"), F.coalesce("s", F.lit(0)).alias("s")))
+    wedges = salted_join(rows.select(F.col("src").alias("c"), F.col("dst").alias("mid")), ends, "mid",
+                         _hub_middles(deg, hub_min_degree), per_salt=hub_min_degree).filter("c <> x")
+    hop1 = und.select(F.col("src").alias("c"), F.col("dst").alias("x"), F.lit(0).cast("long").alias("k"),
+                      F.lit(0).cast("long").alias("s"), F.lit(1).alias("near"))
+    return (wedges.select("c", "x", "k", "s", F.lit(0).alias("near")).unionByName(hop1).groupBy("c", "x")
+            .agg(F.max("near").alias("near"), F.max("k").alias("k"), F.max("s").alias("s")).filter("near = 0")
+            .groupBy("c").agg(F.sum("k").alias("n"), F.sum("s").alias("d")))
 
 
 def _counts_with_hubs(rows: DataFrame, und: DataFrame, flags: DataFrame, deg: DataFrame, hubs: DataFrame,

@@ -259,3 +259,32 @@ def test_pagerank_tolerance_stops_at_the_first_small_step(spark, g):
         t = next(i for i in range(1, 41) if sum(abs(r[i][v] - r[i - 1][v]) for v in nodes) < len(nodes) * tol)
         got = by_id(PR.pagerank(c, e, iters=40, tol=tol), "pagerank")
         assert got == pytest.approx({v: r[t][v] for v in got}, rel=1e-9)
+
+
+def test_feature_jobs_run_on_numbers_and_keep_names(spark, monkeypatch):
+    """Parallel edges, a self-loop, an endpoint without a customer, customers without an id or edges."""
+    from conftest import customers_df, edges_df
+    from lendnet.operators.graph import features as GF, hops
+    seen, real = [], hops.nbr_frac_2hop
+    monkeypatch.setattr(hops, "nbr_frac_2hop", lambda c, e, *a, **k: seen.append(dict(c.dtypes)) or real(c, e, *a, **k))
+    cust = customers_df(spark, [("A", 1.0, 1.0, "Y"), ("B", 1.0, 1.0, "N"), ("C", 1.0, 1.0, "N"), ("D", 1.0, 1.0, "N"),
+                                (None, 1.0, 1.0, "N")])
+    edges = edges_df(spark, [("A", "B"), ("A", "B"), ("B", "C"), ("C", "X"), ("C", "C")])
+    rows = {r.customer_id: r for r in GF.graph_features(cust, edges).collect()}
+    assert seen[0]["customer_id"] == "bigint"
+    assert set(rows) == {"A", "B", "C", "D", None}
+    assert [(rows[k].in_degree, rows[k].out_degree, rows[k].distance_to_prior_default) for k in "ABCD"] == [
+        (0, 2, 0), (2, 1, 1), (2, 2, 2), (0, 0, -1)]
+    assert [rows[k].neighbor_default_frac for k in "ABCD"] == [0.0, 0.5, 0.0, 0.0]
+    assert [rows[k].neighbor_default_frac_2hop for k in "ABCD"] == [0.0, 0.0, 1.0, 0.0]
+    assert rows[None].degree == 0 and rows[None].distance_to_prior_default == -1
+
+
+def test_second_hop_joins_whole_samples(spark):
+    from conftest import edges_df
+    from lendnet.operators.graph.sampling import two_hop_sample
+    out = two_hop_sample(edges_df(spark, [("A", "B"), ("B", "C"), ("A", "A")]), (2, 2), 1)
+    assert "collect_list" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in out.collect()) == [
+        ("A", 1, "B"), ("A", 2, "A"), ("A", 2, "C"), ("B", 1, "A"), ("B", 1, "C"), ("B", 2, "B"), ("B", 2, "B"),
+        ("C", 1, "B"), ("C", 2, "A"), ("C", 2, "C")]
