@@ -108,22 +108,22 @@ def label_classes(df: DataFrame, cols: list[str]) -> DataFrame:
     by the categories, not by the rows, which is what makes it safe to broadcast.
     """
     from pyspark.sql import Window
-    parts = [df.select(F.lit(c).alias("column"), category(c).alias("class")).distinct()
-             for c in cols]
-    classes = parts[0]
-    for p in parts[1:]:
-        classes = classes.unionByName(p)
+    # one pass for all columns; stored, since every encoding reads the table once a column
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), category(c).alias("class"))
+                                          for c in cols])).alias("p")).select("p.column", "p.class").distinct()
     w = Window.partitionBy("column").orderBy("class")
-    return classes.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    return cut_lineage(pairs.withColumn("code", (F.row_number().over(w) - 1).cast("int")))
 
 
 def label_encode(df: DataFrame, classes: DataFrame, cols: list[str], keep_unknown: bool = True) -> DataFrame:
-    """Replace each categorical by its code; unknown classes become null (then rejectable)."""
+    """Replace each categorical by its code; unknown classes become null (then rejectable).
+
+    The class table is broadcast: a shuffle on a category would put all rows of a class into one task."""
     out = df
     for c in cols:
         m = classes.filter(F.col("column") == c).select(F.col("class").alias(f"_k_{c}"),
                                                         F.col("code").alias(f"_v_{c}"))
-        out = (out.join(m, category(c) == F.col(f"_k_{c}"), "left")
+        out = (out.join(F.broadcast(m), category(c) == F.col(f"_k_{c}"), "left")
                .withColumn(c, F.col(f"_v_{c}")).drop(f"_k_{c}", f"_v_{c}"))
     if not keep_unknown:
         cond = None

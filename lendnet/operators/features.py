@@ -59,11 +59,11 @@ def prior_default_prob(df: DataFrame) -> DataFrame:
 
 
 def standardize(df: DataFrame, cols: list[str], eps: float = 1e-8) -> DataFrame:
-    """(x - mean) / (population sd + eps), statistics as scalar subqueries."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    """(x - mean) / (population sd + eps), all statistics from one scalar subquery."""
+    stats = df.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                            *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])).scalar()
     return df.withColumns({
-        c: (F.col(c) - stats.select(f"m_{c}").scalar()) / (stats.select(f"s_{c}").scalar() + F.lit(eps))
-        for c in cols})
+        c: (F.col(c) - stats.getField(f"m_{c}")) / (stats.getField(f"s_{c}") + F.lit(eps)) for c in cols})
 
 
 GRAPH_SENTINEL = {"degree": 0, "pagerank": 0.0, "distance_to_prior_default": -1, "clustering_coefficient": 0.0}

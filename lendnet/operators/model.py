@@ -37,7 +37,7 @@ def assemble_features(clean_customers: DataFrame, graph_feats: DataFrame,
     """
     j = clean_customers.join(graph_feats.select("customer_id", *GRAPH_FEATURES), "customer_id", "left")
     if classes is None:
-        classes = label_classes(j, CAT_COLS)
+        classes = label_classes(clean_customers, CAT_COLS)     # the left join adds no category
     enc = derived_features(label_encode(j, classes, CAT_COLS))
     return enc.select("customer_id", *FEATURES, F.col(TARGET).alias("label")), classes
 
@@ -81,15 +81,15 @@ def scorecard_score(df: DataFrame, coefs: dict[str, float] = SCORECARD,
 
 def linear_contrib(df: DataFrame, coefs: dict[str, float] = SCORECARD, baseline: DataFrame | None = None,
                    out: str = "factors") -> DataFrame:
-    """Exact attributions of a linear model, coef * (x - E[x]) (baseline means as scalar
-    subqueries), as an array<struct<feature, shap_value>> column."""
+    """Exact attributions of a linear model, coef * (x - E[x]) (baseline means from one scalar
+    subquery), as an array<struct<feature, shap_value>> column."""
     if baseline is not None:
         # fitted baseline (e.g. the training table): its k means are model parameters
         row = baseline.agg(*[F.avg(f).alias(f) for f in coefs]).first()
         mean = {f: F.lit(row[f]) for f in coefs}
     else:
-        means = df.agg(*[F.avg(f).alias(f) for f in coefs])
-        mean = {f: means.select(f).scalar() for f in coefs}
+        means = df.agg(F.struct(*[F.avg(f).alias(f) for f in coefs])).scalar()
+        mean = {f: means.getField(f) for f in coefs}
     items = [F.struct(F.lit(f).alias("feature"), (F.lit(c) * (F.col(f) - mean[f])).alias("shap_value"))
              for f, c in coefs.items()]
     return df.withColumn(out, F.array(*items))
@@ -158,7 +158,8 @@ def score_applications(apps: DataFrame, classes: DataFrame, stored_graph: DataFr
         # the scored table feeds the attribution means and the events: materialise it once
         scored = scorecard_score(feat, coefs)
         if materialize:          # batch only: a streaming plan cannot be checkpointed mid-query
-            scored = cut_lineage(scored)
+            used = [id_col, "customer_id", "risk_score", "loan_amnt", ts_col]
+            scored = cut_lineage(scored.select(*used, *[f for f in coefs if f not in used]))
         attributed = top_factors(linear_contrib(scored, coefs, baseline))
     events = attributed.select(
         F.col(id_col).cast("string").alias("scoring_event_id"), "customer_id", "risk_score",

@@ -13,6 +13,7 @@ from lendnet.operators.trees import TreeNode, tree_contrib
 from lendnet.plans.q_graph import GF_CTE, GF_ROUND, graph_features_view, round_gf
 from lendnet.schemas import CAT_COLS, FEATURES, GRAPH_FEATURES
 from lendnet.sources import fixtures as FX
+from lendnet.session import cut_lineage
 from lendnet.sources.fixtures import with_views
 
 GF_BODY = f"with recursive clean as ({CLEAN_SQL}\n), {GF_CTE}"
@@ -261,7 +262,8 @@ def _contrib_frame(spark, d, classes):
     ok = enc.filter(F.col("accepted") & F.col("loan_grade").isNotNull() & F.col("loan_intent").isNotNull()
                     & F.col("person_home_ownership").isNotNull())
     feat = DF(graph_lookup(with_graph_defaults(ok), graph_features_view(spark, d)))
-    return MD.linear_contrib(MD.scorecard_score(feat))
+    # read for the means and for the attributions
+    return MD.linear_contrib(cut_lineage(MD.scorecard_score(feat).select("application_id", *MD.SCORECARD)))
 
 
 @query("encode_reject", gf_sql(CLASSES_SQL + """

@@ -229,3 +229,19 @@ def test_gbt_evaluate_trains_with_the_operator_defaults(spark, monkeypatch):
     monkeypatch.setattr(Q.MD, "train_gbt", lambda *a, **kw: models.append(train(*a, **kw)) or models[-1])
     assert Q.gbt_evaluate(spark, SF001).count() > 0
     assert [(m.getMaxIter(), m.getMaxDepth()) for m in models] == [(20, 5)]
+
+
+def test_encoding_does_not_shuffle_rows_by_category(spark):
+    from lendnet.operators import clean as CL
+    df = spark.createDataFrame([(i, "ABC"[i % 3], None if i % 4 else "x") for i in range(12)], "id int, g string, h string")
+    classes = CL.label_classes(df, ["g", "h"])
+    assert sorted(tuple(r) for r in classes.collect()) == [("g", "A", 0), ("g", "B", 1), ("g", "C", 2),
+                                                           ("h", "None", 0), ("h", "x", 1)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enc = CL.label_encode(df, classes, ["g", "h"])
+        assert "SortMergeJoin" not in enc._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.id, r.g, r.h) for r in enc.collect()) == [(i, i % 3, 0 if i % 4 else 1) for i in range(12)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
