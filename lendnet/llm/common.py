@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -32,6 +33,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def release_memory() -> None:
+    """Give memory that earlier tasks of this Python worker freed back to the system; the worker keeps living between
+    stages, and the allocators keep what they once took."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library
+        pass
+
+
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A fresh path below the session's reliable checkpoint folder (shared on a cluster)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import ship
+from lendnet.llm.common import release_memory, ship
 from lendnet.llm.words import PUNCT, row_windows, windows, words
 
 GRAM = 3
@@ -100,6 +100,7 @@ def _text_grams(w, h: np.ndarray, sizes):
 
 def _count_batches(ref):
     def run(batches):
+        release_memory()
         keys, sizes = ref.value
         find = _lookup(keys)
         df = np.zeros(len(keys), np.int64)
@@ -260,6 +261,7 @@ def _match_rows(m, col: pa.Array, least: float):
 
 def _find_batches(ref, least: float):
     def run(batches):
+        release_memory()
         m = ref.value
         for b in batches:
             found = list(_match_rows(m, b.column("text"), least))
@@ -291,6 +293,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least_score: float = LE
 
 def _clean_batches(ref, least: float):
     def run(batches):
+        release_memory()
         m = ref.value
         for b in batches:
             keep = np.ones(b.num_rows, bool)

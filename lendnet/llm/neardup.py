@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import free_name, ship, stored
+from lendnet.llm.common import free_name, release_memory, ship, stored
 from lendnet.llm.words import row_windows, splitmix, windows, words
 from lendnet.session import cut_lineage
 
@@ -81,6 +81,7 @@ def _features(k: int):
     salt = np.arange(BANDS, dtype=np.uint64) * U(0x9E3779B97F4A7C15)
 
     def run(batches):
+        release_memory()
         for b in batches:
             n = np.zeros(b.num_rows, np.int64)
             fp: list = [None] * b.num_rows
@@ -101,6 +102,7 @@ def _features(k: int):
 
 def _set_rows(k: int):
     def run(batches):
+        release_memory()
         for b in batches:
             rows, sets, sigs = [], [], []
             for r, s in _sets(b.column("text"), k):

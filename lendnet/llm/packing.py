@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import ship, stored
+from lendnet.llm.common import release_memory, ship, stored
 from lendnet.llm.tokens import encoder, groups
 
 SEQUENCE = 1024
@@ -33,6 +33,7 @@ def _tokenize(path: str, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
+        release_memory()
         enc = encoder(path)
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
@@ -74,6 +75,7 @@ def with_offsets(tokens: DataFrame, part: str = "part", start: str = "part_start
 
 def _cut(size: int, with_ids: bool):
     def run(batches):
+        release_memory()
         for b in batches:
             n = np.asarray(b.column("n_tokens"))
             at = np.asarray(b.column("at"))

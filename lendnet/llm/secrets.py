@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import free_name, ship
+from lendnet.llm.common import free_name, release_memory, ship
 from lendnet.llm.words import chunks, text_buffer
 
 DOCS_PER_BLOCK = 1 << 14
@@ -154,6 +154,7 @@ def _key() -> Column:
 def _posting_rows(vocabulary: list[str]):
     """(key, trigram) of every wanted trigram in each text; trigrams are ASCII, so bytes decide."""
     def run(batches):
+        release_memory()
         code = lambda b: (b[:-2].astype(np.uint32) << 16) | (b[1:-1].astype(np.uint32) << 8) | b[2:]
         wanted = {int(code(np.frombuffer(t.encode(), np.uint8))[0]): t for t in vocabulary}
         slot = np.zeros(1 << 16, bool)              # a first test on a fold of the three bytes
@@ -229,6 +230,7 @@ def _scan_batches(rules, always):
     names = [r.kind for r in rules]
 
     def run(batches):
+        release_memory()
         spans_of = _matcher(rules)
         for b in batches:
             n = {k: [] for k in BASE}
@@ -274,6 +276,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def _redact_batches(rules, always, mask, name):
     def run(batches):
+        release_memory()
         spans_of = _matcher(rules)
         for b in batches:
             out = []

@@ -22,7 +22,7 @@ RARE = tuple(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x202
 # where the libraries may differ on white space, or a special token's string stands: encoded whole
 WHOLE_ASCII = ("\x00", "\x1c", "\x1d", "\x1e", "\x1f", "<|endoftext|>", "<|startoftext|>")
 WHOLE = ("\u180e", "\u200b", "\ufeff")
-MAX_PIECES = 1_000_000       # entries of a worker's young generation (about 200 MB; the old one is as large)
+MAX_PIECES = 600_000         # entries of a worker's young generation (about 120 MB; the old one is as large)
 TAIL = tuple(".,;:!?")
 BLANK = "\u0120"            # a blank, as byte-level vocabularies write it
 LINE = "\n\n"               # marks a piece that starts a line, so has no leading blank
@@ -179,16 +179,19 @@ class Encoder:
             known, pieces = cut
             got = list(map(known.get, pieces))
             if None in got:
-                (missing if known is self.cache else exact).update(p for p, g in zip(pieces, got) if g is None)
-                again.append((i, known, pieces))
+                holes = [j for j, g in enumerate(got) if g is None]
+                (missing if known is self.cache else exact).update([pieces[j] for j in holes])
+                again.append((i, known, pieces, got, holes))
             else:
                 out[i] = b"".join(got)
         if exact:
             self._exact(exact)
         if missing:
             self._learn(list(missing))
-        for i, known, pieces in again:
-            out[i] = b"".join(map(known.__getitem__, pieces))
+        for i, known, pieces, got, holes in again:
+            for j in holes:
+                got[j] = known[pieces[j]]
+            out[i] = b"".join(got)
         return out
 
 

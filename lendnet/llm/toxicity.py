@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendnet.llm.common import fold_remainder, ship, stored
+from lendnet.llm.common import fold_remainder, release_memory, ship, stored
 from lendnet.llm.words import PUNCT, words
 
 MAX_TRAIN = 8000
@@ -94,6 +94,7 @@ def _chosen_terms(sample: DataFrame, terms: int) -> np.ndarray:
 
 def _known_terms(ref):
     def run(batches):
+        release_memory()
         known = ref.value
         for b in batches:
             col = b.column("terms")
@@ -191,6 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dic
 
 def _score_batches(ref):
     def run(batches):
+        release_memory()
         for b in batches:
             score = _scores(ref.value, b.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -214,6 +216,7 @@ def _scores(m, col: pa.Array) -> np.ndarray:
 
 def _keep_batches(ref):
     def run(batches):
+        release_memory()
         for b in batches:
             yield b.filter(pa.array(_scores(ref.value, b.column("text")) < 0.5))
     return run

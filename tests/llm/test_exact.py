@@ -320,3 +320,26 @@ def test_deduplicate_rows_that_share_an_id(spark):
 ])
 def test_html_text_outside_the_usual_places(page, want):
     assert html_text.visible_text(page) == want
+
+
+def test_known_pieces_are_looked_up_once():
+    from lendnet.llm.common import release_memory
+    from lendnet.llm.queries import tokenizer_file
+    from lendnet.llm.tokens import Encoder
+
+    class Counted(dict):
+        n = 0
+
+        def __getitem__(self, key):
+            Counted.n += 1
+            return dict.__getitem__(self, key)
+    enc = Encoder(tokenizer_file("byte_bpe_50k.json"))
+    enc.cache = Counted()
+    enc.encode(["the quick brown fox"])
+    Counted.n = 0
+    text = "the quick brown foxes jump"
+    got = enc.encode([text])[0]
+    assert Counted.n == 2          # only the two new pieces
+    import numpy as np
+    assert np.frombuffer(got, "<u4").tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+    release_memory()
