@@ -198,3 +198,52 @@ def test_word2vec_training_is_dealt_over_tasks(spark, ring, monkeypatch):
     walks = spark.createDataFrame([([f"N{(i + j) % 12}" for j in range(5)],) for i in range(36)], "path array<string>")
     assert WK.walk_embeddings(walks, dim=4).count() == 12
     assert seen == [4]         # 180 path nodes, 50 a task
+
+
+def _jobs_of(spark, name, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    out = run()
+    jobs = len(sc.statusTracker().getJobIdsForGroup(name))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return out, jobs
+
+
+def test_components_settle_eigenvalue_zero(spark):
+    """Twelve triangles, a loop and a lone node: the four smallest eigenvalues are 0, which takes no product with L."""
+    pairs = [(f"T{t}{a}", f"T{t}{b}") for t in range(12) for a, b in ("xy", "yz", "zx")] + [("loop", "loop")]
+    names = sorted({x for p in pairs for x in p} | {"lone"})
+    (emb, lam, res), jobs = _jobs_of(spark, "spectral-zero", lambda: SP.spectral_pairs(
+        customers_df(spark, [(x, 1.0, 1.0, "N") for x in names]), edges_df(spark, pairs), dim=3))
+    assert emb.schema["embedding"].dataType.simpleString() == "array<double>"
+    assert {(r.customer_id, tuple(r.embedding)) for r in emb.collect()} == {(x, ()) for x in names}
+    assert len(lam) == len(res) == 0 and jobs < 60
+
+
+def test_spectral_steps_find_equal_eigenvalues_over_blocks(spark, monkeypatch):
+    """A hub with 12 equal arms has eigenvalues 11 times; blocks of 16 nodes, cells of one block, a basis
+    that shrinks."""
+    for name, value in (("SIZE", 16), ("SPAN", 1), ("MOST", 26), ("KEEP", 14)):
+        monkeypatch.setattr(SP, name, value, raising=False)
+    pairs = [(("hub" if k == 0 else f"a{a}-{k - 1}"), f"a{a}-{k}") for a in range(12) for k in range(4)]
+    c = customers_df(spark, [(x, 1.0, 1.0, "N") for x in sorted({x for p in pairs for x in p})])
+    e = edges_df(spark, pairs)
+    (emb, lam, res), jobs = _jobs_of(spark, "spectral-steps", lambda: SP.spectral_pairs(c, e, dim=8))
+    rows = {r.customer_id: r.embedding for r in emb.collect()}
+    at = {x: n for n, x in enumerate(sorted(rows))}
+    lap = np.zeros((len(at), len(at)))
+    for r in SP.norm_laplacian(c, e).collect():
+        lap[at[r.i], at[r.j]] = r.value
+    assert np.allclose(lam, np.linalg.eigvalsh(lap)[1:9], atol=1e-9) and res.max() <= SP.TOL
+    v = np.array([rows[x] for x in sorted(rows)]) * np.sqrt(lam)
+    assert np.allclose(v.T @ v, np.eye(8), atol=1e-6) and np.linalg.norm(lap @ v - v * lam, axis=0).max() < 1e-5
+    assert jobs < 160
+
+
+def test_rows_of_one_customer_and_null_ids(spark):
+    """A customer that comes twice: a row for each pair of its rows; an embedding is null without an id."""
+    ids = ["A", "B", "C", "D", "A", None]
+    c = customers_df(spark, [(x, 1.0, 1.0, "N") for x in ids])
+    emb = SP.spectral_embedding(c, edges_df(spark, [("A", "B"), ("B", "C"), ("C", "D"), ("D", None)]), dim=1)[0].collect()
+    assert sorted(str(r.customer_id) for r in emb) == ["A", "A", "A", "A", "B", "C", "D", "None"]
+    assert [r.embedding for r in emb if r.customer_id is None] == [None]
