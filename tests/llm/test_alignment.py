@@ -144,3 +144,46 @@ def test_groups_and_edge_rows(spark):
         if i is not None:
             assert len(groups) == by[i]["n_groups"] and sum(len(g["a_ids"]) for g in groups) == by[i]["n_a"]
     assert alignment.token_groups(empty_docs(spark), *FILES).count() == 0
+
+
+def test_texts_and_units_reach_a_worker_in_small_parts(spark, monkeypatch):
+    """What waits in an executor's and a worker's memory does not grow with the rows of a batch or with new units."""
+    def counted(path_a, path_b):
+        def run(batches):
+            import pyarrow as pa
+            for batch in batches:
+                empty = [pa.nulls(1, pa.list_(pa.int64())) for _ in range(5)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.num_rows]), *empty, pa.nulls(1, pa.list_(pa.string())),
+                     *(pa.nulls(1, pa.list_(t)) for t in (pa.int32(), pa.int32(), pa.int64())), pa.nulls(1, pa.binary())],
+                    names=["block", "doc_ids", "n_a", "n_b", "n_groups", "n_links", "hashes",
+                           "pair_a", "pair_b", "pair_n", "links"])
+        return run
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(alignment, "_blocks", counted)
+    docs = spark.range(2500).selectExpr("id AS doc_id", "'a b' AS text").coalesce(1)
+    rows = [r.block for r in alignment.aligned_blocks(docs, *FILES).collect()]
+    assert sum(rows) == 2500 and max(rows) <= 1000 and spark.conf.get(key) == before
+
+    tok, asked = alignment._Tokens(*FILES), []
+    for name in "ab":
+        side = getattr(tok, name)
+        setattr(tok, name, side._replace(encode=lambda us, f=side.encode: asked.append(len(us)) or f(us)))
+    words = [f"w{i}" for i in range(9000)]
+    first = tok.encode([" ".join(words)])
+    assert sum(asked) == 18000 and max(asked) <= 5000
+    monkeypatch.setattr(alignment, "MAX_UNITS", 5)              # known units come over from the old generation
+    assert tok.encode([" ".join(words)]) == first and sum(asked) == 18000
+
+
+def test_one_unit_that_does_not_come_back_leaves_the_others(monkeypatch):
+    tok = alignment._Tokens(*FILES)
+    broken = alignment._Tokens(*FILES)
+    table = list(broken.b.table)
+    table[broken.b.encode(["two"])[0][0]] = b"?"
+    broken.b = broken.b._replace(table=table)
+    assert broken.encode(["one two three", "two", "one three"])[:2] == [None, None]
+    assert broken.encode(["one three"]) == tok.encode(["one three"])
+    monkeypatch.setattr(alignment, "MAX_UNITS", 0)
+    assert broken.encode(["two", "one three"]) == [None, *tok.encode(["one three"])]
