@@ -247,3 +247,41 @@ def test_rows_of_one_customer_and_null_ids(spark):
     emb = SP.spectral_embedding(c, edges_df(spark, [("A", "B"), ("B", "C"), ("C", "D"), ("D", None)]), dim=1)[0].collect()
     assert sorted(str(r.customer_id) for r in emb) == ["A", "A", "A", "A", "B", "C", "D", "None"]
     assert [r.embedding for r in emb if r.customer_id is None] == [None]
+
+
+def _ring_with_chords(n=30):
+    return sorted({tuple(sorted((f"N{i}", f"N{(i * j + 3) % n}"))) for i in range(n) for j in (2, 5, 7)
+                   if i != (i * j + 3) % n})
+
+
+def test_walks_cost_no_job_per_step_without_hubs(spark):
+    """A step is a join of the walkers with their nodes' rows; nothing has to be looked at between two steps."""
+    e = edges_df(spark, _ring_with_chords())
+    jobs = [_jobs_of(spark, f"walks-{n}", lambda n=n: WK.random_walks(e, walks_per_node=1, length=n, q=0.5).count())[1]
+            for n in (3, 8)]
+    # a step adds the map stage of its join (its own checkpoint and observation took several jobs)
+    assert jobs[1] - jobs[0] <= 2 * 5, jobs
+
+
+@pytest.mark.parametrize("carry,part", [(256, 3), (256, 1), (4, 10), (4, 2), (0, 10)])
+def test_hubs_and_parts_change_no_walk(spark, monkeypatch, carry, part):
+    """Walkers at or behind a hub step by joins, the others in their row; paths stored in parts come back in order."""
+    monkeypatch.setattr(WK, "CARRY", carry, raising=False)
+    monkeypatch.setattr(WK, "PART", part, raising=False)
+    pairs = _ring_with_chords()
+    nodes = spark.createDataFrame([(x,) for x in sorted({x for e in pairs for x in e}) + ["alone", "alone"]], "node string")
+    got = {r.walk_id: r.path for r in WK.random_walks(edges_df(spark, pairs + [("N1", "N1"), pairs[0]]), nodes, 2, 7, 0.5, 2.0,
+                                                      seed=5, cheap_rounds=12).collect()}
+    want = _plain_walks(pairs, sorted({x for e in pairs for x in e}), 2, 7, 0.5, 2.0, 5, 12)
+    assert [got.pop(f"alone|{k}") for k in (0, 1)] == [["alone"]] * 2
+    assert set(got) == set(want) and all(len(p) == 7 for p in got.values())
+    assert all(p is None or got[w] == p for w, p in want.items())
+
+
+def test_exact_step_of_a_row_and_of_a_hub_agree(spark, monkeypatch):
+    e, walks = edges_df(spark, _ring_with_chords()), []
+    for carry in (256, 0):
+        monkeypatch.setattr(WK, "CARRY", carry, raising=False)
+        rows = WK.random_walks(e, walks_per_node=3, length=6, p=4.0, q=0.25, seed=2, cheap_rounds=0).collect()
+        walks.append({r.walk_id: (r.start, r.path) for r in rows})
+    assert walks[0] == walks[1] and len(walks[0]) == 90
